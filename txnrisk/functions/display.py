@@ -10,5 +10,10 @@ def money(name: str) -> Column:
 
 
 def percent(name: str) -> Column:
-    """0.1234 as ``12.34%``."""
-    return F.when(F.col(name).isNotNull(), F.format_string("%.2f%%", F.col(name) * 100))
+    """0.1234 as ``12.34%``, without thousands separators.
+
+    ``format_number`` rounds the exact value of the double, as C and Python do;
+    ``format_string`` would round its shortest decimal form.
+    """
+    digits = F.translate(F.format_number(F.col(name) * 100, 2), ",", "")
+    return F.concat(digits, F.lit("%"))

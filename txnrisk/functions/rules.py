@@ -21,10 +21,14 @@ def bad_amount() -> Column:
     return F.col("amount").isNull() | (F.col("amount") <= 0)
 
 
+def is_broken() -> Column:
+    return ~has_id() | bad_amount()
+
+
 def quarantine_reason() -> Column:
     return F.when(~has_id(), MISSING_ID).when(bad_amount(), BAD_AMOUNT).otherwise(OTHER)
 
 
 def record_state() -> Column:
     """``VALID``, or why the row goes to quarantine."""
-    return F.when(~has_id() | bad_amount(), quarantine_reason()).otherwise(VALID)
+    return F.when(is_broken(), quarantine_reason()).otherwise(VALID)

@@ -22,18 +22,18 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def with_state(raw: DataFrame) -> DataFrame:
-    """Add the validity state unless the table already stores it.
-
-    The stored raw table is partitioned by the state, so the filters below
-    prune directories there and are plain expressions elsewhere.
-    """
-    return raw if STATE in raw.columns else raw.withColumn(STATE, rules.record_state())
+    """Add the validity state, by which the raw table is stored in directories."""
+    return raw.withColumn(STATE, rules.record_state())
 
 
 def with_valid_id(raw: DataFrame) -> DataFrame:
-    """Rows whose id is not null and not blank. The amount is not looked at."""
-    stated = with_state(raw)
-    return stated.filter(F.col(STATE).isin(rules.VALID, rules.BAD_AMOUNT)).select(raw.columns)
+    """Rows whose id is not null and not blank. The amount is not looked at.
+
+    Of a raw table stored by state, only the matching directories are read.
+    """
+    if STATE in raw.columns:
+        return raw.filter(F.col(STATE).isin(rules.VALID, rules.BAD_AMOUNT))
+    return raw.filter(rules.has_id())
 
 
 def newest_first() -> list[Column]:
@@ -74,9 +74,10 @@ def quarantine(raw: DataFrame, quarantined_at: Column | None = None) -> DataFram
     A row with an id and a bad amount is both here and in silver.
     """
     at = F.current_timestamp() if quarantined_at is None else quarantined_at
-    stated = with_state(raw)
-    return stated.filter(F.col(STATE) != rules.VALID).select(
-        *RAW_COLUMNS,
-        at.alias("quarantined_at"),
-        F.col(STATE).alias("quarantine_reason"),
+    if STATE in raw.columns:
+        broken, reason = F.col(STATE) != rules.VALID, F.col(STATE)
+    else:
+        broken, reason = rules.is_broken(), rules.quarantine_reason()
+    return raw.filter(broken).select(
+        *RAW_COLUMNS, at.alias("quarantined_at"), reason.alias("quarantine_reason")
     )

@@ -7,7 +7,7 @@ that need scores without a model use a stand-in: amount / 100000.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +45,7 @@ DIGITS = 9
 
 
 class Views:
-    """The layers over one folder of test tables, as lazy frames."""
+    """The layers over one folder of test tables, as lazy frames: plans, no stored rows."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -86,9 +86,10 @@ class Views:
     def alerts(self) -> DataFrame:
         return queue.alerts(report.unlabeled(self.scored))
 
-    @cached_property
     def totals(self) -> DataFrame:
-        return curves.running_totals(self.scored, "fraud_probability")
+        """Running totals of the scores, which are stored first as they are read several times."""
+        scores = _stored(self, self.scored.select(LABEL, "fraud_probability"))
+        return curves.running_totals(scores, "fraud_probability")
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -190,7 +191,7 @@ def _accuracy(v: Views) -> DataFrame:
 
 
 def _area(v: Views, name: str) -> DataFrame:
-    return curves.area_metrics(v.totals).select(F.round(name, DIGITS).alias(name))
+    return curves.area_metrics(v.totals()).select(F.round(name, DIGITS).alias(name))
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -350,7 +351,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "classification_report": lambda v: _rounded(
         confusion.classification_report(v.outcomes), "precision", "recall", "f1_score"
     ),
-    "roc_curve": lambda v: _rounded(curves.roc_curve(v.totals), "fpr", "tpr", "threshold"),
+    "roc_curve": lambda v: _rounded(curves.roc_curve(v.totals()), "fpr", "tpr", "threshold"),
     # The stages over stored layers.
     "stage_counts": _stage_counts,
     "train_eval": _train_eval,
@@ -359,9 +360,17 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
 }
 
 
+@cache
+def views(application: str, spark: SparkSession, folder: str) -> Views:
+    """The views of a folder, defined once per application."""
+    return Views(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build: Callable[[Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: build(Views(spark, folder))
+        return lambda spark, folder: build(
+            views(spark.sparkContext.applicationId, spark, folder)
+        )
 
     return {name: bound(build) for name, build in QUERIES.items()}
 
