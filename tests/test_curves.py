@@ -1,0 +1,123 @@
+import math
+
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from txnrisk.operators import confusion, curves
+
+
+def scored(spark, rows=4000):
+    """A third of the rows share one score; the rest are crowded near zero."""
+    i = F.col("id")
+    crowded = F.pow(F.pmod(F.xxhash64(i), F.lit(1000)) / 1000.0, 4)
+    return spark.range(0, rows, 1, 6).select(
+        F.when(i % 3 == 0, 0.25).otherwise(crowded).alias("p"),
+        (F.pmod(F.xxhash64(i, F.lit(1)), F.lit(1000)) / 1000.0 < crowded + 0.1)
+        .cast("bigint")
+        .alias("is_fraud"),
+    )
+
+
+def brute_force(rows):
+    rows = sorted(((r.p, r.is_fraud) for r in rows), reverse=True)
+    positives = sum(y for _, y in rows)
+    negatives = len(rows) - positives
+    tp = fp = 0
+    area = steps = trapezoids = 0.0
+    before = None
+    curve = {}
+    for value in sorted({p for p, _ in rows}, reverse=True):
+        pos = sum(y for p, y in rows if p == value)
+        neg = sum(1 - y for p, y in rows if p == value)
+        area += neg * (tp + pos / 2)
+        tp, fp = tp + pos, fp + neg
+        precision = tp / (tp + fp)
+        steps += pos / positives * precision
+        trapezoids += pos / positives * (precision + (precision if before is None else before)) / 2
+        before = precision
+        curve[value] = (tp, fp)
+    return (area / positives / negatives, steps, trapezoids), curve
+
+
+@pytest.mark.parametrize("rows_per_range", [curves.ROWS_PER_RANGE, 100, 7])
+def test_totals_and_areas_match_brute_force(spark, rows_per_range):
+    df = scored(spark)
+    areas, curve = brute_force(df.collect())
+    totals = curves.running_totals(df, "p", rows_per_range=rows_per_range)
+    assert {r.score: (r.tp, r.fp) for r in totals.collect()} == curve
+    assert tuple(curves.area_metrics(totals).first()) == pytest.approx(areas, abs=1e-12)
+
+
+def test_ranges_are_even_although_scores_are_not(spark):
+    counts = scored(spark).groupBy(F.col("p").alias("score")).count()
+    sizes = [r["count"] for r in curves._with_range(counts, 50).groupBy("part").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 100
+
+
+def test_areas_match_spark_evaluators(spark):
+    df = scored(spark)
+    areas = curves.area_metrics(curves.running_totals(df, "p")).first()
+    for metric, value in (("areaUnderROC", areas.roc_auc), ("areaUnderPR", areas.pr_auc)):
+        evaluator = BinaryClassificationEvaluator(
+            labelCol="is_fraud", rawPredictionCol="p", metricName=metric, numBins=0
+        )
+        assert evaluator.evaluate(df) == pytest.approx(value, abs=1e-9)
+
+
+@pytest.mark.parametrize("rows_per_range", [curves.ROWS_PER_RANGE, 60])
+def test_roc_points_are_the_best_rate_so_far(spark, rows_per_range):
+    df = scored(spark)
+    rows = df.collect()
+    _, curve = brute_force(rows)
+    positives = sum(r.is_fraud for r in rows)
+    negatives = len(rows) - positives
+    points = curves.roc_curve(curves.running_totals(df, "p", rows_per_range=rows_per_range))
+    got = points.orderBy("point").collect()
+    assert [r.point for r in got] == list(range(100))
+    for r in got:
+        reached = [(tp, s) for s, (tp, fp) in curve.items() if fp * 99 <= r.point * negatives]
+        best = max((tp for tp, _ in reached), default=0)
+        assert r.tpr == pytest.approx(best / positives)
+        assert r.threshold == min((s for _, s in reached), default=None)
+
+
+def test_one_class_only_has_no_area(spark):
+    df = scored(spark, 100).withColumn("is_fraud", F.lit(0).cast("bigint"))
+    areas = curves.area_metrics(curves.running_totals(df, "p")).first()
+    assert areas.roc_auc is None and areas.average_precision is None
+    assert curves.running_totals(df.limit(0), "p").isEmpty()
+
+
+def test_infinite_and_nan_scores_are_ranked_like_spark_sorts_them(spark):
+    df = spark.createDataFrame(
+        [(math.inf, 1), (math.nan, 0), (0.5, 1), (-math.inf, 0)], "p double, is_fraud bigint"
+    )
+    totals = curves.running_totals(df, "p", rows_per_range=1)
+    assert sorted((r.tp, r.fp) for r in totals.collect()) == [(0, 1), (1, 1), (2, 1), (2, 2)]
+
+
+def test_classification_report(spark):
+    pairs = [(1, 1)] * 3 + [(0, 1)] * 1 + [(1, 0)] * 2 + [(0, 0)] * 14 + [(None, 1)]
+    df = spark.createDataFrame(pairs, "is_fraud bigint, prediction int")
+    counts = confusion.outcome_counts(df, "prediction")
+    assert tuple(counts.first()) == (3, 1, 2, 14)
+    assert confusion.accuracy(counts).first()[0] == 0.85
+    got = {r["class"]: tuple(r)[1:] for r in confusion.classification_report(counts).collect()}
+    legit, fraud = (14 / 16, 14 / 15, 28 / 31, 15), (3 / 4, 3 / 5, 6 / 9, 5)
+    assert got["Legitimate"] == pytest.approx(legit)
+    assert got["Fraud"] == pytest.approx(fraud)
+    assert got["accuracy"] == (None, None, 0.85, 20)
+    macro = [(a + b) / 2 for a, b in zip(legit[:3], fraud[:3])]
+    weighted = [(15 * a + 5 * b) / 20 for a, b in zip(legit[:3], fraud[:3])]
+    assert got["macro avg"] == pytest.approx((*macro, 20))
+    assert got["weighted avg"] == pytest.approx((*weighted, 20))
+
+
+def test_report_without_alerts_has_zeros(spark):
+    df = spark.createDataFrame([(0, 0.0), (1, 0.0)], "is_fraud bigint, prediction double")
+    counts = confusion.outcome_counts(df, "prediction")
+    got = {r["class"]: tuple(r)[1:] for r in confusion.classification_report(counts).collect()}
+    assert got["Fraud"] == (0.0, 0.0, 0.0, 1)
+    empty = confusion.outcome_counts(df.limit(0), "prediction")
+    assert confusion.accuracy(empty).first()[0] is None

@@ -1,0 +1,73 @@
+import hashlib
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from txnrisk.operators import split
+
+
+def labeled(spark, rows=5003):
+    return spark.range(0, rows, 1, 6).select(
+        F.concat(F.lit("T"), F.col("id")).alias("transaction_id"),
+        F.when(F.col("id") % 7 == 0, 1).otherwise(0).cast("bigint").alias("is_fraud"),
+    )
+
+
+def train_ids(marked):
+    return {r.transaction_id for r in marked.filter("split = 'train'").collect()}
+
+
+def expected(df, share):
+    ids = {}
+    for r in df.collect():
+        ids.setdefault(r.is_fraud, []).append(r.transaction_id)
+    taken = set()
+    for members in ids.values():
+        members.sort(key=lambda i: hashlib.md5(i.encode()).hexdigest())
+        taken.update(members[: int(len(members) * share)])
+    return taken
+
+
+def test_exact_share_of_each_label_by_hash(spark):
+    df = labeled(spark)
+    for share in (Fraction(4, 5), Fraction(1, 3), Fraction(1, 1)):
+        assert train_ids(split.stratified_split(df, share=share)) == expected(df, share)
+
+
+def test_parts_do_not_depend_on_partitioning(spark):
+    df = labeled(spark)
+    one = train_ids(split.stratified_split(df.repartition(1)))
+    assert one == train_ids(split.stratified_split(df.repartition(11, F.rand(1))))
+
+
+def test_one_row_of_a_label_is_tested(spark):
+    df = labeled(spark, 2)
+    assert train_ids(split.stratified_split(df)) == set()
+    assert split.stratified_split(df).count() == 2
+
+
+def test_rows_of_one_id_stay_together(spark):
+    df = labeled(spark, 300)
+    hot = df.filter("transaction_id = 'T150'")
+    repeated = df.unionByName(hot.crossJoin(spark.range(150)).drop("id"))
+    marked = split.stratified_split(repeated)
+    sides = marked.groupBy("transaction_id").agg(F.count_distinct("split").alias("n"))
+    assert sides.filter("n > 1").isEmpty()
+    assert marked.count() == 450
+    per_label = {
+        r.is_fraud: (r.train, r.n)
+        for r in marked.groupBy("is_fraud")
+        .agg(F.count_if(F.col("split") == "train").alias("train"), F.count("*").alias("n"))
+        .collect()
+    }
+    assert all(train <= 0.8 * n for train, n in per_label.values())
+
+
+def test_frames_cover_everything(spark):
+    df = labeled(spark, 1000)
+    train, test = split.split_frames(df)
+    assert train.columns == test.columns == df.columns
+    assert train.unionByName(test).exceptAll(df).isEmpty()
+    assert train.count() + test.count() == 1000
+    a, b = split.random_split(df)
+    assert a.count() + b.count() == 1000

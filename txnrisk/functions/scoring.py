@@ -10,7 +10,8 @@ HIGH_RISK = 0.5
 
 def fraud_probability(vector: str = "probability") -> Column:
     """Probability of class 1; 0.0 where the vector is missing or too short."""
-    return F.coalesce(F.get(vector_to_array(F.col(vector)), 1), F.lit(0.0))
+    values = F.when(F.col(vector).isNotNull(), vector_to_array(F.col(vector)))
+    return F.coalesce(F.get(values, F.lit(1)), F.lit(0.0))
 
 
 def predicted(score: str = "fraud_probability", threshold: float = HIGH_RISK) -> Column:

@@ -29,7 +29,8 @@ def _with_range(counts: DataFrame, rows_per_range: int) -> DataFrame:
     cuts = []
     if parts > 1:
         probabilities = [i / parts for i in range(1, parts)]
-        cuts = sorted(set(counts.approxQuantile("score", probabilities, 0.25 / parts)))
+        quantiles = counts.approxQuantile("score", probabilities, 0.25 / parts)
+        cuts = sorted({q for q in quantiles if math.isfinite(q)})
     if not cuts:
         return counts.withColumn("part", F.lit(0.0))
     cutter = Bucketizer(
