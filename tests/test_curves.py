@@ -51,7 +51,8 @@ def test_totals_and_areas_match_brute_force(spark, rows_per_range):
 
 def test_ranges_are_even_although_scores_are_not(spark):
     counts = scored(spark).groupBy(F.col("p").alias("score")).count()
-    sizes = [r["count"] for r in curves._with_range(counts, 50).groupBy("part").count().collect()]
+    ranged = curves._with_range(counts, curves._cuts(counts, 50))
+    sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 100
 
 

@@ -26,7 +26,7 @@ def same_rows(a, b):
 
 def test_split_keys_give_the_plain_left_join(spark):
     left, right = facts(spark), lookup(spark)
-    frequent = joins.frequent_keys(left, "key", shares=100, smallest_share=200)
+    frequent = joins.frequent_keys(left, "key", joins.Limits(shares=100, smallest_share=200))
     assert {r.key for r in frequent.collect()} == {"hot"}
     pieces = frequent.first().pieces
     assert pieces > 10
@@ -38,7 +38,7 @@ def test_split_keys_give_the_plain_left_join(spark):
 
 def test_no_task_gets_more_than_a_share_of_one_key(spark):
     left = facts(spark)
-    frequent = joins.frequent_keys(left, "key", shares=100, smallest_share=200)
+    frequent = joins.frequent_keys(left, "key", joins.Limits(shares=100, smallest_share=200))
     pieces = frequent.first().pieces
     piece = F.pmod(F.xxhash64("transaction_id"), F.lit(pieces))
     largest = left.filter("key = 'hot'").groupBy(piece).count().agg(F.max("count")).first()[0]
@@ -56,8 +56,8 @@ def test_measured_size_decides(spark):
     assert size == text + 403 * 32
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = joins.lookup_join(left, right, "key", "transaction_id", size, size)
-        large = joins.lookup_join(left, right, "key", "transaction_id", size, size - 1)
+        small = joins.lookup_join(left, right, "key", "transaction_id", size, joins.Limits(size))
+        large = joins.lookup_join(left, right, "key", "transaction_id", size, joins.Limits(size - 1))
         assert "SortMergeJoin" not in frames.plan_of(small)
         assert "SortMergeJoin" in frames.plan_of(large)
     finally:
@@ -87,8 +87,8 @@ def test_repeated_lookup_keys_multiply_rows_and_gaps_are_filled(spark):
         "payee_id string, payee_name string, payee_country string, payee_risk_score double,"
         " payee_category string",
     )
-    for limit in (joins.BROADCAST_BYTES, 0):
-        rows = enrich.enrich(silver, payers, payees, broadcast_bytes=limit).collect()
+    for limits in (joins.LIMITS, joins.Limits(broadcast_bytes=0, smallest_share=1)):
+        rows = enrich.enrich(silver, payers, payees, limits).collect()
         got = {
             (r.transaction_id, r.payor_name, r.payor_country, r.payor_risk_score, r.payee_category)
             for r in rows

@@ -19,40 +19,48 @@ MAX_RANGES = 20_000
 ROC_POINTS = 100
 
 
-def _with_range(counts: DataFrame, rows_per_range: int) -> DataFrame:
-    """Number the score ranges upward as ``part``.
+def _cuts(counts: DataFrame, rows_per_range: int) -> list[float]:
+    """Scores that cut the rows into ranges of about the given size; none if one range will do.
 
     The cuts are quantiles of the distinct scores: a score shared by many rows
     is one row here, and crowded regions get narrower ranges.
     """
     parts = min(MAX_RANGES, math.ceil(counts.count() / rows_per_range))
-    cuts = []
-    if parts > 1:
-        probabilities = [i / parts for i in range(1, parts)]
-        quantiles = counts.approxQuantile("score", probabilities, 0.25 / parts)
-        cuts = sorted({q for q in quantiles if math.isfinite(q)})
-    if not cuts:
-        return counts.withColumn("part", F.lit(0.0))
-    cutter = Bucketizer(
+    if parts < 2:
+        return []
+    probabilities = [i / parts for i in range(1, parts)]
+    quantiles = counts.approxQuantile("score", probabilities, 0.25 / parts)
+    return sorted({q for q in quantiles if math.isfinite(q)})
+
+
+def _with_range(counts: DataFrame, cuts: list[float]) -> DataFrame:
+    """Number the score ranges upward as ``part``."""
+    return Bucketizer(
         splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="part", handleInvalid="keep"
+    ).transform(counts)
+
+
+def _totals_in_one_range(counts: DataFrame) -> DataFrame:
+    """For at most ``rows_per_range`` scores: windows over all of them."""
+    from_top = Window.orderBy(F.desc("score"))
+    down = from_top.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = from_top.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return counts.withColumns(
+        {
+            "tp": F.sum("pos").over(down),
+            "fp": F.sum("neg").over(down),
+            "positives": F.sum("pos").over(whole),
+            "negatives": F.sum("neg").over(whole),
+        }
     )
-    return cutter.transform(counts)
 
 
-def running_totals(
-    scored: DataFrame, score: str, label: str = LABEL, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
-    """Per distinct score: pos, neg, and with all higher scores tp, fp; also positives, negatives."""
-    known = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-    counts = known.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
-    )
-    ranged = _with_range(counts, rows_per_range)
+def _totals_by_range(ranged: DataFrame) -> DataFrame:
+    """Totals within each range, added to the totals of the ranges above it."""
     # One row per range, at most MAX_RANGES of them.
-    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.desc("part")).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
+    from_top = Window.orderBy(F.desc("part"))
+    above = from_top.rowsBetween(Window.unboundedPreceding, -1)
+    whole = from_top.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = (
         ranged.groupBy("part")
         .agg(F.sum("pos").alias("part_pos"), F.sum("neg").alias("part_neg"))
@@ -60,8 +68,8 @@ def running_totals(
             "part",
             F.coalesce(F.sum("part_pos").over(above), F.lit(0)).alias("pos_above"),
             F.coalesce(F.sum("part_neg").over(above), F.lit(0)).alias("neg_above"),
-            F.sum("part_pos").over(everything).alias("positives"),
-            F.sum("part_neg").over(everything).alias("negatives"),
+            F.sum("part_pos").over(whole).alias("positives"),
+            F.sum("part_neg").over(whole).alias("negatives"),
         )
     )
     down = Window.partitionBy("part").orderBy(F.desc("score")).rowsBetween(
@@ -78,6 +86,22 @@ def running_totals(
     )
 
 
+def running_totals(
+    scored: DataFrame, score: str, label: str = LABEL, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Per distinct score: pos, neg, and with all higher scores tp, fp; also positives, negatives.
+
+    Counts the distinct scores first to choose the ranges, so pass a stored or
+    persisted frame.
+    """
+    known = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    counts = known.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    )
+    cuts = _cuts(counts, rows_per_range)
+    return _totals_by_range(_with_range(counts, cuts)) if cuts else _totals_in_one_range(counts)
+
+
 def area_metrics(totals: DataFrame) -> DataFrame:
     """One row: roc_auc, average_precision (steps), pr_auc (trapezoids).
 

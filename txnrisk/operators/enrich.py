@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions import parsing
-from txnrisk.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
+from txnrisk.operators.joins import LIMITS, Limits, lookup_join, measured_bytes
 from txnrisk.schemas import GOLD_COLUMNS, PAYEE_COLUMNS, PAYER_COLUMNS
 
 # What stands in for an attribute that is not known.
@@ -31,7 +31,7 @@ def enrich(
     silver: DataFrame,
     payers: DataFrame,
     payees: DataFrame,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    limits: Limits = LIMITS,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Both lookups joined, gaps filled, 19 columns. Names stay null when unknown."""
@@ -40,7 +40,5 @@ def enrich(
     counted = silver if keys_from is None else keys_from
     joined = silver
     for lookup, key, size in ((payers, "payor_id", payer_bytes), (payees, "payee_id", payee_bytes)):
-        joined = lookup_join(
-            joined, lookup, key, "transaction_id", size, broadcast_bytes, counted
-        )
+        joined = lookup_join(joined, lookup, key, "transaction_id", size, limits, counted)
     return joined.fillna(DEFAULTS).select(GOLD_COLUMNS)

@@ -1,20 +1,31 @@
 """LEFT joins of a large table to a lookup table of any size.
 
-A lookup whose measured size is within ``BROADCAST_BYTES`` is broadcast. A
+A lookup whose measured size is within ``Limits.broadcast_bytes`` is broadcast. A
 larger one is shuffled, and keys that hold too many rows are split over
 several tasks first, so that no single key decides how long the join takes.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-# No join task gets more than 1/SHARES of the rows from one key (or SMALLEST_SHARE rows).
-SHARES = 50_000
-SMALLEST_SHARE = 1_000_000
+
+@dataclass(frozen=True)
+class Limits:
+    """When a lookup is broadcast, and how many rows of one key may meet in one task.
+
+    A key's share is 1/``shares`` of all rows, but at least ``smallest_share`` rows.
+    """
+
+    broadcast_bytes: int = 64 * 1024 * 1024
+    shares: int = 50_000
+    smallest_share: int = 1_000_000
+
+
+LIMITS = Limits()
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -34,18 +45,15 @@ def measured_bytes(*lookups: DataFrame) -> list[int]:
     return [row["bytes"] for row in sorted(rows, key=lambda row: row["i"])]
 
 
-def frequent_keys(
-    rows: DataFrame, key: str, shares: int = SHARES, smallest_share: int = SMALLEST_SHARE
-) -> DataFrame:
-    """Keys that hold more than their share of the rows: (key, pieces).
+def frequent_keys(rows: DataFrame, key: str, limits: Limits = LIMITS) -> DataFrame:
+    """Keys that hold more than a share of the rows: (key, pieces).
 
-    A share is 1/``shares`` of all rows, so at most ``shares`` keys qualify.
-    Counts are added up before the shuffle.
+    At most ``limits.shares`` keys can. Counts are added up before the shuffle.
     """
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     share = F.greatest(
-        F.lit(float(smallest_share)),
-        counts.agg((F.coalesce(F.sum("n"), F.lit(0)) / shares).alias("share")).scalar(),
+        F.lit(float(limits.smallest_share)),
+        counts.agg((F.coalesce(F.sum("n"), F.lit(0)) / limits.shares).alias("share")).scalar(),
     )
     return counts.filter(F.col("n") > share).select(key, F.ceil(F.col("n") / share).alias("pieces"))
 
@@ -56,7 +64,7 @@ def split_key_left_join(
     key: str,
     spread_by: str,
     frequent: DataFrame,
-    null_pieces: int = SHARES,
+    null_pieces: int = LIMITS.shares,
 ) -> DataFrame:
     """LEFT shuffle join in which each frequent key is spread over its ``pieces``.
 
@@ -88,7 +96,7 @@ def lookup_join(
     key: str,
     spread_by: str,
     lookup_bytes: int,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    limits: Limits = LIMITS,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """LEFT join by broadcast when the lookup fits, else by a split-key shuffle.
@@ -96,7 +104,7 @@ def lookup_join(
     ``keys_from`` is where key frequencies are counted: any table with about
     the same keys that is cheap to read, by default the facts themselves.
     """
-    if lookup_bytes <= broadcast_bytes:
+    if lookup_bytes <= limits.broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, "left")
-    frequent = frequent_keys(facts if keys_from is None else keys_from, key)
-    return split_key_left_join(facts, lookup, key, spread_by, frequent)
+    frequent = frequent_keys(facts if keys_from is None else keys_from, key, limits)
+    return split_key_left_join(facts, lookup, key, spread_by, frequent, limits.shares)

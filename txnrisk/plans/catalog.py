@@ -24,6 +24,7 @@ from txnrisk.operators import (
     report,
     split,
 )
+from txnrisk.operators.joins import Limits
 from txnrisk.plans import stages
 from txnrisk.plans.workdir import new_folder
 from txnrisk.schemas import (
@@ -291,7 +292,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "payee_lookup": lambda v: enrich.payee_lookup(v.payees),
     "enriched": lambda v: v.gold,
     "enriched_by_shuffle": lambda v: enrich.enrich(
-        v.silver, v.payers, v.payees, broadcast_bytes=0, keys_from=v.raw
+        v.silver, v.payers, v.payees, Limits(broadcast_bytes=0, smallest_share=100), v.raw
     ),
     # Quality tests.
     "dup_count": lambda v: quality.surplus_rows(v.raw, "transaction_id"),
@@ -330,7 +331,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "proxy_alerts": lambda v: v.alerts,
     "queue_existing_columns": lambda v: queue.existing(v.silver, QUEUE_COLUMNS),
     "queue_append_twice": _append_twice,
-    "queue_replace": lambda v: _stored_twice(v, v.alerts.limit(10), v.alerts),
+    "queue_replace": lambda v: _stored_twice(v, report.unlabeled(v.gold), v.alerts),
     "queue_filter": lambda v: report.filter_queue(v.alerts, COUNTRIES, MIN_AMOUNT),
     "queue_formatted": lambda v: report.formatted_queue(v.alerts),
     "alert_sample": lambda v: report.alert_sample(v.alerts),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
 from txnrisk.operators import clean, enrich, model, quality, queue, report, split
-from txnrisk.operators.joins import BROADCAST_BYTES
+from txnrisk.operators.joins import LIMITS, Limits
 from txnrisk.schemas import GOLD_COLUMNS, LABEL, PAYEE_COLUMNS, PAYER_COLUMNS, RAW_COLUMNS
 from txnrisk.sources import files, models
 from txnrisk.sources.tables import Table, append_new, materialize
@@ -74,7 +74,7 @@ class Settings:
     # Score the first rows of gold when no row is waiting for a label.
     score_first_when_none_wait: bool = False
     replace_queue: bool = False
-    broadcast_bytes: int = BROADCAST_BYTES
+    limits: Limits = LIMITS
 
 
 def read_raw(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -134,7 +134,7 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
     silver = materialize(clean.latest(raw), "stg_transactions", layers.silver)
     started = F.lit(datetime.now(timezone.utc))
     layers.invalid.replace(clean.quarantine(raw, started))
-    gold = enrich.enrich(silver, payers, payees, settings.broadcast_bytes, keys_from=raw)
+    gold = enrich.enrich(silver, payers, payees, settings.limits, keys_from=raw)
     state = F.when(F.col(LABEL).isNull(), "unlabeled").otherwise("labeled")
     layers.gold.replace(gold.withColumn(LABEL_STATE, state), partition_by=LABEL_STATE)
     tests = quality.quality_report(silver, read_gold(spark, layers))
