@@ -1,8 +1,9 @@
 """Train and test parts of the labelled rows."""
 
 from fractions import Fraction
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.schemas import LABEL
@@ -63,6 +64,22 @@ def _hash_cutoffs(hashed: DataFrame, label: str, share: Fraction) -> DataFrame:
     )
 
 
+def _is_train(df: DataFrame, label: str, key: str, share: Fraction) -> Column:
+    """Whether a row goes to training: its hash is up to its label's cutoff.
+
+    The cutoffs, one per class, are fetched here, so that the parts are plain
+    filters afterwards and never work out the cutoffs again.
+    """
+    hashed = df.select(label, F.md5(key).alias("hash")).withColumn(
+        "bucket", F.substring("hash", 1, BUCKET_DIGITS)
+    )
+    cutoffs = _hash_cutoffs(hashed, label, share).collect()
+    upto_cutoff = [
+        (F.col(label) == row[label]) & (F.md5(key) <= row["cutoff"]) for row in cutoffs
+    ]
+    return reduce(Column.__or__, upto_cutoff, F.lit(False))
+
+
 def stratified_split(
     df: DataFrame,
     label: str = LABEL,
@@ -73,19 +90,11 @@ def stratified_split(
 
     Rows are taken in the order of their id's hash, so the parts depend on the
     ids alone: not on partitioning, order or a previous run. Rows with the same
-    id stay on one side. Whole labels never meet in one task, and the frames
-    that are broadcast hold one row per label.
+    id stay on one side. Whole labels never meet in one task. Reads id and label
+    of the input twice at once: pass a stored frame.
     """
-    hashed = df.withColumn("hash", F.md5(key)).withColumn(
-        "bucket", F.substring("hash", 1, BUCKET_DIGITS)
-    )
-    cutoffs = _hash_cutoffs(hashed.select(label, "hash", "bucket"), label, share)
-    in_train = F.col("hash") <= F.col("cutoff")
-    return (
-        hashed.join(F.broadcast(cutoffs), label, "left")
-        .withColumn("split", F.when(in_train, "train").otherwise("test"))
-        .select(*df.columns, "split")
-    )
+    in_train = _is_train(df, label, key, share)
+    return df.withColumn("split", F.when(in_train, "train").otherwise("test"))
 
 
 def split_frames(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -174,7 +174,7 @@ def _append_twice(v: Views) -> DataFrame:
 
 
 def _category_index(v: Views) -> DataFrame:
-    labeled = report.labeled(v.gold).select(CATEGORICAL_FEATURES)
+    labeled = _stored(v, report.labeled(v.gold).select(CATEGORICAL_FEATURES))
     indexed = model.category_indexer().fit(labeled).transform(labeled)
     entries = [
         F.struct(
@@ -341,8 +341,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Model inputs and metrics.
     "feature_frame": lambda v: model.feature_frame(v.gold),
     "category_index": _category_index,
-    "stratified_split": lambda v: split.stratified_split(report.labeled(v.gold)).select(
-        "transaction_id", LABEL, "split"
+    "stratified_split": lambda v: split.stratified_split(
+        _stored(v, report.labeled(v.gold).select("transaction_id", LABEL))
     ),
     "random_split": _random_split,
     "roc_auc": lambda v: _area(v, "roc_auc"),

@@ -3,11 +3,16 @@
 from pyspark.sql import SparkSession
 
 
-def builder(app: str = "txnrisk", shuffle_partitions: int | None = None) -> SparkSession.Builder:
+def builder(
+    app: str = "txnrisk", shuffle_partitions: int | None = None, split_size: str | None = None
+) -> SparkSession.Builder:
     """AQE on, so that shuffle partitions are merged or split by their real size.
 
-    Give ``shuffle_partitions`` for large inputs: about one per 200 MB of
-    shuffled data. AQE merges what turns out small.
+    For large inputs give ``shuffle_partitions``, about one per 200 MB of
+    shuffled data (AQE merges what turns out small), and ``split_size``, the
+    input bytes of one scan task: at ``512m`` 100 TB are 200,000 tasks, and the
+    ingestion, which writes one file per task and record state, has no more
+    small files than that.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -17,4 +22,6 @@ def builder(app: str = "txnrisk", shuffle_partitions: int | None = None) -> Spar
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if split_size:
+        settings["spark.sql.files.maxPartitionBytes"] = split_size
     return SparkSession.builder.appName(app).config(map=settings)
