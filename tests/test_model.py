@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnrisk.functions import scoring
-from txnrisk.operators import model, report, split
+from txnrisk.operators import confusion, curves, model, report, split
 from txnrisk.plans.catalog import Views
 from txnrisk.sources import models
 
@@ -53,7 +53,11 @@ def test_forest_settings(fitted):
 
 def test_metrics_are_those_of_a_useful_model(fitted, gold):
     _, test = split.split_frames(report.labeled(gold))
-    metrics = model.evaluate(model.score(fitted, test).persist()).first()
+    scored = model.score(fitted, test).persist()
+    metrics = model.evaluate(curves.running_totals(scored, "fraud_probability")).first()
+    outcomes = confusion.outcome_counts(scored, "prediction")
+    assert metrics.accuracy == confusion.accuracy(outcomes).first().accuracy
+    assert metrics.alerts == outcomes.selectExpr("tp + fp").first()[0]
     # The labels are a rule with five percent noise, so a useful forest is far above chance.
     assert 0.8 < metrics.roc_auc <= 1 and 0.6 < metrics.average_precision <= 1
     assert 0.8 < metrics.accuracy <= 1

@@ -77,6 +77,10 @@ def test_quality_and_metrics_are_stored(spark, done):
     assert {name for name, failures in tests.items() if failures} == set(ACCEPTED)
     metrics = results["training"].first()
     assert metrics.roc_auc > 0.8 and metrics.test_rows == pytest.approx(0.2 * 3022, abs=3)
+    assert layers.roc_curve.read(spark).count() == 100
+    classes = {r["class"]: r for r in layers.class_report.read(spark).collect()}
+    assert classes["accuracy"].f1_score == metrics.accuracy
+    assert classes["Fraud"].support + classes["Legitimate"].support == metrics.test_rows
 
 
 def test_queue_holds_scored_rows_once(spark, done):
@@ -131,6 +135,8 @@ def test_inference_trains_when_there_is_no_model(spark, done, tmp_path):
         model=str(tmp_path / "m"),
         queue=Table(str(tmp_path / "q")),
         metrics=Table(str(tmp_path / "metrics")),
+        roc_curve=Table(str(tmp_path / "roc")),
+        class_report=Table(str(tmp_path / "classes")),
     )
     stages.run(spark, other, settings, ("inference",))
     assert other.queue.read(spark).count() == layers.queue.read(spark).count()

@@ -9,7 +9,7 @@ ranges, never over the whole table.
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.schemas import LABEL
@@ -102,8 +102,8 @@ def running_totals(
     return _totals_by_range(_with_range(counts, cuts)) if cuts else _totals_in_one_range(counts)
 
 
-def area_metrics(totals: DataFrame) -> DataFrame:
-    """One row: roc_auc, average_precision (steps), pr_auc (trapezoids).
+def area_columns() -> list[Column]:
+    """Aggregates over running totals: roc_auc, average_precision (steps), pr_auc (trapezoids).
 
     Null where a class is missing. The trapezoid curve starts at recall 0 with
     the first point's precision.
@@ -114,11 +114,16 @@ def area_metrics(totals: DataFrame) -> DataFrame:
     higher = (tp - pos) + (fp - neg)
     precision_before = F.when(higher > 0, F.try_divide(tp - pos, higher)).otherwise(precision)
     recall_step = F.try_divide(pos, positives)
-    return totals.agg(
+    return [
         F.sum(F.try_divide(neg, negatives) * F.try_divide(tp - pos / 2, positives)).alias("roc_auc"),
         F.sum(recall_step * precision).alias("average_precision"),
         F.sum(recall_step * (precision + precision_before) / 2).alias("pr_auc"),
-    )
+    ]
+
+
+def area_metrics(totals: DataFrame) -> DataFrame:
+    """One row with the three areas."""
+    return totals.agg(*area_columns())
 
 
 def roc_curve(totals: DataFrame, points: int = ROC_POINTS) -> DataFrame:

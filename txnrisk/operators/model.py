@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
-from txnrisk.operators import confusion, curves
+from txnrisk.operators import curves
 from txnrisk.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 
 # The forest's settings.
@@ -95,17 +95,17 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = scoring.HIGH_R
     )
 
 
-def evaluate(scored: DataFrame) -> DataFrame:
+def evaluate(totals: DataFrame, threshold: float = scoring.HIGH_RISK) -> DataFrame:
     """One row: roc_auc, average_precision, pr_auc, accuracy, test_rows, alerts.
 
-    Reads its input several times: pass a stored or persisted frame.
+    ``totals`` are ``curves.running_totals`` of the test rows' probabilities;
+    everything is one aggregation over them.
     """
-    areas = curves.area_metrics(curves.running_totals(scored, "fraud_probability"))
-    outcomes = confusion.outcome_counts(scored, "prediction")
-    return areas.withColumns(
-        {
-            "accuracy": confusion.accuracy(outcomes).scalar(),
-            "test_rows": outcomes.select(F.expr("tp + fp + fn + tn")).scalar(),
-            "alerts": outcomes.select(F.expr("tp + fp")).scalar(),
-        }
+    flagged, rows = F.col("score") >= threshold, F.col("pos") + F.col("neg")
+    right = F.sum(F.when(flagged, F.col("pos")).otherwise(F.col("neg")))
+    return totals.agg(
+        *curves.area_columns(),
+        F.try_divide(right, F.sum(rows)).alias("accuracy"),
+        F.sum(rows).alias("test_rows"),
+        F.sum(F.when(flagged, rows).otherwise(0)).alias("alerts"),
     )

@@ -167,9 +167,9 @@ def _stored_twice(v: Views, first: DataFrame, second: DataFrame) -> DataFrame:
 
 def _append_twice(v: Views) -> DataFrame:
     """The first append holds part of the alerts, the second all of them."""
-    table = Table(new_folder(v.spark, "queue"))
-    append_new(v.alerts.filter(F.col("payor_country") == "UNKNOWN"), table)
-    append_new(v.alerts, table)
+    table, alerts = Table(new_folder(v.spark, "queue")), _stored(v, v.alerts)
+    append_new(alerts.filter(F.col("payor_country") == "UNKNOWN"), table)
+    append_new(alerts, table)
     return table.read(v.spark)
 
 
@@ -247,8 +247,7 @@ def _stage_counts(v: Views) -> DataFrame:
 
 def _train_eval(v: Views) -> DataFrame:
     layers, settings = _deployment(v)
-    stages.load_or_train(v.spark, layers, settings)
-    return layers.metrics.read(v.spark)
+    return stages.train(v.spark, layers, settings)
 
 
 def _score_unlabeled(v: Views) -> DataFrame:

@@ -15,7 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
-from txnrisk.operators import clean, enrich, model, quality, queue, report, split
+from txnrisk.operators import (
+    clean,
+    confusion,
+    curves,
+    enrich,
+    model,
+    quality,
+    queue,
+    report,
+    split,
+)
 from txnrisk.operators.joins import LIMITS, Limits
 from txnrisk.schemas import GOLD_COLUMNS, LABEL, PAYEE_COLUMNS, PAYER_COLUMNS, RAW_COLUMNS
 from txnrisk.sources import files, models
@@ -37,6 +47,8 @@ class Layers:
     queue: Table
     quality: Table
     metrics: Table
+    roc_curve: Table
+    class_report: Table
     model: str
     second_model: str | None = None
     # Without a table, silver is a view and is computed again by each reader.
@@ -55,6 +67,8 @@ class Layers:
             "queue": "review_queue",
             "quality": "quality_report",
             "metrics": "model_metrics",
+            "roc_curve": "roc_curve",
+            "class_report": "classification_report",
         }
         tables = {field: Table(f"{root}/{name}") for field, name in names.items()}
         return cls(**{**tables, "model": f"{root}/models/fraud_model", **changes})
@@ -146,24 +160,37 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
     return results
 
 
-def train(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
-    """Fit on 80 % of the labelled rows of each class, test on the rest; the metrics as result."""
+def _train(spark: SparkSession, layers: Layers, settings: Settings) -> PipelineModel:
     fit_rows, test_rows = split.split_frames(labeled_gold(spark, layers))
     fitted = model.fit(fit_rows)
     models.save_model(fitted, layers.model, layers.second_model)
     scored = model.score(fitted, test_rows, settings.threshold)
     scored = scored.select(LABEL, "fraud_probability", "prediction").persist()
     try:
-        layers.metrics.replace(model.evaluate(scored).coalesce(1))
+        totals = curves.running_totals(scored, "fraud_probability")
+        outcomes = confusion.outcome_counts(scored, "prediction")
+        # A row or a hundred each.
+        layers.metrics.replace(model.evaluate(totals, settings.threshold).coalesce(1))
+        layers.roc_curve.replace(curves.roc_curve(totals).coalesce(1))
+        layers.class_report.replace(confusion.classification_report(outcomes).coalesce(1))
     finally:
         scored.unpersist()
+    return fitted
+
+
+def train(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
+    """Fit on 80 % of the labelled rows of each class, test on the rest; the metrics as result.
+
+    The ROC curve and the classification report are stored next to the metrics.
+    """
+    _train(spark, layers, settings)
     return layers.metrics.read(spark)
 
 
 def load_or_train(spark: SparkSession, layers: Layers, settings: Settings) -> PipelineModel:
-    if not models.model_exists(spark, layers.model, layers.second_model):
-        train(spark, layers, settings)
-    return models.load_model(spark, layers.model, layers.second_model)
+    if models.model_exists(spark, layers.model, layers.second_model):
+        return models.load_model(spark, layers.model, layers.second_model)
+    return _train(spark, layers, settings)
 
 
 def infer(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
