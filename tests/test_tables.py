@@ -60,3 +60,9 @@ def test_alerts_follow_the_threshold(spark):
     }
     assert alerts.columns == [c for c in QUEUE_COLUMNS if c in [*gold.columns, "prediction"]]
     assert alerts.schema["merchant_mcc"].dataType.simpleString() == "bigint"
+
+
+def test_appended_alerts_come_in_few_files(spark, tmp_path):
+    rows = frames.raw(spark, *[{"transaction_id": f"T{i}"} for i in range(200)]).repartition(40)
+    append_new(rows, Table(str(tmp_path / "q")))
+    assert len(list((tmp_path / "q").glob("*.parquet"))) == 1

@@ -52,20 +52,21 @@ def newest_first() -> list[Column]:
     ]
 
 
-def ranked(raw: DataFrame) -> DataFrame:
-    """Number the rows of each id from the latest on, as ``row_num``."""
+def ranked(raw: DataFrame, keep: int) -> DataFrame:
+    """The latest ``keep`` rows of each id, numbered from the latest on as ``row_num``.
+
+    Spark turns the bound on ``row_num`` into a group limit that runs before
+    the shuffle as well, so a heavily repeated id leaves each task as ``keep``
+    rows at most.
+    """
     per_id = Window.partitionBy("transaction_id").orderBy(*newest_first())
-    return raw.withColumn("row_num", F.row_number().over(per_id))
+    numbered = raw.withColumn("row_num", F.row_number().over(per_id))
+    return numbered.filter(F.col("row_num") <= keep)
 
 
 def latest(raw: DataFrame) -> DataFrame:
-    """One row per valid id, the latest.
-
-    Spark turns ``row_num = 1`` into a group limit that runs before the
-    shuffle as well, so a heavily repeated id leaves each task as one row,
-    and blank ids are gone before that.
-    """
-    return ranked(with_valid_id(raw)).filter("row_num = 1").select(RAW_COLUMNS)
+    """One row per valid id, the latest. Blank ids are gone before the shuffle."""
+    return ranked(with_valid_id(raw), keep=1).select(RAW_COLUMNS)
 
 
 def quarantine(raw: DataFrame, quarantined_at: Column | None = None) -> DataFrame:

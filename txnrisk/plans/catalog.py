@@ -40,7 +40,7 @@ from txnrisk.sources.tables import Table, append_new, materialize
 
 # A fixed run time, so that results can be compared.
 QUARANTINED_AT = "TIMESTAMP_NTZ '2026-01-01 00:00:00'"
-COUNTRIES = ["CANADA", "FRANCE", "UNKNOWN"]
+COUNTRIES = ["NATION_3", "NATION_19", "UNKNOWN"]
 MIN_AMOUNT = 60000.0
 DIGITS = 9
 
@@ -280,7 +280,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "silver_view": lambda v: materialize(v.silver, "silver_view"),
     # Cleaning.
     "valid_id_rows": lambda v: clean.with_valid_id(v.raw),
-    "ranked_rows": lambda v: clean.ranked(clean.with_valid_id(v.raw)),
+    "ranked_rows": lambda v: clean.ranked(clean.with_valid_id(v.raw), keep=3),
     "stg_dedup_latest": lambda v: v.silver,
     "quarantine": lambda v: v.invalid,
     "quarantine_by_reason": lambda v: v.invalid.groupBy("quarantine_reason").agg(

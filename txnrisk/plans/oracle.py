@@ -219,7 +219,7 @@ ORACLE: dict[str, str] = {
     "table_by_state": _all("valid_ids"),
     "silver_view": _all("stg_transactions"),
     "valid_id_rows": _all("valid_ids"),
-    "ranked_rows": _all("ranked"),
+    "ranked_rows": _over(" SELECT * FROM ranked WHERE row_num <= 3"),
     "stg_dedup_latest": _all("stg_transactions"),
     "quarantine": _all("invalid_transactions"),
     "quarantine_by_reason": _over(
@@ -298,7 +298,7 @@ ORACLE: dict[str, str] = {
     "queue_replace": _all("review_queue"),
     "queue_filter": _over(
         " SELECT * FROM review_queue"
-        " WHERE payor_country IN ('CANADA', 'FRANCE', 'UNKNOWN') AND amount >= 60000"
+        " WHERE payor_country IN ('NATION_3', 'NATION_19', 'UNKNOWN') AND amount >= 60000"
     ),
     "queue_formatted": _over(
         """

@@ -4,7 +4,10 @@ from pyspark.sql import SparkSession
 
 
 def builder(
-    app: str = "txnrisk", shuffle_partitions: int | None = None, split_size: str | None = None
+    app: str = "txnrisk",
+    shuffle_partitions: int | None = None,
+    split_size: str | None = None,
+    ui: bool = False,
 ) -> SparkSession.Builder:
     """AQE on, so that shuffle partitions are merged or split by their real size.
 
@@ -18,7 +21,7 @@ def builder(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.ui.enabled": "false",
+        "spark.ui.enabled": str(ui).lower(),
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

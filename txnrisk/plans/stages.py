@@ -29,7 +29,7 @@ from txnrisk.operators import (
 from txnrisk.operators.joins import LIMITS, Limits
 from txnrisk.schemas import GOLD_COLUMNS, LABEL, PAYEE_COLUMNS, PAYER_COLUMNS, RAW_COLUMNS
 from txnrisk.sources import files, models
-from txnrisk.sources.tables import Table, append_new, materialize
+from txnrisk.sources.tables import Table, append_new, in_few_files, materialize
 
 LABEL_STATE = "label_state"
 STAGES = ("ingestion", "transform", "training", "inference")
@@ -147,7 +147,7 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
     payers, payees = layers.dim_payers.read(spark), layers.dim_payees.read(spark)
     silver = materialize(clean.latest(raw), "stg_transactions", layers.silver)
     started = F.lit(datetime.now(timezone.utc))
-    layers.invalid.replace(clean.quarantine(raw, started))
+    layers.invalid.replace(in_few_files(clean.quarantine(raw, started)))
     gold = enrich.enrich(silver, payers, payees, settings.limits, keys_from=raw)
     state = F.when(F.col(LABEL).isNull(), "unlabeled").otherwise("labeled")
     layers.gold.replace(gold.withColumn(LABEL_STATE, state), partition_by=LABEL_STATE)
@@ -201,7 +201,7 @@ def infer(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
         waiting = report.first_rows(read_gold(spark, layers), 2500, ["transaction_id"])
     alerts = queue.alerts(model.score(fitted, waiting, settings.threshold), settings.threshold)
     if settings.replace_queue:
-        layers.queue.replace(alerts)
+        layers.queue.replace(in_few_files(alerts))
     else:
         append_new(alerts, layers.queue)
     return report.alert_sample(layers.queue.read(spark))

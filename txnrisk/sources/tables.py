@@ -44,6 +44,11 @@ class Table:
         self.write(df, "append")
 
 
+def in_few_files(df: DataFrame) -> DataFrame:
+    """For a small result of many tasks: AQE merges it into files of a good size first."""
+    return df.hint("rebalance")
+
+
 def materialize(df: DataFrame, name: str, table: Table | None = None) -> DataFrame:
     """Give a model a name: stored in ``table`` and read back, or as a view when none is given."""
     if table is not None:
@@ -58,4 +63,4 @@ def append_new(alerts: DataFrame, queue: Table) -> None:
     spark = alerts.sparkSession
     if queue.exists(spark):
         alerts = not_queued(alerts, queue.read(spark))
-    queue.append(alerts)
+    queue.append(in_few_files(alerts))
