@@ -19,6 +19,10 @@ def scored(spark, rows=4000):
     )
 
 
+def totals_of(df, rows_per_range=curves.ROWS_PER_RANGE):
+    return curves.running_totals(curves.score_counts(df, "p"), rows_per_range)
+
+
 def brute_force(rows):
     rows = sorted(((r.p, r.is_fraud) for r in rows), reverse=True)
     positives = sum(y for _, y in rows)
@@ -44,7 +48,7 @@ def brute_force(rows):
 def test_totals_and_areas_match_brute_force(spark, rows_per_range):
     df = scored(spark)
     areas, curve = brute_force(df.collect())
-    totals = curves.running_totals(df, "p", rows_per_range=rows_per_range)
+    totals = totals_of(df, rows_per_range)
     assert {r.score: (r.tp, r.fp) for r in totals.collect()} == curve
     assert tuple(curves.area_metrics(totals).first()) == pytest.approx(areas, abs=1e-12)
 
@@ -58,7 +62,7 @@ def test_ranges_are_even_although_scores_are_not(spark):
 
 def test_areas_match_spark_evaluators(spark):
     df = scored(spark)
-    areas = curves.area_metrics(curves.running_totals(df, "p")).first()
+    areas = curves.area_metrics(totals_of(df)).first()
     for metric, value in (("areaUnderROC", areas.roc_auc), ("areaUnderPR", areas.pr_auc)):
         evaluator = BinaryClassificationEvaluator(
             labelCol="is_fraud", rawPredictionCol="p", metricName=metric, numBins=0
@@ -73,7 +77,7 @@ def test_roc_points_are_the_best_rate_so_far(spark, rows_per_range):
     _, curve = brute_force(rows)
     positives = sum(r.is_fraud for r in rows)
     negatives = len(rows) - positives
-    points = curves.roc_curve(curves.running_totals(df, "p", rows_per_range=rows_per_range))
+    points = curves.roc_curve(totals_of(df, rows_per_range))
     got = points.orderBy("point").collect()
     assert [r.point for r in got] == list(range(100))
     for r in got:
@@ -85,16 +89,16 @@ def test_roc_points_are_the_best_rate_so_far(spark, rows_per_range):
 
 def test_one_class_only_has_no_area(spark):
     df = scored(spark, 100).withColumn("is_fraud", F.lit(0).cast("bigint"))
-    areas = curves.area_metrics(curves.running_totals(df, "p")).first()
+    areas = curves.area_metrics(totals_of(df)).first()
     assert areas.roc_auc is None and areas.average_precision is None
-    assert curves.running_totals(df.limit(0), "p").isEmpty()
+    assert totals_of(df.limit(0)).isEmpty()
 
 
 def test_infinite_and_nan_scores_are_ranked_like_spark_sorts_them(spark):
     df = spark.createDataFrame(
         [(math.inf, 1), (math.nan, 0), (0.5, 1), (-math.inf, 0)], "p double, is_fraud bigint"
     )
-    totals = curves.running_totals(df, "p", rows_per_range=1)
+    totals = totals_of(df, 1)
     assert sorted((r.tp, r.fp) for r in totals.collect()) == [(0, 1), (1, 1), (2, 1), (2, 2)]
 
 
@@ -122,3 +126,11 @@ def test_report_without_alerts_has_zeros(spark):
     assert got["Fraud"] == (0.0, 0.0, 0.0, 1)
     empty = confusion.outcome_counts(df.limit(0), "prediction")
     assert confusion.accuracy(empty).first()[0] is None
+
+
+def test_outcomes_of_counts_and_of_rows_agree(spark):
+    df = scored(spark).withColumn("prediction", (F.col("p") >= 0.25).cast("double"))
+    counts = curves.score_counts(df, "p")
+    by_rows = confusion.outcome_counts(df, "prediction").first()
+    assert curves.outcomes_at(counts, 0.25).first() == by_rows
+    assert tuple(curves.outcomes_at(counts.limit(0), 0.25).first()) == (0, 0, 0, 0)

@@ -54,7 +54,8 @@ def test_forest_settings(fitted):
 def test_metrics_are_those_of_a_useful_model(fitted, gold):
     _, test = split.split_frames(report.labeled(gold))
     scored = model.score(fitted, test).persist()
-    metrics = model.evaluate(curves.running_totals(scored, "fraud_probability")).first()
+    counts = curves.score_counts(scored, "fraud_probability")
+    metrics = model.evaluate(curves.running_totals(counts)).first()
     outcomes = confusion.outcome_counts(scored, "prediction")
     assert metrics.accuracy == confusion.accuracy(outcomes).first().accuracy
     assert metrics.alerts == outcomes.selectExpr("tp + fp").first()[0]

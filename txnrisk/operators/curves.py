@@ -19,6 +19,14 @@ MAX_RANGES = 20_000
 ROC_POINTS = 100
 
 
+def score_counts(scored: DataFrame, score: str, label: str = LABEL) -> DataFrame:
+    """Labelled rows counted per distinct score: (score, pos, neg)."""
+    known = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    return known.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    )
+
+
 def _cuts(counts: DataFrame, rows_per_range: int) -> list[float]:
     """Scores that cut the rows into ranges of about the given size; none if one range will do.
 
@@ -86,22 +94,31 @@ def _totals_by_range(ranged: DataFrame) -> DataFrame:
     )
 
 
-def running_totals(
-    scored: DataFrame, score: str, label: str = LABEL, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def running_totals(counts: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Per distinct score: pos, neg, and with all higher scores tp, fp; also positives, negatives.
 
-    Counts the distinct scores first to choose the ranges, so pass a stored or
-    persisted frame.
+    ``counts`` are ``score_counts``. They are counted first to choose the
+    ranges, so pass them stored or persisted.
     """
-    known = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-    counts = known.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
-    )
     cuts = _cuts(counts, rows_per_range)
     return _totals_by_range(_with_range(counts, cuts)) if cuts else _totals_in_one_range(counts)
 
 
+def outcomes_at(counts: DataFrame, threshold: float) -> DataFrame:
+    """One row: tp, fp, fn, tn when scores from the threshold on are flagged."""
+    flagged = F.col("score") >= threshold
+
+    def rows(column: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(column))), F.lit(0))
+
+    return counts.agg(
+        rows("pos", flagged).alias("tp"),
+        rows("neg", flagged).alias("fp"),
+        rows("pos", ~flagged).alias("fn"),
+        rows("neg", ~flagged).alias("tn"),
+    )
+
+
 def area_columns() -> list[Column]:
     """Aggregates over running totals: roc_auc, average_precision (steps), pr_auc (trapezoids).
 

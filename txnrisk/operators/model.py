@@ -98,8 +98,8 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = scoring.HIGH_R
 def evaluate(totals: DataFrame, threshold: float = scoring.HIGH_RISK) -> DataFrame:
     """One row: roc_auc, average_precision, pr_auc, accuracy, test_rows, alerts.
 
-    ``totals`` are ``curves.running_totals`` of the test rows' probabilities;
-    everything is one aggregation over them.
+    ``totals`` are ``curves.running_totals`` of the test rows; all is one
+    aggregation over them.
     """
     flagged, rows = F.col("score") >= threshold, F.col("pos") + F.col("neg")
     right = F.sum(F.when(flagged, F.col("pos")).otherwise(F.col("neg")))

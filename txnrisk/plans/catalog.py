@@ -88,9 +88,10 @@ class Views:
         return queue.alerts(report.unlabeled(self.scored))
 
     def totals(self) -> DataFrame:
-        """Running totals of the scores, which are stored first as they are read several times."""
-        scores = _stored(self, self.scored.select(LABEL, "fraud_probability"))
-        return curves.running_totals(scores, "fraud_probability")
+        """Running totals over the scores' counts, which are stored as they are read twice."""
+        return curves.running_totals(
+            _stored(self, curves.score_counts(self.scored, "fraud_probability"))
+        )
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -208,29 +209,29 @@ def _random_split(v: Views) -> DataFrame:
     return both.groupBy("split", LABEL).agg(F.count("*").alias("n"))
 
 
-# The stored layers that this process has built, by application and folder.
-_deployments: dict[tuple[str, str], stages.Layers] = {}
-
-# The test tables hold rows with an id and no amount, which fail this test.
-SETTINGS = {"accepted_failures": ("not_null_enriched_transactions_amount",)}
+# What this process has stored with the first two stages, by application and folder.
+_deployments: dict[tuple[str, str], tuple[stages.Layers, stages.Settings]] = {}
 
 
 def _deployment(v: Views) -> tuple[stages.Layers, stages.Settings]:
     """The layers stored by the first two stages, run once per process and folder."""
     key = (v.spark.sparkContext.applicationId, v.folder)
-    settings = stages.Settings(logs="", **SETTINGS)
     if key not in _deployments:
         inputs = new_folder(v.spark, "inputs")
-        for frame, name in ((v.payers, "payers"), (v.payees, "payees")):
-            frame.write.option("header", True).csv(f"{inputs}/{name}")
         v.raw.write.json(f"{inputs}/logs")
+        v.payers.write.option("header", True).csv(f"{inputs}/payers")
+        v.payees.write.option("header", True).csv(f"{inputs}/payees")
         settings = stages.Settings(
-            f"{inputs}/logs", f"{inputs}/payers", f"{inputs}/payees", **SETTINGS
+            f"{inputs}/logs",
+            f"{inputs}/payers",
+            f"{inputs}/payees",
+            # The test tables hold rows with an id and no amount.
+            accepted_failures=("not_null_enriched_transactions_amount",),
         )
         layers = stages.Layers.under(new_folder(v.spark, "layers"))
         stages.run(v.spark, layers, settings, ("ingestion", "transform"))
-        _deployments[key] = layers
-    return _deployments[key], settings
+        _deployments[key] = layers, settings
+    return _deployments[key]
 
 
 def _stage_counts(v: Views) -> DataFrame:

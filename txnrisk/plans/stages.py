@@ -32,6 +32,8 @@ from txnrisk.sources import files, models
 from txnrisk.sources.tables import Table, append_new, in_few_files, materialize
 
 LABEL_STATE = "label_state"
+# Failures of these are only warned of.
+LOOKUP_TESTS = ("unique_dim_payers_payor_id", "unique_dim_payees_payee_id")
 STAGES = ("ingestion", "transform", "training", "inference")
 
 
@@ -141,7 +143,7 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
     """Raw to silver, quarantine and gold; the quality report as result.
 
     Raises ``QualityError`` after the tables are written if a test fails that
-    is not accepted. Repeated lookup keys are reported and do not fail the run.
+    is not accepted. Repeated lookup keys are a warning.
     """
     raw = read_raw(spark, layers)
     payers, payees = layers.dim_payers.read(spark), layers.dim_payees.read(spark)
@@ -155,8 +157,7 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
     lookups = quality.lookup_report(payers, payees)
     layers.quality.replace(tests.unionByName(lookups).coalesce(1))
     results = layers.quality.read(spark)
-    warnings = ("unique_dim_payers_payor_id", "unique_dim_payees_payee_id")
-    quality.require_passed(results, (*settings.accepted_failures, *warnings))
+    quality.require_passed(results, (*settings.accepted_failures, *LOOKUP_TESTS))
     return results
 
 
@@ -164,17 +165,16 @@ def _train(spark: SparkSession, layers: Layers, settings: Settings) -> PipelineM
     fit_rows, test_rows = split.split_frames(labeled_gold(spark, layers))
     fitted = model.fit(fit_rows)
     models.save_model(fitted, layers.model, layers.second_model)
-    scored = model.score(fitted, test_rows, settings.threshold)
-    scored = scored.select(LABEL, "fraud_probability", "prediction").persist()
+    counts = curves.score_counts(model.score(fitted, test_rows), "fraud_probability").persist()
     try:
-        totals = curves.running_totals(scored, "fraud_probability")
-        outcomes = confusion.outcome_counts(scored, "prediction")
+        totals = curves.running_totals(counts)
+        outcomes = curves.outcomes_at(counts, settings.threshold)
         # A row or a hundred each.
         layers.metrics.replace(model.evaluate(totals, settings.threshold).coalesce(1))
         layers.roc_curve.replace(curves.roc_curve(totals).coalesce(1))
         layers.class_report.replace(confusion.classification_report(outcomes).coalesce(1))
     finally:
-        scored.unpersist()
+        counts.unpersist()
     return fitted
 
 
