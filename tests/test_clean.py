@@ -1,4 +1,5 @@
 from datetime import timedelta
+from random import Random
 
 import frames
 from pyspark.sql import functions as F
@@ -120,3 +121,47 @@ def test_nan_amounts_are_quarantined_after_typing(spark):
     raw = frames.raw(spark, {"transaction_id": "A", "amount": float("nan")})
     assert clean.quarantine(raw).count() == 0
     assert clean.quarantine(clean.typed(raw)).count() == 1
+
+
+def test_random_rows_match_a_plain_sort(spark):
+    random = Random(7)
+
+    def pick(*values):
+        return random.choice([None, *values])
+
+    rows = [
+        {
+            "transaction_id": pick("", " ", *(f"T{i}" for i in range(40))),
+            "timestamp": pick(*(frames.DAY + timedelta(i) for i in range(3))),
+            "amount": pick(-1.0, 0.0, 1.0, 2.0),
+            "payee_id": pick("S1", "S2"),
+            "device_id": pick("d1", "d2"),
+            "is_fraud": pick(0, 1),
+            "currency": pick("EUR", "USD"),
+        }
+        for _ in range(3000)
+    ]
+
+    def position(row):
+        """Newest, then largest amount, then the other columns; nulls last everywhere."""
+        time, amount = row["timestamp"], row["amount"]
+        rest = [row[c] for c in ("payee_id", "device_id", "currency", "is_fraud")]
+        return (
+            (time is None, -time.timestamp() if time else 0),
+            (amount is None, -amount if amount is not None else 0),
+            *[(value is None, value if value is not None else 0) for value in rest],
+        )
+
+    groups = {}
+    for row in rows:
+        if row["transaction_id"] and row["transaction_id"].strip(" "):
+            groups.setdefault(row["transaction_id"], []).append(row)
+    compared = ["timestamp", "amount", "payee_id", "device_id", "currency", "is_fraud"]
+    expected = {
+        i: tuple(min(group, key=position)[c] for c in compared) for i, group in groups.items()
+    }
+    silver = clean.latest(frames.raw(spark, *rows).repartition(5)).collect()
+    assert {r.transaction_id: tuple(r[c] for c in compared) for r in silver} == expected
+    assert len(silver) == len(expected)
+    bad = [r for r in rows if not (r["transaction_id"] or "").strip(" ") or (r["amount"] or 0) <= 0]
+    assert clean.quarantine(frames.raw(spark, *rows)).count() == len(bad)
