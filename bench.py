@@ -70,7 +70,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": FOLDER.rstrip("/").rsplit("sf", 1)[-1],
+                "sf": float(FOLDER.rstrip("/").rsplit("sf", 1)[-1]),
             }
         )
     )

@@ -1,3 +1,4 @@
+import frames
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnrisk.functions import scoring
-from txnrisk.operators import confusion, curves, model, report, split
+from txnrisk.operators import confusion, curves, model, queue, report, split
 from txnrisk.plans.catalog import Views
 from txnrisk.sources import models
 
@@ -133,3 +134,11 @@ def test_save_falls_back_only_when_told(spark, fitted, tmp_path):
 def test_no_python_runs_per_row(fitted, gold):
     plan = model.score(fitted, gold)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_the_forest_runs_once_per_row(fitted, gold):
+    plan = frames.plan_of(queue.alerts(model.score(fitted, gold)))
+    above, below = plan.split("Generate explode", 1)
+    assert "Filter" in above and "UDF" not in above
+    # Votes, normalized votes and probabilities, nested in one place.
+    assert below.count("AS probability") == 1

@@ -44,7 +44,10 @@ def _cuts(counts: DataFrame, rows_per_range: int) -> list[float]:
 def _with_range(counts: DataFrame, cuts: list[float]) -> DataFrame:
     """Number the score ranges upward as ``part``."""
     return Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="part", handleInvalid="keep"
+        splits=[-math.inf, *cuts, math.inf],
+        inputCol="score",
+        outputCol="part",
+        handleInvalid="keep",
     ).transform(counts)
 
 
@@ -131,8 +134,9 @@ def area_columns() -> list[Column]:
     higher = (tp - pos) + (fp - neg)
     precision_before = F.when(higher > 0, F.try_divide(tp - pos, higher)).otherwise(precision)
     recall_step = F.try_divide(pos, positives)
+    area = F.try_divide(neg, negatives) * F.try_divide(tp - pos / 2, positives)
     return [
-        F.sum(F.try_divide(neg, negatives) * F.try_divide(tp - pos / 2, positives)).alias("roc_auc"),
+        F.sum(area).alias("roc_auc"),
         F.sum(recall_step * precision).alias("average_precision"),
         F.sum(recall_step * (precision + precision_before) / 2).alias("pr_auc"),
     ]

@@ -94,10 +94,15 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = scoring.HIGH_R
     """Add fraud_probability and prediction; the model's own columns are dropped.
 
     The prediction follows the threshold, so a probability of exactly 0.5 is 1.0.
+    Exploding a one-element array keeps filters on the probability above it.
+    Pushed below, they would run the forest once per mention and once more for
+    the rows that pass.
     """
-    scored = model.transform(df).withColumn("fraud_probability", scoring.fraud_probability())
-    return scored.select(
-        *df.columns, "fraud_probability", scoring.predicted(threshold=threshold).alias("prediction")
+    once = F.explode(F.array(scoring.fraud_probability())).alias("fraud_probability")
+    return (
+        model.transform(df)
+        .select(*df.columns, once)
+        .withColumn("prediction", scoring.predicted(threshold=threshold))
     )
 
 

@@ -47,7 +47,9 @@ def _hash_cutoffs(hashed: DataFrame, label: str, share: Fraction) -> DataFrame:
         F.broadcast(edge.select(label, "bucket", "before", "wanted")), [label, "bucket"]
     )
     per_hash = in_edge.groupBy(label, "hash").agg(
-        F.count("*").alias("n"), F.first("before").alias("before"), F.first("wanted").alias("wanted")
+        F.count("*").alias("n"),
+        F.first("before").alias("before"),
+        F.first("wanted").alias("wanted"),
     )
     by_hash = Window.partitionBy(label).orderBy("hash").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
