@@ -1,0 +1,81 @@
+import hashlib
+
+import llm_frames
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from txnrisk.llm import chat_format, queries
+
+SCHEMA = "conv_id long, turn long, role string, text string, turns string, formatted int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "t", 1) for r in rows], SCHEMA)
+
+
+def escape(text):
+    return text.replace("\\", "\\b").replace("###", "\\h").replace("</turn>", "\\l")
+
+
+def brute(rows):
+    """Formatted text and the digest's values by conversation."""
+    by_conv = {}
+    for conv, turn, role, text in rows:
+        by_conv.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    result = {}
+    for conv, turns in by_conv.items():
+        out, last = "", None
+        turns = [t[2:] for t in sorted(turns)]
+        for role, text in turns:
+            if role != last:
+                out += f"### {escape(role).replace(':', chr(92) + 'c').replace(chr(10), chr(92) + 'n')}:\n"
+            out += escape(text) + "</turn>\n"
+            last = role
+        learned = "".join(t for r, t in turns if r == "assistant")
+        lines = "".join(f"{r}\n{t}\n" for r, t in turns)
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, learned)]
+        result[conv] = (out, (len(turns), sha[0], len(learned), sha[1], len(out)))
+    return result
+
+
+def check(spark, rows):
+    made = chat_format.formatted(frame(spark, rows))
+    expected = brute(rows)
+    texts = {r.conv_id: r for r in made.collect()}
+    assert {c: r.formatted for c, r in texts.items()} == {c: e[0] for c, e in expected.items()}
+    digests = {r[0]: tuple(r[1:]) for r in chat_format.digest(made).collect()}
+    assert digests == {c: e[1] for c, e in expected.items()}
+    for row in texts.values():
+        for span in row.loss_mask:
+            assert row.formatted[span.stop :].startswith("</turn>\n")
+
+
+CONTROL = ["\\", "###", "### ", "</turn>", "</turn>\n", ":\n", "assistant", "b", "h", "l", "#", "<", "é", "\U0001f600", "\n"]
+
+
+def test_control_strings_merges_nulls_and_repeats(spark):
+    rows = [
+        (1, 0, "user", "\\### Assistant: </turn> ok"), (1, 1, "assistant", "\\### Assistant: </turn> ok"),
+        (2, 2, "assistant", "b"), (2, 1, "assistant", "a"), (2, 0, "user", None), (2, 3, "user", "</turn>\n### user:\n"),
+        (3, 0, "assistant", ""), (3, 0, "assistant", ""), (3, None, "user", "x"), (3, 1, None, "y"), (3, 2, "", "z"),
+        (4, 0, "ro:le\n### x", "\\b\\h\\l"), (None, 0, "user", "n"), (None, 1, "assistant", "m"),
+    ]
+    check(spark, rows)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    st.integers(0, 3), st.integers(0, 5), st.sampled_from(["user", "assistant", "system", "a:b\\"]),
+    st.lists(st.sampled_from(CONTROL), max_size=6).map("".join)), min_size=1, max_size=20))
+def test_any_text_is_read_back(spark, rows):
+    check(spark, rows)
+
+
+def test_a_long_conversation(spark):
+    check(spark, [(1, i, "user" if i % 3 else "assistant", f"### {i} é" * 5) for i in range(3000)])
+
+
+def test_empty_and_no_python(spark):
+    assert chat_format.formatted(frame(spark, [(1, 1, "a", "b")]).filter("false")).count() == 0
+    plan = queries.chats(spark, llm_frames.FOLDER)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -153,7 +153,8 @@ def read_documents(spark, path: str) -> DataFrame:
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kind = batch.schema.field("doc_ids").type.value_type
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 ids = unpack(row["payload"], row["width"], 0, row["n_ids"]).astype("<u4")
                 borders = np.concatenate([[0], np.cumsum(row["lengths"])])
                 raw = ids.tobytes()

@@ -160,9 +160,6 @@ class Scorer:
         self._letters = np.zeros(0, dtype=bool)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self._place) + len(words) > REMEMBERED:
-            self._place, self._table, self._letters = {}, self._table[:0], self._letters[:0]
-            words = list(dict.fromkeys(words))
         at = len(self._place)
         self._place.update((word, at + i) for i, word in enumerate(words))
         need = at + len(words)
@@ -180,10 +177,11 @@ class Scorer:
     def predict(self, text: str) -> tuple[str, float]:
         counted = Counter(words_of(text))
         new = [word for word in counted if word not in self._place]
+        if new and len(self._place) + len(new) > REMEMBERED:
+            self._place, self._table, self._letters = {}, self._table[:0], self._letters[:0]
+            new = list(counted)
         if new:
             self._learn(new)
-            if not all(word in self._place for word in counted):
-                self._learn([word for word in counted if word not in self._place])
         at = np.fromiter(map(self._place.__getitem__, counted), np.int64, len(counted))
         if not self._model.languages or not self._letters[at].any():
             return UNKNOWN, 0.0

@@ -151,13 +151,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def model_of(counts: list[tuple[bool, int, int]], smoothing: float = 0.5, **limits: float) -> Model:
-    """Both models from summed transition counts: (secret, pair of states, count)."""
+def model_of(
+    counts: list[tuple[bool, int, int]], smoothing: float = 0.5, even: float = 0.1, **limits: float
+) -> Model:
+    """Both models from summed transition counts: (secret, pair of states, count).
+
+    A share ``even`` of each is the even distribution, so that no transition
+    which the samples lack weighs much, however many samples there were.
+    """
     sums = np.full((2, STATES * STATES), smoothing)
     for secret, pair, n in counts:
         sums[0 if secret else 1, pair] += n
     sums = sums.reshape(2, STATES, STATES)
-    random, ordinary = np.log(sums / sums.sum(axis=2, keepdims=True))
+    mixed = (1 - even) * sums / sums.sum(axis=2, keepdims=True) + even / STATES
+    random, ordinary = np.log(mixed)
     return Model(random, ordinary, **limits)
 
 

@@ -59,11 +59,11 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled JOIN standing USING (host)
 """
 _WEIGHT = """
-    coalesce(greatest(1.0, least(1000.0, CASE
+    coalesce(greatest(2.0, least(1000.0, CASE
         WHEN sum(pow(k - n * above, 2) - n * above * (1 - above)) > 0
         THEN sum(n * above * (1 - above) * (n - 1))
             / nullif(sum(pow(k - n * above, 2) - n * above * (1 - above)), 0) - 1
-        ELSE 1000.0 END)), 1000.0)
+        END)), 1000.0)
 """
 
 # What the template adds is counted here by its lengths.

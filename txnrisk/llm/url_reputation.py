@@ -26,7 +26,7 @@ from txnrisk.llm.tables import stored
 MOST_BAD = 0.5
 Z = 1.645
 #: Bounds of a prior's weight, in pages.
-LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1000.0
+LEAST_WEIGHT, MOST_WEIGHT = 2.0, 1000.0
 
 # The rules, as (verdict, rule); a rule is a host and the begin of a path.
 RULES = (
@@ -92,8 +92,8 @@ def _weight(level: DataFrame, n: str, k: str, above: str) -> Column:
     p = F.col(above)
     noise = F.col(n) * p * (1 - p)
     excess = F.sum(F.pow(F.col(k) - F.col(n) * p, F.lit(2.0)) - noise)
-    rho = excess / F.sum(noise * (F.col(n) - 1))
-    weight = F.when(rho > 0, 1 / rho - 1).otherwise(F.lit(MOST_WEIGHT))
+    # Groups that differ no more than a binomial's do give no rho, and the largest weight.
+    weight = F.when(excess > 0, F.sum(noise * (F.col(n) - 1)) / excess - 1)
     bounded = F.greatest(F.lit(LEAST_WEIGHT), F.least(F.lit(MOST_WEIGHT), weight))
     return F.coalesce(bounded, F.lit(MOST_WEIGHT))
 
