@@ -4,6 +4,7 @@ from random import Random
 import frames
 from pyspark.sql import functions as F
 
+from txnrisk.functions import parsing
 from txnrisk.operators import clean
 from txnrisk.schemas import RAW_COLUMNS, text_schema
 
@@ -12,6 +13,16 @@ def kept(df):
     return {(r.transaction_id, r.amount, r.payee_id) for r in df.collect()}
 
 
+def test_odd_numbers_are_missing(spark):
+    texts = ["12", " 1.5 ", "-.5", "1e3", "5.", "12d", "12f", "0x1p4", "1e999", "Infinity", "NaN", "1,5", "", "n/a"]
+    rows = spark.createDataFrame([(t, t, t, t) for t in texts], "timestamp string, amount string, merchant_mcc string, is_fraud string")
+    found = {r.t: r.amount for r in clean.typed(rows.withColumn("t", F.col("amount"))).collect()}
+    known = {"12": 12.0, " 1.5 ": 1.5, "-.5": -0.5, "1e3": 1000.0, "5.": 5.0}
+    assert found == {t: known.get(t) for t in texts}
+    floats = spark.createDataFrame([(x,) for x in (float("inf"), float("nan"), 1.0)], "amount double")
+    assert [r[0] for r in floats.select(parsing.to_double(floats, "amount")).collect()] == [None, None, 1.0]
+
+
 def test_blank_ids_are_dropped_and_a_tab_is_an_id(spark):
     raw = frames.raw(spark, *[{"transaction_id": i} for i in (None, "", "   ", "\t", "T1")])
     assert {r.transaction_id for r in clean.latest(raw).collect()} == {"\t", "T1"}
@@ -117,9 +128,9 @@ def test_casts_of_odd_text(spark):
     }
 
 
-def test_nan_amounts_are_quarantined_after_typing(spark):
+def test_nan_amounts_are_quarantined_before_and_after_typing(spark):
     raw = frames.raw(spark, {"transaction_id": "A", "amount": float("nan")})
-    assert clean.quarantine(raw).count() == 0
+    assert clean.quarantine(raw).count() == 1
     assert clean.quarantine(clean.typed(raw)).count() == 1
 
 

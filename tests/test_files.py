@@ -28,10 +28,18 @@ def stored(spark, tmp_path):
     return table.read(spark)
 
 
+def test_values_are_stored_as_they_arrived(stored):
+    rows = {r.transaction_id: r for r in files.readable(stored).collect()}
+    assert (rows["B"].amount, rows["B"].merchant_mcc, rows["B"].is_fraud) == ("12", "5411.0", "true")
+    assert (rows["E"].amount, rows["E"].timestamp) == ("much", "?")
+    lost = {r["column"]: r.lost for r in clean.parse_losses(files.readable(stored)).collect()}
+    assert lost == {"timestamp": 1, "amount": 2, "merchant_mcc": 0, "is_fraud": 0}
+
+
 def test_lines(stored):
     got = {
         r.transaction_id: (r.amount, r.merchant_mcc, r.is_fraud, r.record_state)
-        for r in files.readable(stored).collect()
+        for r in clean.typed(files.readable(stored)).collect()
     }
     assert got == {
         "A": (12.5, None, 1, "VALID"),
@@ -94,6 +102,13 @@ def test_missing_csv_is_an_empty_table_with_columns(spark, tmp_path):
         assert table.schema["payee_risk_score"].dataType.simpleString() == "double"
 
 
+def test_a_folder_exists_without_being_listed(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert files.path_exists(spark, str(tmp_path / "empty"))
+    assert not files.path_exists(spark, str(tmp_path / "none"))
+    assert files.path_exists(spark, str(tmp_path / "em*"))
+
+
 def test_first_existing(spark, tmp_path):
     (tmp_path / "b").write_text("x")
     a, b = str(tmp_path / "a"), str(tmp_path / "b")

@@ -10,8 +10,8 @@ from txnrisk.plans import catalog, oracle
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = oracle.oracle_sql()
-# A forest cannot be written in SQL, and a random split has no fixed rows.
-WITHOUT_SQL = {"random_split", "train_eval", "score_unlabeled", "review_queue"}
+# A forest cannot be written in SQL.
+WITHOUT_SQL = {"train_eval", "score_unlabeled", "review_queue"}
 
 
 @pytest.mark.parametrize("name", SQL)

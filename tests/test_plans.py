@@ -12,6 +12,7 @@ LAZY = [
     for name in catalog.QUERIES
     if name
     not in {
+        "queue_append_repeats", "one_hot", "category_index", "score_checks", "queue_checks",
         "json_ingest", "json_line_states", "csv_payers", "csv_payees", "table_overwrite",
         "table_by_state", "queue_append_twice", "queue_replace", "stage_counts", "train_eval",
         "score_unlabeled", "review_queue",

@@ -87,3 +87,10 @@ def test_display(spark):
         ("$-5.00", f"{0.85975:.2%}", None),
         (None, "0.00%", "0.50%"),
     ]
+
+
+def test_every_label_is_counted_and_odd_ones_fail_their_test(spark):
+    df = frames.raw(spark, *[{"is_fraud": x} for x in (1, 1, 7, None)])
+    assert {tuple(r) for r in report.class_distribution(df).collect()} == {(0, 0), (1, 2), (7, 1)}
+    assert tuple(quality.label_test(df, "t").first()) == ("accepted_values_t_is_fraud", 1, False)
+    assert quality.label_test(df.filter("is_fraud = 1"), "t").first().passed

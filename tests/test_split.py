@@ -69,5 +69,20 @@ def test_frames_cover_everything(spark):
     assert train.columns == test.columns == df.columns
     assert train.unionByName(test).exceptAll(df).isEmpty()
     assert train.count() + test.count() == 1000
-    a, b = split.random_split(df)
-    assert a.count() + b.count() == 1000
+
+
+def test_random_split_depends_on_seed_and_ids_alone(spark):
+    df = labeled(spark, 4000)
+    train, test = (kept(part) for part in split.random_split(df))
+    assert not train & test and train | test == kept(df)
+    assert 0.77 < len(train) / 4000 < 0.83
+    assert kept(split.random_split(df.repartition(7, F.rand(2)))[0]) == train
+    assert kept(split.random_split(df, seed=1)[0]) != train
+
+
+def kept(df):
+    return {r.transaction_id for r in df.collect()}
+
+
+def test_buckets_grow_with_the_rows():
+    assert [split.bucket_digits(n) for n in (0, 10**6, 10**9, 10**12)] == [2, 2, 4, 6]

@@ -31,6 +31,20 @@ def test_append_new_adds_each_id_once(spark, tmp_path):
         assert ids(table.read(spark)) == ["A", "B", "C"]
 
 
+def test_append_new_takes_one_row_of_each_id(spark, tmp_path):
+    table = Table(str(tmp_path / "q"))
+    rows = [{"transaction_id": i, "amount": a} for i, a in (("A", 2.0), ("A", 1.0), ("B", 3.0), ("A", 1.0))]
+    append_new(frames.raw(spark, *rows), table)
+    assert {(r.transaction_id, r.amount) for r in table.read(spark).collect()} == {("A", 1.0), ("B", 3.0)}
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc", "json"])
+def test_a_schema_gives_an_empty_folder_its_columns(spark, tmp_path, kind):
+    table, empty = Table(str(tmp_path / "t"), format=kind), frames.raw(spark)
+    table.replace(empty, "status")
+    assert table.read(spark, empty.schema).select(empty.columns).isEmpty()
+
+
 def test_append_new_to_an_empty_queue(spark, tmp_path):
     table = Table(str(tmp_path / "q"))
     table.replace(frames.raw(spark))

@@ -1,34 +1,98 @@
-"""``spark-submit`` or ``python -m txnrisk``: run one stage or all over a folder of input files."""
+"""``spark-submit`` or ``python -m txnrisk``: run one stage or all over input files."""
 
 import argparse
+from dataclasses import replace
 
+from txnrisk.functions import scoring
 from txnrisk.plans import session, stages
+from txnrisk.sources.tables import Table
 
-# The name of the transform stage in earlier deployments.
+# Another name of the transform stage.
 ALIASES = {"dbt": "transform"}
 
 
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="txnrisk")
-    choices = ["all", *stages.STAGES, *ALIASES]
-    parser.add_argument("--stage", choices=choices, default="all")
-    parser.add_argument("--data", required=True, help="folder of logs.json, payers.csv, payees.csv")
-    parser.add_argument("--root", required=True, help="folder of the stored layers")
-    parser.add_argument("--accept", action="append", default=[], help="quality test that may fail")
-    parser.add_argument("--replace-queue", action="store_true")
-    args = parser.parse_args()
+def _pair(text: str) -> tuple[str, str]:
+    name, equals, value = text.partition("=")
+    if not name or not equals:
+        raise argparse.ArgumentTypeError(f"{text!r} is not NAME=VALUE")
+    return name, value
 
-    spark = session.builder().getOrCreate()
-    stage = ALIASES.get(args.stage, args.stage)
-    settings = stages.Settings(
-        logs=f"{args.data}/logs.json",
-        payers=f"{args.data}/payers.csv",
-        payees=f"{args.data}/payees.csv",
+
+def parser() -> argparse.ArgumentParser:
+    made = argparse.ArgumentParser(prog="txnrisk", description=__doc__)
+    made.add_argument("--stage", choices=["all", *stages.STAGES, *ALIASES], default="all")
+    made.add_argument("--data", help="folder of logs.json, payers.csv, payees.csv")
+    made.add_argument("--root", required=True, help="folder of the stored layers")
+    made.add_argument(
+        "--logs", action="append", help="JSON lines; given several times, the first that exists"
+    )
+    made.add_argument("--payers", help="CSV file of the payers")
+    made.add_argument("--payees", help="CSV file of the payees")
+    made.add_argument("--csv-null", action="append", default=[], help="CSV text that means null")
+    made.add_argument(
+        "--layer",
+        action="append",
+        type=_pair,
+        default=[],
+        help="LAYER=FORMAT or LAYER=FORMAT:PATH, such as gold=orc or queue=jdbc:",
+    )
+    made.add_argument(
+        "--option", action="append", type=_pair, default=[], help="LAYER.KEY=VALUE of a connector"
+    )
+    made.add_argument("--second-model", help="where the model goes if its first place fails")
+    made.add_argument("--threshold", type=float, default=scoring.HIGH_RISK)
+    made.add_argument("--accept", action="append", default=[], help="quality test that may fail")
+    made.add_argument("--score-first", action="store_true", help="score gold if nothing waits")
+    made.add_argument("--replace-queue", action="store_true")
+    return made
+
+
+def layers_of(args: argparse.Namespace) -> stages.Layers:
+    """The layers below the root, some in another format or place."""
+    layers = stages.Layers.under(args.root, second_model=args.second_model)
+    for name, text in args.layer:
+        table = _layer(layers, name)
+        kind, colon, path = text.partition(":")
+        place = (path or None) if colon else table.path
+        layers = replace(layers, **{name: replace(table, format=kind, path=place)})
+    for name, value in args.option:
+        layer, _, key = name.partition(".")
+        table = _layer(layers, layer)
+        options = {**table.options, key: value}
+        layers = replace(layers, **{layer: replace(table, options=options)})
+    return layers
+
+
+def _layer(layers: stages.Layers, name: str) -> Table:
+    table = getattr(layers, name, None)
+    if not isinstance(table, Table):
+        raise SystemExit(f"there is no layer {name!r}")
+    return table
+
+
+def settings_of(args: argparse.Namespace) -> stages.Settings:
+    if not args.data and not args.logs:
+        raise SystemExit("give --data or --logs")
+    folder = args.data
+    return stages.Settings(
+        logs=tuple(args.logs or [f"{folder}/logs.json"]),
+        payers=args.payers or (folder and f"{folder}/payers.csv"),
+        payees=args.payees or (folder and f"{folder}/payees.csv"),
+        csv_null_tokens=tuple(args.csv_null),
         accepted_failures=tuple(args.accept),
+        threshold=args.threshold,
+        score_first_when_none_wait=args.score_first,
         replace_queue=args.replace_queue,
     )
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = parser().parse_args(argv)
+    layers, settings = layers_of(args), settings_of(args)
+    spark = session.builder().getOrCreate()
+    stage = ALIASES.get(args.stage, args.stage)
     names = stages.STAGES if stage == "all" else (stage,)
-    results = stages.run(spark, stages.Layers.under(args.root), settings, names)
+    results = stages.run(spark, layers, settings, names)
     for name, result in results.items():
         print(f"== {name}")
         result.show(truncate=False)

@@ -12,17 +12,26 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def to_double(df: DataFrame, name: str) -> Column:
-    """Number or text to double. NaN counts as missing."""
+# A plain decimal number, with an exponent or not. Casts alone would also take ``12d`` and ``0x1p4``.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def _number(df: DataFrame, name: str) -> Column:
     value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(F.col(name).rlike(NUMBER), value) if _is_text(df, name) else value
+
+
+def to_double(df: DataFrame, name: str) -> Column:
+    """Number or decimal text to double. NaN and infinite values count as missing."""
+    value = _number(df, name)
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def to_long(df: DataFrame, name: str) -> Column:
     """Number or text to bigint; text such as ``5411.0`` is read through double."""
     value = F.col(name).try_cast("bigint")
     if _is_text(df, name):
-        value = F.coalesce(value, F.col(name).try_cast("double").try_cast("bigint"))
+        value = F.coalesce(value, _number(df, name).try_cast("bigint"))
     return value
 
 

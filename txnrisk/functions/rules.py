@@ -17,18 +17,18 @@ def has_id() -> Column:
     return F.col("transaction_id").isNotNull() & (F.trim("transaction_id") != "")
 
 
-def bad_amount() -> Column:
-    return F.col("amount").isNull() | (F.col("amount") <= 0)
+def bad_amount(amount: Column) -> Column:
+    return amount.isNull() | (amount <= 0)
 
 
-def is_broken() -> Column:
-    return ~has_id() | bad_amount()
+def is_broken(amount: Column) -> Column:
+    return ~has_id() | bad_amount(amount)
 
 
-def quarantine_reason() -> Column:
-    return F.when(~has_id(), MISSING_ID).when(bad_amount(), BAD_AMOUNT).otherwise(OTHER)
+def quarantine_reason(amount: Column) -> Column:
+    return F.when(~has_id(), MISSING_ID).when(bad_amount(amount), BAD_AMOUNT).otherwise(OTHER)
 
 
-def record_state() -> Column:
-    """``VALID``, or why the row goes to quarantine."""
-    return F.when(is_broken(), quarantine_reason()).otherwise(VALID)
+def record_state(amount: Column) -> Column:
+    """``VALID``, or why the row goes to quarantine. The amount is a number."""
+    return F.when(is_broken(amount), quarantine_reason(amount)).otherwise(VALID)

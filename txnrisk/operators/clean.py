@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from txnrisk.functions import parsing, rules
 from txnrisk.schemas import RAW_COLUMNS
@@ -11,19 +12,24 @@ STATE = "record_state"
 
 def typed(raw: DataFrame) -> DataFrame:
     """Cast amount, merchant code, label and time; leave the other columns alone."""
-    return raw.withColumns(
-        {
-            "timestamp": parsing.to_time(raw, "timestamp"),
-            "amount": parsing.to_double(raw, "amount"),
-            "merchant_mcc": parsing.to_long(raw, "merchant_mcc"),
-            "is_fraud": parsing.to_label(raw, "is_fraud"),
-        }
-    )
+    return raw.withColumns(_readings(raw))
+
+
+def _readings(raw: DataFrame) -> dict[str, Column]:
+    return {
+        "timestamp": parsing.to_time(raw, "timestamp"),
+        "amount": parsing.to_double(raw, "amount"),
+        "merchant_mcc": parsing.to_long(raw, "merchant_mcc"),
+        "is_fraud": parsing.to_label(raw, "is_fraud"),
+    }
 
 
 def with_state(raw: DataFrame) -> DataFrame:
-    """Add the validity state, by which the raw table is stored in directories."""
-    return raw.withColumn(STATE, rules.record_state())
+    """Add the validity state, by which the raw table is stored in directories.
+
+    Raw columns may be text; they stay as they arrived.
+    """
+    return raw.withColumn(STATE, rules.record_state(parsing.to_double(raw, "amount")))
 
 
 def with_valid_id(raw: DataFrame) -> DataFrame:
@@ -65,12 +71,12 @@ def ranked(raw: DataFrame, keep: int) -> DataFrame:
 
 
 def latest(raw: DataFrame) -> DataFrame:
-    """One row per valid id, the latest. Blank ids are gone before the shuffle."""
-    return ranked(with_valid_id(raw), keep=1).select(RAW_COLUMNS)
+    """One typed row per valid id, the latest. Blank ids are gone before the shuffle."""
+    return ranked(typed(with_valid_id(raw)), keep=1).select(RAW_COLUMNS)
 
 
 def quarantine(raw: DataFrame, quarantined_at: Column | None = None) -> DataFrame:
-    """Rows without an id or with a bad amount, with a reason code.
+    """Rows without an id or with a bad amount, as they arrived, with a reason code.
 
     A row with an id and a bad amount is both here and in silver.
     """
@@ -78,7 +84,24 @@ def quarantine(raw: DataFrame, quarantined_at: Column | None = None) -> DataFram
     if STATE in raw.columns:
         broken, reason = F.col(STATE) != rules.VALID, F.col(STATE)
     else:
-        broken, reason = rules.is_broken(), rules.quarantine_reason()
+        amount = parsing.to_double(raw, "amount")
+        broken, reason = rules.is_broken(amount), rules.quarantine_reason(amount)
     return raw.filter(broken).select(
         *RAW_COLUMNS, at.alias("quarantined_at"), reason.alias("quarantine_reason")
     )
+
+
+def parse_losses(raw: DataFrame) -> DataFrame:
+    """Values of each typed column that were there and could not be read: (column, lost)."""
+    lost = [
+        F.count_if(_there(raw, name) & value.isNull()).alias(name)
+        for name, value in _readings(raw).items()
+    ]
+    names = list(_readings(raw))
+    return raw.agg(*lost).unpivot([], names, "column", "lost")
+
+
+def _there(raw: DataFrame, name: str) -> Column:
+    """Neither null nor, in text, blank."""
+    is_text = isinstance(raw.schema[name].dataType, StringType)
+    return F.trim(name) != "" if is_text else F.col(name).isNotNull()

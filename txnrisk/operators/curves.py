@@ -16,6 +16,7 @@ from txnrisk.schemas import LABEL
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 20_000
+# Fixed value: points of the ROC curve.
 ROC_POINTS = 100
 
 
@@ -28,7 +29,7 @@ def score_counts(scored: DataFrame, score: str, label: str = LABEL) -> DataFrame
 
 
 def _cuts(counts: DataFrame, rows_per_range: int) -> list[float]:
-    """Scores that cut the rows into ranges of about the given size; none if one range will do.
+    """Scores that cut the rows into ranges of about the given size; few rows have no cut.
 
     The cuts are quantiles of the distinct scores: a score shared by many rows
     is one row here, and crowded regions get narrower ranges.
@@ -44,28 +45,14 @@ def _cuts(counts: DataFrame, rows_per_range: int) -> list[float]:
 def _with_range(counts: DataFrame, cuts: list[float]) -> DataFrame:
     """Number the score ranges upward as ``part``."""
     return Bucketizer(
-        splits=[-math.inf, *cuts, math.inf],
+        # Any cut will do; the transformer wants one.
+        splits=[-math.inf, *(cuts or [0.5]), math.inf],
         inputCol="score",
         outputCol="part",
         handleInvalid="keep",
     ).transform(counts)
 
 
-def _totals_in_one_range(counts: DataFrame) -> DataFrame:
-    """For at most ``rows_per_range`` scores: windows over all of them."""
-    from_top = Window.orderBy(F.desc("score"))
-    down = from_top.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = from_top.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.withColumns(
-        {
-            "tp": F.sum("pos").over(down),
-            "fp": F.sum("neg").over(down),
-            "positives": F.sum("pos").over(whole),
-            "negatives": F.sum("neg").over(whole),
-        }
-    )
-
-
 def _totals_by_range(ranged: DataFrame) -> DataFrame:
     """Totals within each range, added to the totals of the ranges above it."""
     # One row per range, at most MAX_RANGES of them.
@@ -103,8 +90,7 @@ def running_totals(counts: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> D
     ``counts`` are ``score_counts``. They are counted first to choose the
     ranges, so pass them stored or persisted.
     """
-    cuts = _cuts(counts, rows_per_range)
-    return _totals_by_range(_with_range(counts, cuts)) if cuts else _totals_in_one_range(counts)
+    return _totals_by_range(_with_range(counts, _cuts(counts, rows_per_range)))
 
 
 def outcomes_at(counts: DataFrame, threshold: float) -> DataFrame:

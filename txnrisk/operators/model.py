@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
 from txnrisk.operators import curves
-from txnrisk.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
+from txnrisk.schemas import CATEGORICAL_FEATURES, CLASSES, LABEL, NUMERIC_FEATURES
 
 # The forest's settings.
 TREES = 50
 DEPTH = 8
 SEED = 42
+# Ours: distinct values that a category may have.
+MOST_VALUES = 10_000
 
 
 def _suffixed(names: list[str], suffix: str) -> list[str]:
@@ -73,6 +75,34 @@ def feature_frame(df: DataFrame) -> DataFrame:
     return known.select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, F.col(LABEL).cast("int"))
 
 
+def check_inputs(inputs: DataFrame, most_values: int = MOST_VALUES) -> None:
+    """Raise an error that names what a forest cannot be fitted on.
+
+    Labels have to be the two classes, and both have to occur. Every value of a
+    category becomes an input and is kept on the driver, so a category with more
+    than ``most_values`` values, by an estimate, is refused and never cut.
+    """
+    estimates = [F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]
+    label = F.col(LABEL)
+    counted = inputs.agg(
+        *[F.count_if(label == c).alias(f"class_{c}") for c in CLASSES],
+        F.count_if(~label.isin(*CLASSES)).alias("odd"),
+        *[F.count(c).alias(c) for c in NUMERIC_FEATURES],
+        *estimates,
+    ).first()
+    if counted["odd"]:
+        raise ValueError(f"{counted['odd']} labels are neither of {CLASSES}")
+    for c in CLASSES:
+        if not counted[f"class_{c}"]:
+            raise ValueError(f"no rows labelled {c} with an amount to train on")
+    for name in [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]:
+        if not counted[name]:
+            raise ValueError(f"{name} is null in every row to train on")
+    for name in CATEGORICAL_FEATURES:
+        if counted[name] > most_values:
+            raise ValueError(f"{name} has about {counted[name]} values; {most_values} are allowed")
+
+
 def fit(train: DataFrame, cache: bool = True) -> PipelineModel:
     """Fit features and forest on the labelled rows that have an amount.
 
@@ -82,9 +112,11 @@ def fit(train: DataFrame, cache: bool = True) -> PipelineModel:
     """
     inputs = feature_frame(train).filter(F.col("amount").isNotNull())
     if not cache:
+        check_inputs(inputs)
         return Pipeline(stages=[*feature_stages(), forest()]).fit(inputs)
     inputs = inputs.persist()
     try:
+        check_inputs(inputs)
         return Pipeline(stages=[*feature_stages(), forest()]).fit(inputs)
     finally:
         inputs.unpersist()

@@ -5,6 +5,8 @@ import logging
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.schemas import CLASSES, LABEL
+
 log = logging.getLogger(__name__)
 
 
@@ -61,6 +63,25 @@ def lookup_report(payers: DataFrame, payees: DataFrame) -> DataFrame:
     )
 
 
+def label_test(df: DataFrame, table: str, label: str = LABEL) -> DataFrame:
+    """Labels other than the two classes: (test, failures, passed)."""
+    odd = F.count_if(F.col(label).isNotNull() & ~F.col(label).isin(*CLASSES))
+    return _one_test(df, f"accepted_values_{table}_{label}", odd)
+
+
+def _one_test(df: DataFrame, name: str, failures: Column) -> DataFrame:
+    counted = df.agg(failures.alias("failures"))
+    return counted.select(F.lit(name).alias("test"), "failures", (F.col("failures") == 0).alias("passed"))
+
+
+def reading_tests(losses: DataFrame, table: str) -> DataFrame:
+    """The values lost in reading, of ``clean.parse_losses``, as tests."""
+    test = F.concat(F.lit(f"readable_{table}_"), "column")
+    return losses.select(
+        test.alias("test"), F.col("lost").alias("failures"), (F.col("lost") == 0).alias("passed")
+    )
+
+
 def surplus_rows(df: DataFrame, key: str) -> DataFrame:
     """All rows less the distinct non-null keys, as one row: duplicate_count."""
     return df.agg((F.count("*") - F.count_distinct(F.col(key))).alias("duplicate_count"))

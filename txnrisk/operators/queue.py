@@ -1,6 +1,6 @@
 """Alerts for the review queue."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
@@ -31,6 +31,14 @@ def alerts(scored: DataFrame, threshold: float = scoring.HIGH_RISK) -> DataFrame
     return existing(typed, QUEUE_COLUMNS)
 
 
+def one_per_id(alerts: DataFrame) -> DataFrame:
+    """Of the rows of each id, the first in the order of all columns."""
+    order = [F.col(c).asc_nulls_last() for c in alerts.columns]
+    per_id = Window.partitionBy("transaction_id").orderBy(*order)
+    numbered = alerts.withColumn("row_num", F.row_number().over(per_id))
+    return numbered.filter("row_num = 1").select(alerts.columns)
+
+
 def not_queued(new: DataFrame, queue: DataFrame) -> DataFrame:
     """Alerts whose id is not in the queue yet, so that a repeated run adds nothing."""
     return new.join(queue.select("transaction_id"), "transaction_id", "left_anti").select(

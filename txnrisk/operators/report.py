@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions import display
-from txnrisk.schemas import ALERT_SAMPLE_COLUMNS, LABEL
+from txnrisk.schemas import ALERT_SAMPLE_COLUMNS, CLASSES, LABEL
+
+# Rows scored when none waits for a label, of a layer's sample, of the alerts' sample.
+FIRST_ROWS = 2500
+SAMPLE_ROWS = 100
+ALERT_ROWS = 5
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -38,10 +43,12 @@ def ingestion_summary(raw: DataFrame) -> DataFrame:
 
 
 def class_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Rows per class; a class without rows counts 0."""
-    is_class = [F.count_if(F.col(label) == c).alias(str(c)) for c in (0, 1)]
-    counts = df.agg(*is_class).unpivot([], ["0", "1"], "class", "n")
-    return counts.select(F.col("class").cast("bigint").alias(label), "n")
+    """Rows per label that occurs; the two classes are always listed, without rows as 0."""
+    found = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
+    classes = df.sparkSession.range(len(CLASSES)).select(
+        F.col("id").cast("bigint").alias(label), F.lit(0).cast("bigint").alias("n")
+    )
+    return found.unionByName(classes).groupBy(label).agg(F.sum("n").alias("n"))
 
 
 def labeled(df: DataFrame) -> DataFrame:
@@ -52,7 +59,7 @@ def unlabeled(df: DataFrame) -> DataFrame:
     return df.filter(F.col(LABEL).isNull())
 
 
-def unlabeled_or_first(df: DataFrame, n: int = 2500) -> DataFrame:
+def unlabeled_or_first(df: DataFrame, n: int = FIRST_ROWS) -> DataFrame:
     """Unlabelled rows or, when there are none, the first ``n`` rows by id."""
     waiting = unlabeled(df)
     if waiting.isEmpty():
@@ -69,11 +76,23 @@ def first_rows(df: DataFrame, n: int, leading: list[str] | None = None) -> DataF
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
 
-def layer_sample(df: DataFrame, n: int = 100) -> DataFrame:
-    return first_rows(df, n)
+def layer_sample(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """The first rows by the first column, then by all others.
+
+    The first column alone tells how far the sample can reach; only rows up to
+    there are then read and compared whole. Pass a stored frame, in which that
+    limit is pushed down to the files.
+    """
+    key = df.columns[0]
+    reach = df.select(key).orderBy(F.col(key).asc_nulls_last()).limit(n)
+    last = reach.agg(F.max(key).alias("last"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    wanted = F.lit(False) if last["last"] is None else F.col(key) <= F.lit(last["last"])
+    if last["nulls"]:
+        wanted = wanted | F.col(key).isNull()
+    return first_rows(df.filter(wanted), n)
 
 
-def alert_sample(queue: DataFrame, n: int = 5) -> DataFrame:
+def alert_sample(queue: DataFrame, n: int = ALERT_ROWS) -> DataFrame:
     return first_rows(queue.select(ALERT_SAMPLE_COLUMNS), n)
 
 

@@ -1,5 +1,6 @@
 """Train and test parts of the labelled rows."""
 
+import math
 from fractions import Fraction
 from functools import reduce
 
@@ -8,24 +9,39 @@ from pyspark.sql import functions as F
 
 from txnrisk.schemas import LABEL
 
+# The share that is trained on, and the seed.
 TRAIN_SHARE = Fraction(4, 5)
 SEED = 42
-# First hex digits of the hash that make a counting bucket: 65,536 buckets.
-BUCKET_DIGITS = 4
+# Rows that a counting bucket should hold at most, on average.
+BUCKET_ROWS = 100_000
 
 
-def random_split(df: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """80/20 at random, whatever the label."""
-    train, test = df.randomSplit([0.8, 0.2], seed=seed)
-    return train, test
+def random_split(
+    df: DataFrame, key: str = "transaction_id", seed: int = SEED, share: Fraction = TRAIN_SHARE
+) -> tuple[DataFrame, DataFrame]:
+    """80/20 at random, whatever the label: by a hash of seed and id.
+
+    The parts do not depend on partitioning, and every row is in one of them.
+    Rows without an id are kept for training.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    cut = share.numerator * 2**32 // share.denominator
+    in_train = F.coalesce(place < cut, F.lit(True))
+    return df.filter(in_train), df.filter(~in_train)
+
+
+def bucket_digits(rows: int) -> int:
+    """First hex digits of the hash that make a counting bucket of about ``BUCKET_ROWS`` rows."""
+    return max(2, math.ceil(math.log(max(1, rows / BUCKET_ROWS), 16)))
 
 
 def _hash_cutoffs(hashed: DataFrame, label: str, share: Fraction) -> DataFrame:
     """Per label the largest hash that still goes to training: (label, cutoff).
 
     Rows are first counted per leading hash digits. The running total of those
-    counts (at most 65,536 per label) tells in which bucket the share is
-    reached, and only that bucket's hashes are ordered one by one.
+    counts tells in which bucket the share is reached, and only that bucket's
+    hashes are ordered one by one.
     """
     so_far = Window.partitionBy(label).orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -72,8 +88,9 @@ def _is_train(df: DataFrame, label: str, key: str, share: Fraction) -> Column:
     The cutoffs, one per class, are fetched here, so that the parts are plain
     filters afterwards and never work out the cutoffs again.
     """
+    digits = bucket_digits(df.count())
     hashed = df.select(label, F.md5(key).alias("hash")).withColumn(
-        "bucket", F.substring("hash", 1, BUCKET_DIGITS)
+        "bucket", F.substring("hash", 1, digits)
     )
     cutoffs = _hash_cutoffs(hashed, label, share).collect()
     upto_cutoff = [
@@ -92,8 +109,8 @@ def stratified_split(
 
     Rows are taken in the order of their id's hash, so the parts depend on the
     ids alone: not on partitioning, order or a previous run. Rows with the same
-    id stay on one side. Whole labels never meet in one task. Reads id and label
-    of the input twice at once: pass a stored frame.
+    id stay on one side. Whole labels never meet in one task. Counts the input
+    and reads its ids and labels twice at once: pass a stored frame.
     """
     in_train = _is_train(df, label, key, share)
     return df.withColumn("split", F.when(in_train, "train").otherwise("test"))

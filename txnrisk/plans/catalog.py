@@ -7,9 +7,12 @@ that need scores without a model use a stand-in: amount / 100000.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, cached_property
+from dataclasses import replace
+from functools import cache, cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
@@ -30,6 +33,7 @@ from txnrisk.plans.workdir import new_folder
 from txnrisk.schemas import (
     CATEGORICAL_FEATURES,
     LABEL,
+    NUMERIC_FEATURES,
     PAYEE_COLUMNS,
     PAYER_COLUMNS,
     QUEUE_COLUMNS,
@@ -43,6 +47,8 @@ QUARANTINED_AT = "TIMESTAMP_NTZ '2026-01-01 00:00:00'"
 COUNTRIES = ["NATION_3", "NATION_19", "UNKNOWN"]
 MIN_AMOUNT = 60000.0
 DIGITS = 9
+# Amounts as they arrive that are no numbers here.
+ODD_AMOUNTS = ["n/a", "1,234.50", "12d", "1e999", "0x1p4"]
 
 
 class Views:
@@ -93,6 +99,55 @@ class Views:
             _stored(self, curves.score_counts(self.scored, "fraud_probability"))
         )
 
+    @cached_property
+    def lines(self) -> str:
+        """The raw rows as JSON lines, written once: some are cut short, some followed by a blank one."""
+        line, mcc = F.to_json(F.struct(*RAW_COLUMNS)), F.col("merchant_mcc")
+        lines = self.raw.select(
+            F.when(mcc % 50 == 7, F.substring(line, 1, 20))
+            .when(mcc % 50 == 8, F.concat(line, F.lit("\n  \n")))
+            .otherwise(line)
+            .alias("value")
+        )
+        path = new_folder(self.spark, "lines")
+        lines.write.text(path)
+        return path
+
+    @cached_property
+    def settings(self) -> stages.Settings:
+        """Input files of the stages, written once."""
+        inputs = new_folder(self.spark, "inputs")
+        self.raw.write.json(f"{inputs}/logs")
+        self.payers.write.option("header", True).csv(f"{inputs}/payers")
+        self.payees.write.option("header", True).csv(f"{inputs}/payees")
+        return stages.Settings(
+            (f"{inputs}/none", f"{inputs}/logs"),
+            f"{inputs}/payers",
+            f"{inputs}/payees",
+            # The test tables hold rows with an id and no amount.
+            accepted_failures=("not_null_enriched_transactions_amount",),
+        )
+
+    @cached_property
+    def layers(self) -> stages.Layers:
+        """The layers that the first two stages store, which no query changes."""
+        layers = stages.Layers.under(new_folder(self.spark, "layers"))
+        stages.run(self.spark, layers, self.settings, ("ingestion", "transform"))
+        return layers
+
+    def own_layers(self) -> stages.Layers:
+        """The same layers with a model, metrics and queue that nothing else uses."""
+        own = stages.Layers.under(new_folder(self.spark, "own"))
+        kept = ("raw", "dim_payers", "dim_payees", "silver", "invalid", "gold")
+        return replace(own, **{name: getattr(self.layers, name) for name in kept})
+
+    @cached_property
+    def trained(self) -> stages.Layers:
+        """Layers with a fitted model, trained once."""
+        layers = self.own_layers()
+        stages.train(self.spark, layers, self.settings)
+        return layers
+
     @cached_property
     def outcomes(self) -> DataFrame:
         return confusion.outcome_counts(self.scored, "prediction")
@@ -120,28 +175,51 @@ def _typed_rows(v: Views) -> DataFrame:
     return parsed.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def _write_lines(v: Views) -> str:
-    """The raw rows as JSON lines: some lines are cut short, some are followed by a blank one."""
-    line, mcc = F.to_json(F.struct(*RAW_COLUMNS)), F.col("merchant_mcc")
-    lines = v.raw.select(
-        F.when(mcc % 50 == 7, F.substring(line, 1, 20))
-        .when(mcc % 50 == 8, F.concat(line, F.lit("\n  \n")))
-        .otherwise(line)
-        .alias("value")
+def _odd_text(v: Views) -> DataFrame:
+    """Raw rows as text: amounts in cents, and in every column but the ids some unreadable values."""
+    mcc, label = F.col("merchant_mcc"), F.col(LABEL).cast("string")
+    amount = F.round(F.col("amount") * 100).cast("bigint").cast("string")
+    for place, odd in enumerate(ODD_AMOUNTS):
+        amount = F.when(mcc % 9 == place, F.lit(odd)).otherwise(amount)
+    return v.raw.withColumns(
+        {
+            "timestamp": F.when(F.col("payment_method") == "5-LOW", "no time").otherwise(
+                F.col("timestamp").cast("string")
+            ),
+            "amount": amount,
+            "merchant_mcc": F.when(mcc % 5 == 0, "code").otherwise(mcc.cast("string")),
+            LABEL: F.when((F.col("currency") == "GBP") & (label == "1"), "maybe").otherwise(label),
+        }
     )
-    path = new_folder(v.spark, "lines")
-    lines.write.text(path)
-    return path
+
+
+def _quarantine_text(v: Views) -> DataFrame:
+    """What arrived, of the rows without an id or with an amount that is no positive number."""
+    broken = clean.quarantine(clean.with_state(_odd_text(v)))
+    return broken.select("transaction_id", "amount", "merchant_mcc", LABEL, "quarantine_reason")
+
+
+def _odd_amounts(v: Views) -> DataFrame:
+    """Rows by amount, if it is an odd one, and record state."""
+    amount = F.when(F.col("amount").isin(*ODD_AMOUNTS), F.col("amount")).alias("amount")
+    rows = clean.with_state(_odd_text(v)).groupBy(amount, clean.STATE)
+    return rows.agg(F.count("*").alias("n"))
+
+
+def _labels_all(v: Views) -> DataFrame:
+    """Rows per label where some rows have a label that is no class."""
+    odd = F.when(F.col("merchant_mcc") % 9 == 0, F.lit(7)).otherwise(F.col(LABEL))
+    return report.class_distribution(v.gold.withColumn(LABEL, odd.cast("bigint")))
 
 
 def _json_ingest(v: Views) -> DataFrame:
-    lines = files.read_lines(v.spark, _write_lines(v))
-    raw = files.readable(_stored(v, lines, clean.STATE)).select(RAW_COLUMNS)
+    lines = files.read_lines(v.spark, v.lines)
+    raw = clean.typed(files.readable(_stored(v, lines, clean.STATE)).select(RAW_COLUMNS))
     return raw.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def _json_states(v: Views) -> DataFrame:
-    lines = files.read_lines(v.spark, _write_lines(v))
+    lines = files.read_lines(v.spark, v.lines)
     return lines.groupBy(clean.STATE).agg(F.count("*").alias("n"))
 
 
@@ -174,18 +252,79 @@ def _append_twice(v: Views) -> DataFrame:
     return table.read(v.spark)
 
 
-def _category_index(v: Views) -> DataFrame:
-    labeled = _stored(v, report.labeled(v.gold).select(CATEGORICAL_FEATURES))
-    indexed = model.category_indexer().fit(labeled).transform(labeled)
+def _append_repeats(v: Views) -> DataFrame:
+    """A batch that holds every alert three times, one of them with another amount."""
+    table, alerts = Table(new_folder(v.spark, "queue")), v.alerts
+    dearer = alerts.withColumn("amount", F.col("amount") + 1)
+    append_new(alerts.unionByName(dearer).unionByName(alerts), table)
+    return table.read(v.spark)
+
+
+def _values(labeled: DataFrame) -> DataFrame:
+    """The distinct values of each category: (feature, value)."""
     entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(c).alias("value"),
-            F.col(f"{c}_index").cast("bigint").alias("position"),
-        )
-        for c in CATEGORICAL_FEATURES
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in CATEGORICAL_FEATURES
     ]
-    return indexed.select(F.inline(F.array(*entries))).distinct()
+    return labeled.select(F.inline(F.array(*entries))).distinct()
+
+
+def _coded(v: Views, steps: list, code: Callable[[str], Column], name: str) -> DataFrame:
+    """What fitted steps make of each value of each category; only distinct values are coded."""
+    labeled = _stored(v, report.labeled(v.gold).select(CATEGORICAL_FEATURES))
+    values = _values(labeled)
+    alone = values.select(
+        "feature",
+        "value",
+        *[F.when(F.col("feature") == c, F.col("value")).alias(c) for c in CATEGORICAL_FEATURES],
+    )
+    coded = Pipeline(stages=steps).fit(labeled).transform(alone)
+    codes = [F.when(F.col("feature") == c, code(c)) for c in CATEGORICAL_FEATURES]
+    return coded.select("feature", "value", F.coalesce(*codes).alias(name))
+
+
+def _category_index(v: Views) -> DataFrame:
+    def place(name: str) -> Column:
+        return F.col(f"{name}_index").cast("bigint")
+
+    return _coded(v, [model.category_indexer()], place, "position")
+
+
+def _one_hot(v: Views) -> DataFrame:
+    """The one-hot vectors as text, such as 0,1,0."""
+
+    def vector(name: str) -> Column:
+        digits = F.transform(vector_to_array(F.col(f"{name}_hot")), lambda x: x.cast("int"))
+        return F.concat_ws(",", digits.cast("array<string>"))
+
+    return _coded(v, model.feature_stages()[:2], vector, "hot")
+
+
+def _scaled_features(v: Views) -> DataFrame:
+    """The numeric inputs as the forest sees them: each over its sample deviation."""
+    rows = _stored(v, report.labeled(v.gold).filter(F.col("amount").isNotNull()))
+    scaled = Pipeline(stages=model.feature_stages()).fit(rows).transform(rows)
+    values = vector_to_array(F.col("features"))
+    numbers = [
+        F.round(F.element_at(values, i - len(NUMERIC_FEATURES)), 6).alias(name)
+        for i, name in enumerate(NUMERIC_FEATURES)
+    ]
+    return scaled.select("transaction_id", *numbers)
+
+
+def _fraud_probability(v: Views) -> DataFrame:
+    """Probabilities out of vectors, of which some are missing and some too short."""
+    p, kind = F.col("fraud_probability"), F.col("merchant_mcc") % 11
+    values = F.when(kind == 1, F.array(p)).otherwise(F.array(1 - p, p))
+    vector = F.when(kind != 0, array_to_vector(values))
+    scores = v.scored.select("transaction_id", vector.alias("probability"))
+    value = scoring.fraud_probability().alias("fraud_probability")
+    return scores.select("transaction_id", value)
+
+
+def _split_rows(v: Views) -> DataFrame:
+    """Rows that training and testing get, by label."""
+    labeled = _stored(v, report.labeled(v.gold).select("transaction_id", LABEL))
+    return split.stratified_split(labeled).groupBy(LABEL, "split").agg(F.count("*").alias("n"))
 
 
 def _accuracy(v: Views) -> DataFrame:
@@ -209,33 +348,8 @@ def _random_split(v: Views) -> DataFrame:
     return both.groupBy("split", LABEL).agg(F.count("*").alias("n"))
 
 
-# What this process has stored with the first two stages, by application and folder.
-_deployments: dict[tuple[str, str], tuple[stages.Layers, stages.Settings]] = {}
-
-
-def _deployment(v: Views) -> tuple[stages.Layers, stages.Settings]:
-    """The layers stored by the first two stages, run once per process and folder."""
-    key = (v.spark.sparkContext.applicationId, v.folder)
-    if key not in _deployments:
-        inputs = new_folder(v.spark, "inputs")
-        v.raw.write.json(f"{inputs}/logs")
-        v.payers.write.option("header", True).csv(f"{inputs}/payers")
-        v.payees.write.option("header", True).csv(f"{inputs}/payees")
-        settings = stages.Settings(
-            f"{inputs}/logs",
-            f"{inputs}/payers",
-            f"{inputs}/payees",
-            # The test tables hold rows with an id and no amount.
-            accepted_failures=("not_null_enriched_transactions_amount",),
-        )
-        layers = stages.Layers.under(new_folder(v.spark, "layers"))
-        stages.run(v.spark, layers, settings, ("ingestion", "transform"))
-        _deployments[key] = layers, settings
-    return _deployments[key]
-
-
 def _stage_counts(v: Views) -> DataFrame:
-    layers, _ = _deployment(v)
+    layers = v.layers
     return report.layer_counts(
         {
             "raw": stages.read_raw(v.spark, layers),
@@ -247,29 +361,61 @@ def _stage_counts(v: Views) -> DataFrame:
 
 
 def _train_eval(v: Views) -> DataFrame:
-    layers, settings = _deployment(v)
-    return stages.train(v.spark, layers, settings)
+    return stages.train(v.spark, v.own_layers(), v.settings)
 
 
 def _score_unlabeled(v: Views) -> DataFrame:
-    layers, settings = _deployment(v)
-    fitted = stages.load_or_train(v.spark, layers, settings)
-    scored = model.score(fitted, stages.unlabeled_gold(v.spark, layers))
+    fitted = stages.load_or_train(v.spark, v.trained, v.settings)
+    scored = model.score(fitted, stages.unlabeled_gold(v.spark, v.trained))
     return scored.select("transaction_id", "fraud_probability", "prediction")
 
 
 def _review_queue(v: Views) -> DataFrame:
-    layers, settings = _deployment(v)
-    stages.infer(v.spark, layers, settings)
+    layers = replace(v.own_layers(), model=v.trained.model)
+    stages.infer(v.spark, layers, v.settings)
     return layers.queue.read(v.spark)
 
 
+def _score_checks(v: Views) -> DataFrame:
+    """Whether each unlabelled row has a probability, and the prediction that follows from it."""
+    p, prediction = F.col("fraud_probability"), F.col("prediction")
+    return _score_unlabeled(v).select(
+        "transaction_id",
+        ((p >= 0) & (p <= 1)).alias("is_probability"),
+        (prediction == F.when(p >= 0.5, 1.0).otherwise(0.0)).alias("follows"),
+    )
+
+
+def _queue_checks(v: Views) -> DataFrame:
+    """Whether each unlabelled row is queued as often as it should be, as it is in gold.
+
+    That is once for a probability of 0.5 and up, with label and prediction 1,
+    and never below.
+    """
+    kept = [c for c in QUEUE_COLUMNS if c not in (LABEL, "prediction")]
+    queued = _review_queue(v).filter((F.col(LABEL) == 1) & (F.col("prediction") == 1.0))
+    times = queued.groupBy(kept).agg(F.count("*").alias("times"))
+    gold = stages.unlabeled_gold(v.spark, v.layers)
+    same = reduce(Column.__and__, [gold[c].eqNullSafe(times[c]) for c in kept])
+    scores = _score_unlabeled(v).withColumnRenamed("transaction_id", "scored_id")
+    expected = F.when(F.col("fraud_probability") >= 0.5, 1).otherwise(0)
+    return (
+        gold.join(times, same, "left")
+        .join(scores, gold["transaction_id"] == F.col("scored_id"))
+        .select(gold["transaction_id"], (F.coalesce("times", F.lit(0)) == expected).alias("right"))
+    )
+
+
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Sources and sinks.
     "raw_scan": lambda v: v.raw,
     "dim_payers": lambda v: v.payers,
     "dim_payees": lambda v: v.payees,
     "typed_rows": _typed_rows,
+    "quarantine_text": _quarantine_text,
+    "parse_losses": lambda v: clean.parse_losses(_odd_text(v)),
+    "odd_amounts": _odd_amounts,
+    "labels_all": _labels_all,
     "json_ingest": _json_ingest,
     "json_line_states": _json_states,
     "csv_payers": lambda v: _csv(v, v.payers, PAYER_COLUMNS, ()),
@@ -321,7 +467,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "layer_sample_raw": lambda v: report.layer_sample(v.raw),
     "layer_sample_stg": lambda v: report.layer_sample(v.silver),
     "layer_sample_invalid": lambda v: report.layer_sample(v.invalid),
-    "layer_sample_gold": lambda v: report.layer_sample(v.gold),
+    "layer_sample_gold": lambda v: report.layer_sample(stages.read_gold(v.spark, v.layers)),
     "layer_sample_payers": lambda v: report.layer_sample(v.payers),
     "layer_sample_payees": lambda v: report.layer_sample(v.payees),
     # Review queue.
@@ -331,6 +477,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "proxy_alerts": lambda v: v.alerts,
     "queue_existing_columns": lambda v: queue.existing(v.silver, QUEUE_COLUMNS),
     "queue_append_twice": _append_twice,
+    "queue_append_repeats": _append_repeats,
     "queue_replace": lambda v: _stored_twice(v, report.unlabeled(v.gold), v.alerts),
     "queue_filter": lambda v: report.filter_queue(v.alerts, COUNTRIES, MIN_AMOUNT),
     "queue_formatted": lambda v: report.formatted_queue(v.alerts),
@@ -345,6 +492,10 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
         _stored(v, report.labeled(v.gold).select("transaction_id", LABEL))
     ),
     "random_split": _random_split,
+    "split_rows": _split_rows,
+    "one_hot": _one_hot,
+    "scaled_features": _scaled_features,
+    "fraud_probability": _fraud_probability,
     "roc_auc": lambda v: _area(v, "roc_auc"),
     "avg_precision": lambda v: _area(v, "average_precision"),
     "pr_auc": lambda v: _area(v, "pr_auc"),
@@ -358,6 +509,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "train_eval": _train_eval,
     "score_unlabeled": _score_unlabeled,
     "review_queue": _review_queue,
+    "score_checks": _score_checks,
+    "queue_checks": _queue_checks,
 }
 
 

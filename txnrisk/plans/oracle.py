@@ -1,5 +1,7 @@
 """The catalogue's queries as plain SQL over the test tables, written independently of Spark."""
 
+from txnrisk.schemas import CATEGORICAL_FEATURES, GOLD_COLUMNS, NUMERIC_FEATURES, RAW_COLUMNS
+
 RAW = """
 raw_transactions AS (
   SELECT
@@ -175,20 +177,106 @@ def _sample(table: str, columns: list[str], n: int = 100) -> str:
     return _over(f" SELECT {', '.join(columns)} FROM {table} ORDER BY {order} LIMIT {n}")
 
 
-_RAW_COLUMNS = (
-    "transaction_id timestamp payor_id payee_id amount currency payment_method status"
-    " merchant_mcc device_id ip_address is_fraud"
-).split()
-_GOLD_COLUMNS = (
-    "transaction_id timestamp amount currency payment_method status merchant_mcc device_id"
-    " ip_address payor_id payor_name payor_country payor_risk_score payee_id payee_name"
-    " payee_country payee_risk_score payee_category is_fraud"
-).split()
-_FEATURES = "payment_method currency payor_country payee_country payee_category".split()
 _CUT_LINE = "merchant_mcc % 50 = 7"
 _READABLE = f"SELECT * FROM raw_transactions WHERE NOT ({_CUT_LINE})"
 
+# Raw rows as text, some of it unreadable, and what is left of it as numbers.
+_ODD = """
+odd_text AS (
+  SELECT * REPLACE (
+    CASE merchant_mcc % 9 WHEN 0 THEN 'n/a' WHEN 1 THEN '1,234.50' WHEN 2 THEN '12d'
+      WHEN 3 THEN '1e999' WHEN 4 THEN '0x1p4'
+      ELSE CAST(CAST(round(amount * 100) AS BIGINT) AS VARCHAR) END AS amount,
+    CASE WHEN merchant_mcc % 5 = 0 THEN 'code' ELSE CAST(merchant_mcc AS VARCHAR) END AS merchant_mcc,
+    CASE WHEN currency = 'GBP' AND is_fraud = 1 THEN 'maybe' ELSE CAST(is_fraud AS VARCHAR) END
+      AS is_fraud),
+    merchant_mcc % 9 < 5 AS odd, payment_method = '5-LOW' AS no_time
+  FROM raw_transactions
+),
+odd_states AS (
+  SELECT *, CASE WHEN transaction_id IS NULL OR trim(transaction_id) = ''
+                 THEN 'MISSING_TRANSACTION_ID'
+                 WHEN odd OR amount IS NULL OR CAST(amount AS BIGINT) <= 0 THEN 'INVALID_AMOUNT'
+                 ELSE 'VALID' END AS record_state
+  FROM odd_text
+)"""
+
 ORACLE: dict[str, str] = {
+    "quarantine_text": _over(
+        """
+        SELECT transaction_id, amount, merchant_mcc, is_fraud, record_state AS quarantine_reason
+        FROM odd_states WHERE record_state <> 'VALID'""",
+        _ODD,
+    ),
+    "odd_amounts": _over(
+        """
+        SELECT CASE WHEN odd THEN amount END AS amount, record_state, count(*) AS n
+        FROM odd_states GROUP BY 1, 2""",
+        _ODD,
+    ),
+    "parse_losses": _over(
+        """
+        SELECT 'timestamp' AS column, count(*) FILTER (no_time) AS lost FROM odd_text
+        UNION ALL SELECT 'amount', count(*) FILTER (odd) FROM odd_text
+        UNION ALL SELECT 'merchant_mcc', count(*) FILTER (merchant_mcc = 'code') FROM odd_text
+        UNION ALL SELECT 'is_fraud', count(*) FILTER (is_fraud = 'maybe') FROM odd_text""",
+        _ODD,
+    ),
+    "labels_all": _over(
+        """
+        SELECT label AS is_fraud, CAST(sum(n) AS BIGINT) AS n FROM (
+          SELECT CAST(CASE WHEN merchant_mcc % 9 = 0 THEN 7 ELSE is_fraud END AS BIGINT) AS label,
+                 1 AS n FROM enriched_transactions
+          UNION ALL SELECT 0, 0 UNION ALL SELECT 1, 0)
+        WHERE label IS NOT NULL GROUP BY label"""
+    ),
+    "random_split": _over(
+        """
+        SELECT split, is_fraud, count(*) AS n FROM (
+          SELECT is_fraud, CASE WHEN CAST(('0x' || substr(md5('42:' || transaction_id), 1, 8)) AS BIGINT)
+                                     < 4 * 4294967296 // 5 THEN 'train' ELSE 'test' END AS split
+          FROM enriched_transactions WHERE is_fraud IS NOT NULL)
+        GROUP BY split, is_fraud"""
+    ),
+    "split_rows": _over(
+        """
+        SELECT is_fraud, 'train' AS split, 4 * count(*) // 5 AS n FROM enriched_transactions
+        WHERE is_fraud IS NOT NULL GROUP BY is_fraud
+        UNION ALL
+        SELECT is_fraud, 'test', count(*) - 4 * count(*) // 5 FROM enriched_transactions
+        WHERE is_fraud IS NOT NULL GROUP BY is_fraud"""
+    ),
+    "one_hot": _over(
+        " UNION ALL ".join(
+            f"""
+            SELECT '{c}' AS feature, value, array_to_string(list_transform(range(n),
+                     lambda i: CASE WHEN i = place THEN '1' ELSE '0' END), ',') AS hot
+            FROM (SELECT {c} AS value, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS place,
+                         count(*) OVER () AS n
+                  FROM enriched_transactions WHERE is_fraud IS NOT NULL GROUP BY {c})"""
+            for c in CATEGORICAL_FEATURES
+        )
+    ),
+    "scaled_features": _over(
+        " SELECT transaction_id, "
+        + ", ".join(f"round({c} / stddev_samp({c}) OVER (), 6) AS {c}" for c in NUMERIC_FEATURES)
+        + " FROM enriched_transactions WHERE is_fraud IS NOT NULL AND amount IS NOT NULL"
+    ),
+    "fraud_probability": _over(
+        """
+        SELECT transaction_id, CASE WHEN merchant_mcc % 11 IN (0, 1) THEN 0.0::DOUBLE
+                                    ELSE fraud_probability END AS fraud_probability
+        FROM scored"""
+    ),
+    "score_checks": _over(
+        """
+        SELECT transaction_id, true AS is_probability, true AS follows
+        FROM enriched_transactions WHERE is_fraud IS NULL"""
+    ),
+    "queue_checks": _over(
+        " SELECT transaction_id, true AS right FROM enriched_transactions WHERE is_fraud IS NULL"
+    ),
+    "queue_append_repeats": _all("review_queue"),
     "raw_scan": _all("raw_transactions"),
     "dim_payers": _all("dim_payers"),
     "dim_payees": _all("dim_payees"),
@@ -273,12 +361,12 @@ ORACLE: dict[str, str] = {
         " SELECT * FROM enriched_transactions WHERE is_fraud IS NOT NULL"
         " ORDER BY transaction_id LIMIT 2500"
     ),
-    "layer_sample_raw": _sample("raw_transactions", _RAW_COLUMNS),
-    "layer_sample_stg": _sample("stg_transactions", _RAW_COLUMNS),
+    "layer_sample_raw": _sample("raw_transactions", RAW_COLUMNS),
+    "layer_sample_stg": _sample("stg_transactions", RAW_COLUMNS),
     "layer_sample_invalid": _sample(
-        "invalid_transactions", [*_RAW_COLUMNS, "quarantined_at", "quarantine_reason"]
+        "invalid_transactions", [*RAW_COLUMNS, "quarantined_at", "quarantine_reason"]
     ),
-    "layer_sample_gold": _sample("enriched_transactions", _GOLD_COLUMNS),
+    "layer_sample_gold": _sample("enriched_transactions", GOLD_COLUMNS),
     "layer_sample_payers": _sample(
         "dim_payers", ["payor_id", "payor_name", "payor_country", "payor_risk_score"]
     ),
@@ -336,7 +424,7 @@ ORACLE: dict[str, str] = {
             SELECT '{c}' AS feature, {c} AS value,
                    row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS position
             FROM enriched_transactions WHERE is_fraud IS NOT NULL GROUP BY {c}"""
-            for c in _FEATURES
+            for c in CATEGORICAL_FEATURES
         )
     ),
     "stratified_split": _over(

@@ -13,9 +13,10 @@ def builder(
 
     For large inputs give ``shuffle_partitions``, about one per 200 MB of
     shuffled data (AQE merges what turns out small), and ``split_size``, the
-    input bytes of one scan task: at ``512m`` 100 TB are 200,000 tasks, and the
-    ingestion, which writes one file per task and record state, has no more
-    small files than that.
+    input bytes of one scan task: at ``512m`` 100 TB are 200,000 tasks. The
+    ingestion writes one file per task and record state, so up to four times as
+    many files; those of the rare states are small. Compact these folders, or
+    give larger splits, where the store minds.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +28,32 @@ from txnrisk.operators import (
     split,
 )
 from txnrisk.operators.joins import LIMITS, Limits
-from txnrisk.schemas import GOLD_COLUMNS, LABEL, PAYEE_COLUMNS, PAYER_COLUMNS, RAW_COLUMNS
+from txnrisk.schemas import (
+    GOLD_COLUMNS,
+    LABEL,
+    PAYEE_COLUMNS,
+    PAYER_COLUMNS,
+    QUEUE_COLUMNS,
+    RAW_COLUMNS,
+    text_schema,
+    typed_schema,
+)
 from txnrisk.sources import files, models
 from txnrisk.sources.tables import Table, append_new, in_few_files, materialize
 
 LABEL_STATE = "label_state"
-# Failures of these are only warned of.
-LOOKUP_TESTS = ("unique_dim_payers_payor_id", "unique_dim_payees_payee_id")
+# Failures of these are only warned of: repeated lookup keys, odd labels, unreadable values.
+WARNINGS = (
+    "unique_dim_payers_payor_id",
+    "unique_dim_payees_payee_id",
+    "accepted_values_stg_transactions_is_fraud",
+    "readable_raw_transactions_timestamp",
+    "readable_raw_transactions_amount",
+    "readable_raw_transactions_merchant_mcc",
+    "readable_raw_transactions_is_fraud",
+)
+RAW_SCHEMA = text_schema([*RAW_COLUMNS, files.CORRUPT_TEXT, clean.STATE])
+GOLD_SCHEMA = typed_schema([*GOLD_COLUMNS, LABEL_STATE])
 STAGES = ("ingestion", "transform", "training", "inference")
 
 
@@ -80,7 +100,8 @@ class Layers:
 class Settings:
     """Inputs and choices of a run."""
 
-    logs: str
+    # A path, or several of which the first that exists is read.
+    logs: str | tuple[str, ...]
     payers: str | None = None
     payees: str | None = None
     csv_null_tokens: tuple[str, ...] = ()
@@ -94,22 +115,29 @@ class Settings:
 
 
 def read_raw(spark: SparkSession, layers: Layers) -> DataFrame:
-    """The readable rows of the raw layer with their stored record state."""
-    return files.readable(layers.raw.read(spark)).select(*RAW_COLUMNS, clean.STATE)
+    """The readable rows of the raw layer, as text, with their stored record state."""
+    return files.readable(layers.raw.read(spark, RAW_SCHEMA)).select(*RAW_COLUMNS, clean.STATE)
 
 
 def read_corrupt(spark: SparkSession, layers: Layers) -> DataFrame:
     """The input lines that held no JSON object."""
-    return files.corrupt(layers.raw.read(spark))
+    return files.corrupt(layers.raw.read(spark, RAW_SCHEMA))
+
+
+def read_lookups(spark: SparkSession, layers: Layers) -> tuple[DataFrame, DataFrame]:
+    return (
+        layers.dim_payers.read(spark, typed_schema(PAYER_COLUMNS)),
+        layers.dim_payees.read(spark, typed_schema(PAYEE_COLUMNS)),
+    )
 
 
 def read_gold(spark: SparkSession, layers: Layers) -> DataFrame:
-    return layers.gold.read(spark).select(GOLD_COLUMNS)
+    return layers.gold.read(spark, GOLD_SCHEMA).select(GOLD_COLUMNS)
 
 
 def _read_gold_half(spark: SparkSession, layers: Layers, state: str) -> DataFrame:
     """Only the stored half with or without labels is listed and read."""
-    gold = layers.gold.read(spark)
+    gold = layers.gold.read(spark, GOLD_SCHEMA)
     half = report.labeled(gold) if state == "labeled" else report.unlabeled(gold)
     if LABEL_STATE in gold.columns:
         half = half.filter(F.col(LABEL_STATE) == state)
@@ -130,23 +158,26 @@ def ingest(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame
     The lines are read once: valid, quarantined and corrupt ones go to their
     own directories of the raw table.
     """
-    layers.raw.replace(files.read_lines(spark, settings.logs), partition_by=clean.STATE)
+    paths = (settings.logs,) if isinstance(settings.logs, str) else settings.logs
+    lines = files.read_lines(spark, files.first_existing(spark, *paths))
+    layers.raw.replace(lines, partition_by=clean.STATE)
     for path, columns, target in (
         (settings.payers, PAYER_COLUMNS, layers.dim_payers),
         (settings.payees, PAYEE_COLUMNS, layers.dim_payees),
     ):
         target.replace(files.read_lookup(spark, path, columns, settings.csv_null_tokens))
-    return report.ingestion_summary(read_raw(spark, layers))
+    return report.ingestion_summary(clean.typed(read_raw(spark, layers)))
 
 
 def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
     """Raw to silver, quarantine and gold; the quality report as result.
 
     Raises ``QualityError`` after the tables are written if a test fails that
-    is not accepted. Repeated lookup keys are a warning.
+    is not accepted. Repeated lookup keys, labels that are no class and values
+    that could not be read are warnings; the report counts them.
     """
     raw = read_raw(spark, layers)
-    payers, payees = layers.dim_payers.read(spark), layers.dim_payees.read(spark)
+    payers, payees = read_lookups(spark, layers)
     silver = materialize(clean.latest(raw), "stg_transactions", layers.silver)
     started = F.lit(datetime.now(timezone.utc))
     layers.invalid.replace(in_few_files(clean.quarantine(raw, started)))
@@ -154,10 +185,14 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
     state = F.when(F.col(LABEL).isNull(), "unlabeled").otherwise("labeled")
     layers.gold.replace(gold.withColumn(LABEL_STATE, state), partition_by=LABEL_STATE)
     tests = quality.quality_report(silver, read_gold(spark, layers))
-    lookups = quality.lookup_report(payers, payees)
-    layers.quality.replace(tests.unionByName(lookups).coalesce(1))
+    others = [
+        quality.lookup_report(payers, payees),
+        quality.label_test(silver, "stg_transactions"),
+        quality.reading_tests(clean.parse_losses(raw), "raw_transactions"),
+    ]
+    layers.quality.replace(reduce(DataFrame.unionByName, others, tests).coalesce(1))
     results = layers.quality.read(spark)
-    quality.require_passed(results, (*settings.accepted_failures, *LOOKUP_TESTS))
+    quality.require_passed(results, (*settings.accepted_failures, *WARNINGS))
     return results
 
 
@@ -198,13 +233,15 @@ def infer(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
     fitted = load_or_train(spark, layers, settings)
     waiting = unlabeled_gold(spark, layers)
     if settings.score_first_when_none_wait and waiting.isEmpty():
-        waiting = report.first_rows(read_gold(spark, layers), 2500, ["transaction_id"])
+        waiting = report.first_rows(
+            read_gold(spark, layers), report.FIRST_ROWS, ["transaction_id"]
+        )
     alerts = queue.alerts(model.score(fitted, waiting, settings.threshold), settings.threshold)
     if settings.replace_queue:
         layers.queue.replace(in_few_files(alerts))
     else:
         append_new(alerts, layers.queue)
-    return report.alert_sample(layers.queue.read(spark))
+    return report.alert_sample(layers.queue.read(spark, typed_schema(QUEUE_COLUMNS)))
 
 
 def run(

@@ -23,6 +23,17 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return os.path.join(shared_folder(spark), f"txnrisk-{spark.sparkContext.applicationId}")
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return os.path.join(shared_folder(spark), f"txnrisk-{purpose}-{uuid.uuid4().hex}")
+    """A path that nothing else uses, in the application's folder."""
+    return os.path.join(own_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def remove_folders(spark: SparkSession) -> None:
+    """Delete what this application has stored there. Results that read it are gone too."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

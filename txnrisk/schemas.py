@@ -74,6 +74,7 @@ CATEGORICAL_FEATURES = [
 ]
 NUMERIC_FEATURES = ["amount", "payor_risk_score", "payee_risk_score", "merchant_mcc"]
 LABEL = "is_fraud"
+CLASSES = (0, 1)
 
 DOUBLE_COLUMNS = ["amount", "payor_risk_score", "payee_risk_score"]
 

@@ -1,31 +1,27 @@
 """Input files: transactions as JSON lines, lookups as CSV."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.functions import parsing, rules
-from txnrisk.operators.clean import STATE, typed
+from txnrisk.operators.clean import STATE, with_state
 from txnrisk.schemas import DOUBLE_COLUMNS, RAW_COLUMNS, text_schema, typed_schema
 
 CORRUPT_TEXT = "corrupt_line"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether a file, folder or pattern is there. Nothing below a folder is listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return bool(found)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every JSON line, typed, with its record state; a missing path is an error.
+    """Every JSON line as text values, with its record state; a missing path is an error.
 
-    All values are read as text and cast one by one, so an odd value costs
-    that value and not the line. A line that is no JSON object has the state
+    Values stay as they arrived, and silver casts them one by one, so an odd
+    value costs that value there and not the line. A line that is no JSON object has the state
     ``CORRUPT_LINE`` and its text in ``corrupt_line``. Blank lines are skipped.
     Store the result before counting it: Spark refuses to scan JSON for the
     corrupt text alone, which is what such a count would come down to.
@@ -36,12 +32,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT_TEXT)
         .json(path)
     )
-    state = F.when(F.col(CORRUPT_TEXT).isNotNull(), rules.CORRUPT).otherwise(rules.record_state())
-    return typed(lines).withColumn(STATE, state)
+    checked = with_state(lines)
+    state = F.when(F.col(CORRUPT_TEXT).isNotNull(), rules.CORRUPT).otherwise(F.col(STATE))
+    return checked.withColumn(STATE, state)
 
 
 def readable(lines: DataFrame) -> DataFrame:
-    """The raw layer: every line that held a JSON object."""
+    """The raw layer: every line that held a JSON object, its values as text."""
     return lines.filter(F.col(STATE) != rules.CORRUPT).drop(CORRUPT_TEXT)
 
 

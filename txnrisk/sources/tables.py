@@ -3,10 +3,14 @@
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from txnrisk.operators.queue import not_queued
+from txnrisk.operators.queue import not_queued, one_per_id
 from txnrisk.sources.files import path_exists
 
+# Formats whose folders a schema can be given for; the others know their columns.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
 
 @dataclass(frozen=True)
 class Table:
@@ -23,10 +27,14 @@ class Table:
             return spark.catalog.tableExists(self.name)
         return path_exists(spark, self.path) if self.path else True
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
+        """The table. With a schema, a folder of files has these columns, even without any row."""
         if self.name:
             return spark.table(self.name)
-        return spark.read.format(self.format).options(**self.options).load(self.path)
+        reader = spark.read.format(self.format).options(**self.options)
+        if schema is not None and self.path and self.format in FILE_FORMATS:
+            reader = reader.schema(schema)
+        return reader.load(self.path)
 
     def write(self, df: DataFrame, mode: str, partition_by: str | None = None) -> None:
         writer = df.write.format(self.format).options(**self.options).mode(mode)
@@ -53,14 +61,15 @@ def materialize(df: DataFrame, name: str, table: Table | None = None) -> DataFra
     """Give a model a name: stored in ``table`` and read back, or as a view when none is given."""
     if table is not None:
         table.replace(df)
-        df = table.read(df.sparkSession)
+        df = table.read(df.sparkSession, df.schema)
     df.createOrReplaceTempView(name)
     return df
 
 
 def append_new(alerts: DataFrame, queue: Table) -> None:
-    """Append the alerts that are not queued yet."""
+    """Append the alerts that are not queued yet, one for each id."""
     spark = alerts.sparkSession
+    alerts = one_per_id(alerts)
     if queue.exists(spark):
-        alerts = not_queued(alerts, queue.read(spark))
+        alerts = not_queued(alerts, queue.read(spark, alerts.schema))
     queue.append(in_few_files(alerts))
