@@ -67,7 +67,7 @@ def test_base_spans_are_the_patterns_matches(spark, model):
 
 def test_the_models_find_random_strings_and_leave_words(spark, model):
     keys = [base64_key(40, 1000 + i) for i in range(50)]
-    words = ["internationalization", "the_quick_brown_fox_jumps", "thtionstheranderinthe", "----------------------"]
+    words = ["internationalization", "the_quick_brown_fox_jumps", "thtionstheranderinthe", "----------------------", "=-=-=-=-=-=-=-=-=-=-=-"]
     texts = [f"é the {k} and" for k in keys] + [f"the {w} and" for w in words]
     rows = {r.doc_id: r.spans for r in secret_scan.scan(llm_frames.documents(spark, texts), model).collect()}
     hits = [[(s.kind, s.start, s.end) for s in rows[i]] for i in range(len(texts))]

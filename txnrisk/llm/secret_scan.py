@@ -3,7 +3,8 @@
 A string of token characters is a secret of kind ``markov`` when a character
 Markov model of random strings explains it better than one of ordinary
 identifiers: the log-likelihood ratio has to reach ``Model.least`` in total and
-``Model.least_per_char`` per character. Both models are trained by counting
+``Model.least_per_char`` per character. Rulers such as a row of dashes, with less
+than ``Model.least_distinct`` different characters, are no random strings. Both models are trained by counting
 transitions in labelled samples; ``fit`` labels the corpus by the fixed patterns.
 
 Defined results: a null text is empty and has no spans; rows are judged one by
@@ -55,6 +56,7 @@ class Model:
     ordinary: np.ndarray = field(repr=False)
     least: float = 12.0
     least_per_char: float = 0.5
+    least_distinct: int = 6
 
     @property
     def ratio(self) -> np.ndarray:
@@ -100,6 +102,8 @@ def markov_spans(
         start, end = m.span()
         if any(start < e and s < end for s, _, e in base):
             continue
+        if len(set(one_byte[start:end])) < model.least_distinct:
+            continue
         states = np.zeros(end - start + 2, dtype=np.int32)
         states[1:-1] = _states(one_byte[start:end])
         score = float(ratio[states[:-1], states[1:]].sum())
