@@ -2,6 +2,7 @@ import math
 import zlib
 
 import llm_frames
+import pyarrow as pa
 import pytest
 
 from txnrisk.llm import language_id, queries
@@ -11,7 +12,9 @@ MIDDLE = "/root/testdata/sf0.01"
 
 def test_scores_by_hand():
     rows = [("a", 0, "the", 3, 4), ("b", 0, "le", 2, 4), ("b", 0, "the", 1, 4), ("a", 2, "th", 5, 10), ("b", 1, "z", 1, 10)]
-    model = language_id.model_of(rows, missing=-5.0)
+    names = ["lang", "order", "term", "n", "total"]
+    columns = [list(c) for c in zip(*rows, strict=True)]
+    model = language_id.model_of(pa.table(dict(zip(names, columns, strict=True))), missing=-5.0)
     assert model.languages == ("a", "b")
     assert model.score("the").tolist() == pytest.approx([math.log10(3 / 4), math.log10(1 / 4)])
     assert model.score("le").tolist() == pytest.approx([-5, math.log10(1 / 2)])
@@ -70,8 +73,8 @@ def test_frequencies_are_relative_to_the_language(spark):
     assert found.languages == ("x", "y")
     assert found.score("aa").tolist() == pytest.approx([math.log10(2 / 3), math.log10(1 / 4)])
     # " cc " as trigrams: " cc" and "cc ", three each of six.
-    assert found.terms[3][" cc"][1] == pytest.approx(math.log10(3 / 8))
-    assert language_id.fit(docs, words=1).terms[0].keys() == {"aa", "cc"}
+    assert found.table[found.rows[3][" cc"], 1] == pytest.approx(math.log10(3 / 8))
+    assert language_id.fit(docs, words=1).rows[0].keys() == {"aa", "cc"}
 
 
 def test_held_out_documents_teach_nothing(spark):

@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.tables import for_tasks, steps, with_text
+from txnrisk.llm.tables import for_tasks, steps, stored, with_text
 
 UNKNOWN = "und"
 FOLDS = 5
@@ -58,46 +59,56 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """Log10 relative frequencies: rows by term, columns by language. Order 0 holds the words."""
+    """Log10 relative frequencies: the rows of terms by order, 0 for words, and a column a language."""
 
     languages: tuple[str, ...]
-    terms: dict[int, dict[str, np.ndarray]]
-    missing: float
+    rows: dict[int, dict[str, int]]
+    table: np.ndarray
 
     def score(self, word: str) -> np.ndarray:
         """One word's score for each language; zeros if nothing of it is known."""
-        known = self.terms[0].get(word)
+        known = self.rows[0].get(word)
         if known is not None:
-            return known
+            return self.table[known]
         for order in ORDERS:
-            table = self.terms[order]
-            found = [table[g] for g in grams_of(word, order) if g in table]
+            rows = self.rows[order]
+            found = [rows[g] for g in grams_of(word, order) if g in rows]
             if found:
-                return np.mean(found, axis=0)
+                return self.table[found].mean(axis=0)
         return np.zeros(len(self.languages))
 
 
-def model_of(counts: list[tuple[str, int, str, int, int]], missing: float = -7.0) -> Model:
-    """From rows of (language, order, term, count, count of all terms of that order there)."""
-    languages = tuple(sorted({r[0] for r in counts}))
-    place = {name: i for i, name in enumerate(languages)}
-    terms: dict[int, dict[str, np.ndarray]] = {order: {} for order in (0, *ORDERS)}
-    for language, order, term, n, total in counts:
-        row = terms[order].setdefault(term, np.full(len(languages), missing))
-        row[place[language]] = np.log10(n / total)
-    return Model(languages, terms, missing)
+def model_of(counts: pa.Table, missing: float = -7.0) -> Model:
+    """From rows of lang, order, term, n, and total, the count of all terms of that order there."""
+    languages = tuple(sorted(pc.unique(counts["lang"]).to_pylist()))
+    place = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy()
+    values = np.log10(counts["n"].to_numpy() / counts["total"].to_numpy())
+    rows: dict[int, dict[str, int]] = {order: {} for order in (0, *ORDERS)}
+    n_rows = 0
+    at = np.zeros(len(values), dtype=np.int64)
+    keys = zip(counts["order"].to_pylist(), counts["term"].to_pylist(), strict=True)
+    for i, (order, term) in enumerate(keys):
+        at[i] = rows[order].setdefault(term, n_rows)
+        n_rows += at[i] == n_rows
+    table = np.full((int(n_rows), len(languages)), missing)
+    table[at, place] = values
+    return Model(languages, rows, table)
 
 
 def _sampled(docs: DataFrame, sample: int) -> DataFrame:
     """lang and text of the labelled documents to learn from, about ``sample`` for each language.
 
-    Documents are taken by a hash of their id, at a rate by language.
+    Documents are taken by a hash of their id, at a rate by language, so nothing
+    is shuffled. The driver gets a count for each language, as it gets the model.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    rates = usable.groupBy("lang").agg((F.lit(sample) / F.count("*")).alias("rate"))
+    counts = usable.groupBy("lang").count().collect()
     share = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / (1 << 30)
-    picked = usable.select("lang", "text", share.alias("share")).join(rates, "lang")
-    return picked.filter("share < rate").select("lang", "text")
+    rate = F.lit(None).cast("double")
+    if counts:
+        pairs = [F.lit(x) for row in counts for x in (row["lang"], sample / row["count"])]
+        rate = F.element_at(F.create_map(*pairs), F.col("lang"))
+    return usable.filter(share < rate).select("lang", "text")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,21 +128,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _grams(words: DataFrame, order: int) -> DataFrame:
-    """The n-grams of all words, each as often as its word."""
+def _terms(words: DataFrame) -> DataFrame:
+    """The words (order 0) and their n-grams, each as often as its words: (lang, order, term, n)."""
     marked = F.concat(F.lit(" "), "word", F.lit(" "))
-    cuts = F.sequence(F.lit(1), F.greatest(F.length(marked) - order + 1, F.lit(1)))
-    gram = F.explode(F.transform(cuts, lambda i: F.substring(marked, i, F.lit(order))))
-    found = words.select("lang", gram.alias("term"), "n").filter(F.length("term") == order)
-    return found.groupBy("lang", "term").agg(F.sum("n").alias("n"))
 
+    def grams(order: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - order + 1, F.lit(1)))
+        return F.transform(
+            starts,
+            lambda i: F.struct(
+                F.lit(order).alias("order"), F.substring(marked, i, F.lit(order)).alias("term")
+            ),
+        )
 
-def _frequent(terms: DataFrame, order: int, most: int) -> DataFrame:
-    """Each language's most frequent terms, with the count of all its terms."""
-    totals = terms.groupBy("lang").agg(F.sum("n").alias("total"))
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "term")
-    top = terms.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= most)
-    return top.join(totals, "lang").select("lang", F.lit(order).alias("order"), "term", "n", "total")
+    whole = F.array(F.struct(F.lit(0).alias("order"), F.col("word").alias("term")))
+    found = words.select("lang", F.inline(F.concat(whole, *map(grams, ORDERS))), "n")
+    # Words shorter than an order leave what is no n-gram of it.
+    exact = found.filter("order = 0 or length(term) = order")
+    return exact.groupBy("lang", "order", "term").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
@@ -141,13 +155,16 @@ def fit(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int =
     """
     for_tasks(docs.sparkSession)
     counted = _sampled(docs, sample).mapInArrow(_count, "lang string, word string, n long")
-    per_word = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
-    kept = _frequent(per_word.withColumnRenamed("word", "term"), 0, words)
-    for order in ORDERS:
-        kept = kept.unionAll(_frequent(_grams(per_word, order), order, grams))
-    rows = [tuple(r) for r in kept.collect()]
-    per_word.unpersist()
-    return model_of(rows)
+    per_word = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    terms = stored(_terms(per_word), "terms")
+    totals = terms.groupBy("lang", "order").agg(F.sum("n").alias("total"))
+    by_count = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "term")
+    ranked = terms.withColumn("rank", F.row_number().over(by_count))
+    # The first condition bounds the rank before the shuffle as well.
+    top = ranked.filter(F.col("rank") <= max(words, grams)).filter(
+        F.col("rank") <= F.when(F.col("order") == 0, words).otherwise(grams)
+    )
+    return model_of(top.join(totals, ["lang", "order"]).drop("rank").toArrow())
 
 
 class Scorer:
