@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from txnrisk.llm import links
 from txnrisk.llm.tables import for_tasks, stored
@@ -99,7 +100,7 @@ def _hashed(classes: DataFrame, tables: int, codes: int, probes: int) -> DataFra
         for batch in batches:
             vectors = batch.column("vec")
             sizes = np.diff(vectors.offsets.to_numpy())
-            flat = vectors.flatten().to_numpy()
+            flat = vectors.flatten().to_numpy().astype(np.float64)
             starts = np.cumsum(sizes) - sizes
             for dim in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dim)
@@ -115,7 +116,8 @@ def _hashed(classes: DataFrame, tables: int, codes: int, probes: int) -> DataFra
                     names=[*batch.schema.names, "keys"],
                 )
 
-    schema = "node long, size long, vec array<double>, first long, dim int, keys array<long>"
+    kind = classes.schema["vec"].dataType.simpleString()
+    schema = f"node long, size long, vec {kind}, first long, dim int, keys array<long>"
     return classes.mapInArrow(work, schema)
 
 
@@ -123,7 +125,7 @@ def _compared(least: float):
     def pairs(block: dict[str, np.ndarray]) -> links.Edges:
         """Links of the block that no earlier bucket has: counts for each node, and a forest."""
         node, keys, part = block["node"], block["keys"], block["part"]
-        units, bucket = unit(block["vec"]), block["bucket"][0]
+        units, bucket = unit(block["vec"].astype(np.float64)), block["bucket"][0]
         diagonal = block["low"][0] == block["high"][0]
         earlier = np.argmax(keys == bucket, axis=1)
         sums = np.zeros(len(node), dtype=np.int64)
@@ -178,8 +180,10 @@ def links_and_groups(
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
     for_tasks(vectors.sparkSession)
-    doubles = F.col("embedding").cast("array<double>")
-    rows = vectors.select("vec_id", F.when(usable(F.col("embedding")), doubles).alias("vec"))
+    # Single precision travels as it is; tasks turn it to double, which changes no value.
+    single = vectors.schema["embedding"].dataType == ArrayType(FloatType())
+    vector = F.col("embedding").cast("array<float>" if single else "array<double>")
+    rows = vectors.select("vec_id", F.when(usable(F.col("embedding")), vector).alias("vec"))
     # Equal vectors are one class, named by a number that storing it fixes.
     valid = rows.filter("vec is not null")
     classes = stored(
