@@ -146,19 +146,23 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter("u > v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a node that has none further."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.filter("down > 1 or (down > 0 and up > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node reachable, of all nodes with an edge (u, v).
 
     Alternates large stars and small stars (Kiveris and others, 2014) until
-    nothing moves. Every round is stored, and only its row count and checksum
-    come to the driver. Hot nodes are pre-aggregated, and the join spreads them.
+    every node points to its root. Every round is stored. Hot nodes are
+    pre-aggregated, and the join spreads them.
     """
     larger, smaller = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     now = stored(edges.select(larger, smaller).filter("u > v").distinct(), "edges")
-    seen = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
+    while not _settled(now):
         now = stored(_stars(stored(_stars(now, large=True), "large"), large=False), "small")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
