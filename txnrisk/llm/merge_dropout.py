@@ -9,7 +9,8 @@ gets one of ``variants`` cuts, by a hash of seed, document and place, so each
 worker can remember the cuts of the chunks met last.
 
 No piece of the vocabulary goes on after a space begins, so a text is cut into
-chunks before the spaces and each is encoded by itself. Characters outside the
+chunks before the spaces, and these where two characters follow each other in no
+piece; each is encoded by itself. Characters outside the
 vocabulary, and the space mark itself where a text holds it, become bytes, so
 decoding gives back every text exactly.
 
@@ -20,6 +21,7 @@ result; only ``doc_id`` and ``text`` are looked at.
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +35,15 @@ from txnrisk.llm.bytes_bpe import Memory
 from txnrisk.llm.tables import for_tasks, steps, with_text
 
 RATE, SEED, VARIANTS = 0.1, 2, 4
+#: Cuts that the younger halves of a worker's memories hold together.
+REMEMBERED = 400_000
 #: The mark that stands for a space in pieces.
 SPACE = "▁"
+#: Stands for a space mark that is part of a text; a private character in no piece.
+_STAND_IN = "\U0010fffe"
+#: Symbols up to which a plain list serves as the agenda.
+SHORT = 64
+_NEVER = float("-inf")
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -55,6 +64,7 @@ class Pieces:
         usable = [i for i in range(n) if not special[i] and not model.is_byte(i)]
         self.ids = {names[i]: i for i in usable}
         self.scores = {names[i]: model.get_score(i) for i in usable}
+        self._pairs = {name[i : i + 2] for name in self.ids for i in range(len(name) - 1)}
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes = [names[i].replace(SPACE, " ").encode() for i in range(n)]
         for b, i in enumerate(self.byte_ids):
@@ -65,10 +75,19 @@ class Pieces:
         if any(SPACE in name.lstrip(SPACE) or "\n" in name[1:] or "\n" in name[:-1] for name in self.ids):
             raise ValueError("this vocabulary has pieces that go on after a space or line feed")
 
-    def _final(self, symbol: str) -> list[int]:
-        known = self.ids.get(symbol)
-        # A mark that was in the text has been doubled up with a zero-width guard below.
-        return [known] if known is not None else [self.byte_ids[b] for b in symbol.encode()]
+    def parts(self, chunk: str) -> list[str]:
+        """The chunk cut between characters that follow each other in no piece; words stay whole.
+
+        No merge crosses such a place, so the parts' ids side by side are the chunk's.
+        """
+        if chunk[1:].isalpha():
+            return [chunk]
+        marked = chunk.replace(" ", SPACE)
+        pairs = self._pairs
+        cuts = [i for i in range(1, len(chunk)) if marked[i - 1 : i + 1] not in pairs]
+        if not cuts:
+            return [chunk]
+        return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)]
 
     def encode(self, chunk: str, rate: float, key: int) -> list[int]:
         """The ids of one chunk; a leading space is a space mark.
@@ -76,25 +95,57 @@ class Pieces:
         ``key`` seeds the hash by which candidates are skipped.
         """
         body = chunk.lstrip(" ")
-        symbols = [SPACE] * (len(chunk) - len(body)) + list(body)
-        literal = len(chunk) - len(body)
+        spaces = len(chunk) - len(body)
+        # The mark as a character of the text gets a stand-in that is in no piece.
+        symbols = [SPACE] * spaces + list(body.replace(SPACE, _STAND_IN))
+        limit = int(rate * 2**64)
+        merge = self._merged_short if len(symbols) <= SHORT else self._merged_long
+        ids: list[int] = []
+        for symbol in merge(symbols, limit, key):
+            known = self.ids.get(symbol)
+            if known is None:
+                text = SPACE if symbol == _STAND_IN else symbol
+                ids += [self.byte_ids[b] for b in text.encode()]
+            else:
+                ids.append(known)
+        return ids
+
+    def _merged_short(self, symbols: list[str], limit: int, key: int) -> list[str]:
+        """The agenda as a list with a place for each neighbouring pair; its best is its maximum."""
+        score, digest = self.scores.get, xxhash.xxh64_intdigest
+        places = list(range(len(symbols)))
+        agenda = [score(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda:
+            best = max(agenda)
+            if best == _NEVER:
+                break
+            at = agenda.index(best)
+            piece = symbols[at] + symbols[at + 1]
+            if limit and digest(f"{places[at]} {piece}", key) < limit:
+                agenda[at] = _NEVER
+                continue
+            symbols[at : at + 2] = [piece]
+            del places[at + 1], agenda[at]
+            if at:
+                agenda[at - 1] = score(symbols[at - 1] + piece, _NEVER)
+            if at < len(agenda):
+                agenda[at] = score(piece + symbols[at + 1], _NEVER)
+        return symbols
+
+    def _merged_long(self, symbols: list[str], limit: int, key: int) -> list[str]:
+        """The agenda as a heap, for chunks of any length."""
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list[tuple[float, int, str]] = []
-        scores = self.scores
 
         def offer(left: int, right: int) -> None:
-            # The space mark as a character of the text is never merged.
-            if symbols[right] == SPACE and right >= literal or symbols[left] == SPACE and left >= literal:
-                return
             piece = symbols[left] + symbols[right]
-            score = scores.get(piece)
+            score = self.scores.get(piece)
             if score is not None:
                 heapq.heappush(agenda, (-score, left, piece))
 
         for i in range(n - 1):
             offer(i, i + 1)
-        limit = int(rate * 2**64)
         while agenda:
             _, left, piece = heapq.heappop(agenda)
             right = after[left] if symbols[left] else n
@@ -110,13 +161,7 @@ class Pieces:
                 offer(left, after[left])
             if before[left] >= 0:
                 offer(before[left], left)
-        out: list[int] = []
-        for i, symbol in enumerate(symbols):
-            if symbol == SPACE and i >= literal:
-                out += [self.byte_ids[b] for b in SPACE.encode()]
-            elif symbol:
-                out += self._final(symbol)
-        return out
+        return [symbol for symbol in symbols if symbol]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text; the space that encoding puts before it is taken off."""
@@ -134,10 +179,13 @@ class Encoder:
 
     def _memory(self, variant: int) -> Memory:
         def cut(chunk: str) -> bytes:
+            parts = self.pieces.parts(chunk)
+            if len(parts) > 1:
+                return b"".join([self._cuts[variant](part) for part in parts])
             key = xxhash.xxh64_intdigest(chunk, (self._seed * 0x9E3779B9 + variant) & 0xFFFFFFFF)
-            return np.array(self.pieces.encode(chunk, self._rate, key), dtype="<u2").tobytes()
+            return array("H", self.pieces.encode(chunk, self._rate, key)).tobytes()
 
-        return Memory(cut, 200_000 // self._variants)
+        return Memory(cut, REMEMBERED // self._variants)
 
     def encode(self, text: str, doc_id: int | None) -> np.ndarray:
         """Little-endian ids of a text, which gets a space before it."""
