@@ -165,8 +165,8 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text; the space that encoding puts before it is taken off."""
-        table = self.bytes
-        return b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
+        joined = b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        return joined.decode("utf-8", "replace")[1:]
 
 
 class Encoder:
@@ -196,8 +196,10 @@ class Encoder:
         places = np.arange(len(chunks), dtype=np.uint64) + np.uint64(stream)
         mixed = places * np.uint64(0x9E3779B97F4A7C15)
         chosen = ((mixed >> np.uint64(33)) % np.uint64(self._variants)).tolist()
-        cuts = self._cuts
-        joined = b"".join([cuts[v](c) for c, v in zip(chunks, chosen, strict=True)])
+        cuts, known = self._cuts, [memory.recent() for memory in self._cuts]
+        joined = b"".join(
+            [known[v](c) or cuts[v](c) for c, v in zip(chunks, chosen, strict=True)]
+        )
         return np.frombuffer(joined, dtype="<u2").astype("<u4")
 
 
