@@ -8,6 +8,8 @@ Texts in which a space lies next to white space or control characters are split
 by the library whole. The ids are those that the library gives for whole texts.
 """
 
+import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -20,6 +22,33 @@ REMEMBERED = 250_000
 #: Fixed value: the id that ends a document.
 END_ID = 0
 
+#: Letters below this have been letters in every version of Unicode.
+_PLAIN_END = "\u0180"
+
+
+def _byte_marks() -> dict[int, str]:
+    """The character that stands for each byte: printable ones for themselves, the rest from 256 on."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_MARKS = _byte_marks()
+
+
+def _plain(text: str) -> bool:
+    return text.isascii() or max(text) < _PLAIN_END
+
+
+def _marked(piece: str) -> str:
+    """The bytes of a piece as the characters that stand for them."""
+    return piece.encode().decode("latin-1").translate(_MARKS)
+
+
+#: ASCII letters, symbols but the apostrophe, and line feeds.
+_SIMPLE = re.compile(r"[!-&(-/:-~\n]+")
+_PARTS = re.compile(r"[A-Za-z]+|\n|[!-&(-/:-@\[-`{-~]+")
+
 
 def _odd(char: str) -> bool:
     """White space or a control character."""
@@ -40,13 +69,19 @@ class Memory:
 
     def __call__(self, key: str) -> bytes:
         value = self._young.get(key)
+        return self._fetch(key) if value is None else value
+
+    def recent(self) -> Callable[[str], bytes | None]:
+        """A quick look into the younger half as it is now; None for what it lacks."""
+        return self._young.get
+
+    def _fetch(self, key: str) -> bytes:
+        value = self._old.get(key)
         if value is None:
-            value = self._old.get(key)
-            if value is None:
-                value = self._function(key)
-            if len(self._young) >= self._entries:
-                self._old, self._young = self._young, {}
-            self._young[key] = value
+            value = self._function(key)
+        if len(self._young) >= self._entries:
+            self._old, self._young = self._young, {}
+        self._young[key] = value
         return value
 
 
@@ -60,14 +95,35 @@ class Encoder:
         self._model = self._tokenizer.model
         self.n_ids = self._tokenizer.get_vocab_size()
         self._piece = Memory(self._ids_of_piece)
-        self._chunk = Memory(self._ids_of_chunk)
+        self._word = Memory(self._ids_of_word)
+        self._tails = {mark: self._ids_of_chunk(mark) for mark in ".,"}
 
     def _ids_of_piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self._model.tokenize(piece)], dtype="<u4").tobytes()
+        return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
 
     def _ids_of_chunk(self, chunk: str) -> bytes:
         return b"".join([self._piece(piece) for piece, _ in self._split(chunk)])
 
+    def _ids_of_word(self, word: str) -> bytes:
+        """A space and letters: one piece, if they are letters in every version of Unicode."""
+        if not _plain(word):
+            return self._ids_of_chunk(f" {word}")
+        return self._ids_of_piece(_marked(f" {word}"))
+
+    def _ids_after_space(self, chunk: str) -> bytes:
+        """Words are remembered without a comma or full stop behind them."""
+        if chunk.isalpha():
+            return self._word(chunk)
+        tail = self._tails.get(chunk[-1])
+        if tail and chunk[:-1].isalpha() and _plain(chunk):
+            return self._word(chunk[:-1]) + tail
+        if _SIMPLE.fullmatch(chunk) and "\n\n" not in chunk:
+            # Words, single line feeds and symbols, each a piece; symbols after the space take it along.
+            first, *others = _PARTS.findall(chunk)
+            start = self._word(first) if first.isalpha() else self._piece(_marked(f" {first}"))
+            return start + b"".join([self._piece(_marked(p)) for p in others])
+        return self._ids_of_chunk(f" {chunk}")
+
     def ids(self, text: str) -> np.ndarray:
         """The ids of one text, split by the library whole."""
         return np.frombuffer(self._ids_of_chunk(text), dtype="<u4") if text else _NONE
@@ -79,31 +135,23 @@ class Encoder:
         words = lists.flatten().dictionary_encode()
         if not len(words):
             return _NONE, np.zeros(len(texts) + 1, dtype=np.int64)
-        at = words.indices.to_numpy()
-        distinct = words.dictionary.to_pylist()
-        odd = np.array([not w or _odd(w[0]) or _odd(w[-1]) for w in distinct])
+        at, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
+        odd = [
+            not w.isalpha() and (not w or _odd(w[0]) or _odd(w[-1])) for w in distinct
+        ]
         first, chunks = ends[:-1], np.diff(ends)
         # A text of one chunk is encoded as it is, whatever its ends.
-        odd_text = np.logical_or.reduceat(odd[at], first) & (chunks > 1)
-        wanted = np.zeros(len(distinct), dtype=bool)
+        odd_text = np.logical_or.reduceat(np.array(odd)[at], first) & (chunks > 1)
         inner = np.repeat(~odd_text, chunks)
         inner[first] = False
-        wanted[at[inner]] = True
         parts = [
-            self._chunk(f" {w}") if take else b""
-            for w, take in zip(distinct, wanted.tolist(), strict=True)
+            b"" if o else self._ids_after_space(w) for w, o in zip(distinct, odd, strict=True)
         ]
         place = np.where(inner, at, -1)
-        strings = texts.to_pylist()
-        for i, start in enumerate(first.tolist()):
-            place[start] = len(parts)
-            if odd_text[i]:
-                parts.append(self.ids(strings[i]).tobytes())
-            else:
-                parts.append(self._chunk(distinct[at[start]]) if distinct[at[start]] else b"")
-        place = place[place >= 0]
-        counts = np.where(odd_text, 1, chunks)
-        return _gathered(parts, place, counts)
+        place[first] = np.arange(len(parts), len(parts) + len(first))
+        for i, (word, whole) in enumerate(zip(at[first].tolist(), odd_text.tolist(), strict=True)):
+            parts.append(self._ids_of_chunk(texts[i].as_py() if whole else distinct[word]))
+        return _gathered(parts, place[place >= 0], np.where(odd_text, 1, chunks))
 
 
 _NONE = np.zeros(0, dtype="<u4")
