@@ -85,6 +85,52 @@ def test_scores_are_the_transitions_log_ratios(model):
         assert found == ([(2, 3, 26)] if least < expected else [])
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("database_connection_credential=", ""),
+        ("/services/internal/deployment/production/hooks/", ""),
+        ("the_session_of_this_user_", "_and_some_more_words_after_it"),
+        (f"password={hex_key(20, 7)} {hex_key(16, 8)}/internal/deployment/", ""),
+        ("", f"/internal/deployment/{hex_key(16, 9)}"),
+    ],
+)
+def test_random_strings_beside_names_are_redacted_whole(model, before, after):
+    keys = [base64_key(32, 2000 + i).replace("/", "x").replace("+", "y") for i in range(100)]
+    gone = 0
+    for key in keys:
+        text = f"see {before}{key}{after} there"
+        spans = secret_scan.spans_of(text, model, model.ratio)
+        at = text.index(key)
+        gone += any(s <= at and at + len(key) <= e for s, _, e in spans)
+    assert gone >= 95
+
+
+def test_all_random_strings_of_a_run_are_found_and_names_stay(model):
+    one, two = base64_key(30, 1), base64_key(30, 2)
+    path = "/services/internal/deployment/production/hooks/"
+    text = f"{path}{one}{path}{two}{path}"
+    left = secret_scan.hidden(text, secret_scan.spans_of(text, model, model.ratio), "*")
+    assert one[4:-4] not in left and two[4:-4] not in left
+    assert left.startswith("/services/internal/deployment/") and left.endswith("/deployment/production/hooks/")
+    assert secret_scan.spans_of(path * 20, model, model.ratio) == []
+
+
+def test_segments_are_the_maximal_ones():
+    """Each is the best of what is left between the others: taken out one by one, best first."""
+    def best(values, a, b):
+        sums = [(sum(values[i:j]), j - i, i, j) for i in range(a, b) for j in range(i + 1, b + 1)]
+        top = max(sums, key=lambda s: (s[0], -s[1]), default=(0, 0, 0, 0))
+        if top[0] <= 0:
+            return []
+        return best(values, a, top[2]) + [top[2:]] + best(values, top[3], b)
+
+    draw = random.Random(4)
+    for _ in range(200):
+        values = [draw.uniform(-1, 1) for _ in range(draw.randrange(1, 15))]
+        assert secret_scan.segments(values) == best(values, 0, len(values))
+
+
 def test_transition_counts(spark):
     secret, other = secret_scan.sample_counts("ab ab")
     at = {c: secret_scan._TOKEN.index(c.encode()) + 1 for c in "ab"}

@@ -3,7 +3,10 @@
 A string of token characters is a secret of kind ``markov`` when a character
 Markov model of random strings explains it better than one of ordinary
 identifiers: the log-likelihood ratio has to reach ``Model.least`` in total and
-``Model.least_per_char`` per character. Rulers such as a row of dashes, with less
+``Model.least_per_char`` per character. If the whole string does not reach them,
+its best-scoring segments are judged by the same limits, with separators as
+borders of words, so a name or path around a random string does not hide it.
+Base spans are cut out first. Rulers such as a row of dashes, with less
 than ``Model.least_distinct`` different characters, are no random strings. Both models are trained by counting
 transitions in labelled samples; ``fit`` labels the corpus by the fixed patterns.
 
@@ -35,11 +38,14 @@ KINDS = ("assign", "access", "hex", "markov")
 
 #: Shortest string that the models judge.
 MARKOV_CHARS = 16
+#: Letters and digits by which a segment inside a string is widened at each end.
+MARGIN = 8
 _TOKEN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 #: State 0 is any character outside the alphabet, and so the border of a string.
 STATES = len(_TOKEN) + 1
 _STATE = np.zeros(256, dtype=np.int32)
 _STATE[np.frombuffer(_TOKEN, dtype=np.uint8)] = np.arange(1, STATES)
+_SEPARATOR = np.array([False] + [not chr(c).isalnum() for c in _TOKEN])
 _IS_HEX = bytes(120 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 _IS_TOKEN = bytes(120 if c in _TOKEN else 32 for c in range(256))
 _RUN = re.compile(b"x" * 16 + b"+")
@@ -93,22 +99,95 @@ def _states(one_byte: bytes) -> np.ndarray:
     return _STATE[np.frombuffer(one_byte, dtype=np.uint8)]
 
 
+def segments(values: list[float]) -> list[tuple[int, int]]:
+    """All maximal segments of positive sum, as Ruzzo and Tompa find them in one pass."""
+    # Of each: begin, end, and the sums of all values before its begin and up to its end.
+    found: list[tuple[int, int, float, float]] = []
+    total = 0.0
+    for at, value in enumerate(values):
+        before, total = total, total + value
+        if value <= 0:
+            continue
+        begin, low = at, before
+        place = len(found)
+        while True:
+            place -= 1
+            while place >= 0 and found[place][2] >= low:
+                place -= 1
+            if place < 0 or found[place][3] >= total:
+                break
+            begin, low = found[place][0], found[place][2]
+            del found[place:]
+        found.append((begin, at + 1, low, total))
+    return [(begin, end) for begin, end, _, _ in found]
+
+
+def _left_of(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a run that no base span covers."""
+    for s, _, e in sorted(base):
+        if s < end and start < e:
+            if start < s:
+                yield start, s
+            start = max(start, e)
+    if start < end:
+        yield start, end
+
+
+def _random_parts(one_byte: bytes, ratio: np.ndarray, model: Model) -> list[tuple[int, int]]:
+    """Where the random model wins in a string of token characters: all of it, or its best segments."""
+    n = len(one_byte)
+    states = np.zeros(n + 2, dtype=np.int32)
+    states[1:-1] = _states(one_byte)
+    gains = ratio[states[:-1], states[1:]]
+
+    def wins(score: float, start: int, end: int) -> bool:
+        return (
+            end - start >= MARKOV_CHARS
+            and score >= max(model.least, model.least_per_char * (end - start))
+            and len(set(one_byte[start:end])) >= model.least_distinct
+        )
+
+    if wins(float(gains.sum()), 0, n):
+        return [(0, n)]
+    # Separators inside are judged as the borders of words, which is how texts teach them.
+    states[_SEPARATOR[states]] = 0
+    gains = ratio[states[:-1], states[1:]]
+    if gains[gains > 0].sum() < model.least:
+        return []
+    won = []
+    # Segments of the gains, and of what is over the limit per character: the first keep weak
+    # strings whole, the second are not thinned by a stretch that is only a little odd.
+    for values in (gains, gains - model.least_per_char):
+        for a, b in segments(values.tolist()):
+            # The transitions a to b - 1 join the characters a - 1 to b - 1. At an end of the
+            # string the border counts, whatever it says.
+            start, end = max(a - 1, 0), min(b, n)
+            score = gains[a if start else 0 : b if end < n else n + 1].sum()
+            if wins(float(score), start, end):
+                won.append((start, end))
+    parts: list[tuple[int, int]] = []
+    for start, end in sorted(won):
+        # A random string's last characters can look ordinary: take a few more of the same word.
+        for _ in range(MARGIN):
+            start -= start > 0 and one_byte[start : start + 1].isalnum() and one_byte[start - 1 : start].isalnum()
+            end += end < n and one_byte[end - 1 : end].isalnum() and one_byte[end : end + 1].isalnum()
+        if parts and start <= parts[-1][1]:
+            start, end = parts[-1][0], max(end, parts.pop()[1])
+        parts.append((start, end))
+    return parts
+
+
 def markov_spans(
     one_byte: bytes, base: list[tuple[int, int, int]], ratio: np.ndarray, model: Model
 ) -> list[tuple[int, int, int]]:
-    """Whole runs of token characters that the random model wins, apart from the base spans."""
+    """Stretches in runs of token characters that the random model wins, apart from the base spans."""
     found = []
     for m in _RUN.finditer(one_byte.translate(_IS_TOKEN)):
-        start, end = m.span()
-        if any(start < e and s < end for s, _, e in base):
-            continue
-        if len(set(one_byte[start:end])) < model.least_distinct:
-            continue
-        states = np.zeros(end - start + 2, dtype=np.int32)
-        states[1:-1] = _states(one_byte[start:end])
-        score = float(ratio[states[:-1], states[1:]].sum())
-        if score >= max(model.least, model.least_per_char * (end - start)):
-            found.append((start, 3, end))
+        for start, end in _left_of(*m.span(), base):
+            if end - start < MARKOV_CHARS:
+                continue
+            parts = _random_parts(one_byte[start:end], ratio, model)
+            found += [(start + a, 3, start + b) for a, b in parts]
     return found
 
 
