@@ -96,6 +96,50 @@ def test_skips_follow_the_keyed_hash():
             assert pieces.encode(chunk, rate, key) == plain(chunk, rate, key), (chunk, rate)
 
 
+def test_frequent_words_vary_at_the_rate():
+    """A word keeps its plain cut as often as with keys of its own, not in whole quarters of all cases."""
+    for seed in range(6):
+        encoder = merge_dropout.Encoder(merge_dropout.default_path(), 0.1, seed)
+        plain = encoder.pieces.encode(" of", 0.0, 0)
+        expected = sum(encoder.pieces.encode(" of", 0.1, key) == plain for key in range(4000)) / 4000
+        share = sum(encoder.encode("of", doc_id).tolist() == plain for doc_id in range(4000)) / 4000
+        assert 0.85 < expected < 0.93 and abs(share - expected) < 0.03, (seed, share)
+
+
+def test_a_word_gets_more_cuts_than_a_few():
+    encoder = merge_dropout.Encoder(merge_dropout.default_path(), 0.1, 2)
+    text = " ".join(["considerable"] * 20_000)
+    names = b"|".join(encoder.pieces.bytes[i] for i in encoder.encode(text, 1)).decode()
+    cuts = {c.replace("| ", "") for c in names.split("| ")}
+    assert len(cuts) > 20
+
+
+def test_remembered_trees_change_nothing(monkeypatch):
+    """Whatever is remembered and forgotten, each occurrence gets the cut of its own key."""
+    texts = list(llm_frames.texts().values())[:60] + TEXTS
+    seen = []
+    for remembered in (merge_dropout.REMEMBERED, 50, 0):
+        monkeypatch.setattr(merge_dropout, "REMEMBERED", remembered)
+        encoder = merge_dropout.Encoder(merge_dropout.default_path(), 0.3, 5)
+        seen.append([encoder.encode(t, i).tolist() for _ in range(2) for i, t in enumerate(texts)])
+        if not remembered:
+            encoder._cut = lambda chunk, key, e=encoder: merge_dropout.array(
+                "H", whole(e.pieces, chunk, 0.3, key)
+            ).tobytes()
+            encoder._young = {}
+            seen.append([encoder.encode(t, i).tolist() for _ in range(2) for i, t in enumerate(texts)])
+    assert seen[0] == seen[1] == seen[2] == seen[3]
+
+
+def whole(pieces, chunk, rate, key):
+    """The chunk's cut, nothing remembered."""
+    import xxhash
+
+    parts = pieces.parts(chunk)
+    keys = [xxhash.xxh64_intdigest(str(i), key) for i in range(len(parts))] if len(parts) > 1 else [key]
+    return [i for p, k in zip(parts, keys, strict=True) for i in pieces.encode(p, rate, k)]
+
+
 def test_null_and_empty(spark):
     docs = llm_frames.documents(spark, [None, "", "a b"], [None, 1, None])
     rows = merge_dropout.digest(merge_dropout.decode(merge_dropout.encode(docs))).collect()

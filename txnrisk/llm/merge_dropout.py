@@ -2,11 +2,12 @@
 
 Encoding keeps an agenda of candidate merges, the best score first, then the
 leftmost. With dropout, a candidate taken from the agenda is skipped when a
-keyed hash of (seed, variant, chunk, place, piece) falls below the rate. The
-same seed gives the same ids on every machine; other seeds and other variants
-give other cuts of the same text. Every occurrence of a chunk in a document
-gets one of ``variants`` cuts, by a hash of seed, document and place, so each
-worker can remember the cuts of the chunks met last.
+keyed hash of (seed, document, position of the chunk, place, piece) falls below
+the rate. The same seed gives the same ids on every machine; every occurrence of
+a chunk is cut anew. What a worker remembers of the chunks met last are the
+candidates that the agenda brings up after each series of skips and merges, as
+a tree: an occurrence hashes them one by one, and only what it finds no branch
+for is merged again.
 
 No piece of the vocabulary goes on after a space begins, so a text is cut into
 chunks before the spaces, and these where two characters follow each other in no
@@ -14,8 +15,8 @@ piece; each is encoded by itself. Characters outside the
 vocabulary, and the space mark itself where a text holds it, become bytes, so
 decoding gives back every text exactly.
 
-Defined results: a null text is empty and has no ids; a null id keys its
-variants like id 0; repeated rows get equal ids; an empty table gives an empty
+Defined results: a null text is empty and has no ids; a null id is hashed
+like id 0; repeated rows get equal ids; an empty table gives an empty
 result; only ``doc_id`` and ``text`` are looked at.
 """
 
@@ -31,12 +32,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.bytes_bpe import Memory
 from txnrisk.llm.tables import for_tasks, steps, with_text
 
-RATE, SEED, VARIANTS = 0.1, 2, 4
-#: Cuts that the younger halves of a worker's memories hold together.
-REMEMBERED = 400_000
+RATE, SEED = 0.1, 2
+#: Chunks and candidates together that the younger half of a worker's memory holds.
+REMEMBERED = 500_000
 #: The mark that stands for a space in pieces.
 SPACE = "▁"
 #: Stands for a space mark that is part of a text; a private character in no piece.
@@ -89,10 +89,13 @@ class Pieces:
             return [chunk]
         return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)]
 
-    def encode(self, chunk: str, rate: float, key: int) -> list[int]:
+    def encode(
+        self, chunk: str, rate: float, key: int, path: list[tuple[str, bool]] | None = None
+    ) -> list[int]:
         """The ids of one chunk; a leading space is a space mark.
 
-        ``key`` seeds the hash by which candidates are skipped.
+        ``key`` seeds the hash by which candidates are skipped. With dropout, ``path``
+        gets what was hashed of each, in order, and whether it was skipped.
         """
         body = chunk.lstrip(" ")
         spaces = len(chunk) - len(body)
@@ -101,7 +104,7 @@ class Pieces:
         limit = int(rate * 2**64)
         merge = self._merged_short if len(symbols) <= SHORT else self._merged_long
         ids: list[int] = []
-        for symbol in merge(symbols, limit, key):
+        for symbol in merge(symbols, limit, key, path):
             known = self.ids.get(symbol)
             if known is None:
                 text = SPACE if symbol == _STAND_IN else symbol
@@ -110,7 +113,9 @@ class Pieces:
                 ids.append(known)
         return ids
 
-    def _merged_short(self, symbols: list[str], limit: int, key: int) -> list[str]:
+    def _merged_short(
+        self, symbols: list[str], limit: int, key: int, path: list[tuple[str, bool]] | None
+    ) -> list[str]:
         """The agenda as a list with a place for each neighbouring pair; its best is its maximum."""
         score, digest = self.scores.get, xxhash.xxh64_intdigest
         places = list(range(len(symbols)))
@@ -121,9 +126,14 @@ class Pieces:
                 break
             at = agenda.index(best)
             piece = symbols[at] + symbols[at + 1]
-            if limit and digest(f"{places[at]} {piece}", key) < limit:
-                agenda[at] = _NEVER
-                continue
+            if limit:
+                label = f"{places[at]} {piece}"
+                skipped = digest(label, key) < limit
+                if path is not None:
+                    path.append((label, skipped))
+                if skipped:
+                    agenda[at] = _NEVER
+                    continue
             symbols[at : at + 2] = [piece]
             del places[at + 1], agenda[at]
             if at:
@@ -132,7 +142,9 @@ class Pieces:
                 agenda[at] = score(piece + symbols[at + 1], _NEVER)
         return symbols
 
-    def _merged_long(self, symbols: list[str], limit: int, key: int) -> list[str]:
+    def _merged_long(
+        self, symbols: list[str], limit: int, key: int, path: list[tuple[str, bool]] | None
+    ) -> list[str]:
         """The agenda as a heap, for chunks of any length."""
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -152,8 +164,13 @@ class Pieces:
             # Outdated: one of the two has been merged meanwhile.
             if right >= n or symbols[left] + symbols[right] != piece:
                 continue
-            if limit and xxhash.xxh64_intdigest(f"{left} {piece}", key) < limit:
-                continue
+            if limit:
+                label = f"{left} {piece}"
+                skipped = xxhash.xxh64_intdigest(label, key) < limit
+                if path is not None:
+                    path.append((label, skipped))
+                if skipped:
+                    continue
             symbols[left], symbols[right] = piece, ""
             after[left] = after[right]
             if after[left] < n:
@@ -169,23 +186,84 @@ class Pieces:
         return joined.decode("utf-8", "replace")[1:]
 
 
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """The finalizer of splitmix64: each bit of a key moves each bit of the result."""
+    keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    keys = (keys ^ (keys >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return keys ^ (keys >> np.uint64(31))
+
+
+def _size(node) -> int:
+    """Nodes of a tree."""
+    return 1 + (_size(node[1]) + _size(node[2]) if type(node) is list else 0)
+
+
 class Encoder:
-    """Encodes texts with one seed and rate, remembering chunks."""
+    """Encodes texts with one seed and rate, remembering chunks.
 
-    def __init__(self, path: str, rate: float, seed: int, variants: int):
-        self.pieces = Pieces(path)
-        self._rate, self._seed, self._variants = rate, seed, variants
-        self._cuts = [self._memory(v) for v in range(variants)]
+    Of a chunk is remembered: that it was met once (an empty tuple), its parts if it has
+    several (a tuple), its ids (bytes), or the tree of its candidates. A tree's node is a
+    list of what is hashed of the candidate, the node after merging it and the node after
+    skipping it, None where no occurrence has been yet.
+    """
 
-    def _memory(self, variant: int) -> Memory:
-        def cut(chunk: str) -> bytes:
-            parts = self.pieces.parts(chunk)
-            if len(parts) > 1:
-                return b"".join([self._cuts[variant](part) for part in parts])
-            key = xxhash.xxh64_intdigest(chunk, (self._seed * 0x9E3779B9 + variant) & 0xFFFFFFFF)
-            return array("H", self.pieces.encode(chunk, self._rate, key)).tobytes()
+    def __init__(self, path: str, rate: float, seed: int):
+        self.pieces = Pieces(path)
+        self._rate, self._seed, self._limit = rate, seed, int(rate * 2**64)
+        self._young: dict = {}
+        self._old: dict = {}
+        self._held = 0
+
+    def _put(self, chunk: str, node, size: int):
+        if self._held + size > REMEMBERED:
+            self._old, self._young, self._held = self._young, {}, 0
+        self._young[chunk] = node
+        self._held += size
+        return node
+
+    def _cut(self, chunk: str, key: int) -> bytes:
+        """The ids of an occurrence that the younger half may lack."""
+        node = self._young.get(chunk)
+        if node is None:
+            node = self._old.get(chunk)
+            if node is not None:
+                self._put(chunk, node, 1 + _size(node))
+            else:
+                parts = self.pieces.parts(chunk)
+                node = tuple(parts) if len(parts) > 1 else None
+                if len(chunk) <= SHORT:
+                    self._put(chunk, node or (), 1)
+        if type(node) is tuple and node:
+            keys = [xxhash.xxh64_intdigest(str(i), key) for i in range(len(node))]
+            return b"".join(map(self._cut, node, keys))
+        tree = node
+        while type(node) is list:
+            node = node[2 if xxhash.xxh64_intdigest(node[0], key) < self._limit else 1]
+        if type(node) is bytes:
+            return node
+        # Most chunks occur once: a tree grows from the second time on.
+        path: list[tuple[str, bool]] | None = None if tree is None else []
+        ids = array("H", self.pieces.encode(chunk, self._rate, key, path)).tobytes()
+        if path is not None:
+            self._grow(chunk, tree, path, ids)
+        return ids
 
-        return Memory(cut, REMEMBERED // self._variants)
+    def _grow(self, chunk: str, tree, path: list[tuple[str, bool]], ids: bytes) -> None:
+        """Add what one occurrence went through to its chunk's tree."""
+        if not path:
+            self._put(chunk, ids, 1)
+            return
+        if type(tree) is not list:
+            tree = self._put(chunk, [path[0][0].encode(), None, None], 1)
+        node = tree
+        for (_, skipped), (label, _) in zip(path, path[1:], strict=False):
+            side = 2 if skipped else 1
+            if node[side] is None:
+                node[side] = [label.encode(), None, None]
+                self._held += 1
+            node = node[side]
+        node[2 if path[-1][1] else 1] = ids
+        self._held += 1
 
     def encode(self, text: str, doc_id: int | None) -> np.ndarray:
         """Little-endian ids of a text, which gets a space before it."""
@@ -193,14 +271,16 @@ class Encoder:
             return np.zeros(0, dtype="<u4")
         chunks = _CHUNK.findall(f" {text}")
         stream = xxhash.xxh64_intdigest(str(doc_id or 0), self._seed)
-        places = np.arange(len(chunks), dtype=np.uint64) + np.uint64(stream)
-        mixed = places * np.uint64(0x9E3779B97F4A7C15)
-        chosen = ((mixed >> np.uint64(33)) % np.uint64(self._variants)).tolist()
-        cuts, known = self._cuts, [memory.recent() for memory in self._cuts]
-        joined = b"".join(
-            [known[v](c) or cuts[v](c) for c, v in zip(chunks, chosen, strict=True)]
-        )
-        return np.frombuffer(joined, dtype="<u2").astype("<u4")
+        places = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        keys = _mixed(places + np.uint64(stream)).tolist()
+        digest, limit, known, cut = xxhash.xxh64_intdigest, self._limit, self._young.get, self._cut
+        found = []
+        for chunk, key in zip(chunks, keys, strict=True):
+            node = known(chunk)
+            while type(node) is list:
+                node = node[2 if digest(node[0], key) < limit else 1]
+            found.append(node if type(node) is bytes else cut(chunk, key))
+        return np.frombuffer(b"".join(found), dtype="<u2").astype("<u4")
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -218,11 +298,10 @@ def encode(
     model: str | None = None,
     rate: float = RATE,
     seed: int = SEED,
-    variants: int = VARIANTS,
 ) -> DataFrame:
     """doc_id and ``ids``, little-endian unsigned 32-bit integers, of every row."""
     for_tasks(docs.sparkSession)
-    settings = (model or default_path(), rate, seed, variants)
+    settings = (model or default_path(), rate, seed)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _encoder(*settings)
@@ -243,7 +322,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     path = model or default_path()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _encoder(path, RATE, SEED, VARIANTS).pieces
+        pieces = _encoder(path, RATE, SEED).pieces
         for batch in steps(batches, "ids"):
             texts = [
                 pieces.decode(np.frombuffer(ids, dtype="<u4")) if ids else ""
