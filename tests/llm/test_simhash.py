@@ -112,6 +112,19 @@ def test_one_of_each_group_stays(spark):
     ]
 
 
+def test_one_of_each_group_stays_where_texts_share_an_id(spark):
+    texts = ["a b c d e f", "g h i j k l", "g h i j k l", "m n o p q", None, "m n o p q", "r s t u v"]
+    docs = llm_frames.documents(spark, texts, [1, 1, 2, 3, 3, 1, None])
+    rows = simhash.one_of_each(docs).collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in rows) == [
+        (-1, "r s t u v"),
+        (1, "a b c d e f"),
+        (1, "g h i j k l"),
+        (1, "m n o p q"),
+        (3, ""),
+    ]
+
+
 def test_empty(spark):
     assert simhash.groups(llm_frames.empty_documents(spark)).count() == 0
     assert simhash.one_of_each(llm_frames.empty_documents(spark)).count() == 0

@@ -144,19 +144,28 @@ def _first_by_text(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
 def one_of_each(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """All columns of one row of each group: the row whose id is the group's smallest.
 
-    Rows that share that id are one document, of which the first by text stays.
-    Of a group without any id, the first row by text stays.
+    Of a group's rows that share that id, or have none where no row has one, the
+    first by text stays. Rows of one id with different texts can be of different groups.
     """
-    _, by_print = _grouped(docs, words, radius)
+    prints, by_print = _grouped(docs, words, radius)
     leaders = by_print.select(F.col("component_id").alias("doc_id")).dropna().distinct()
     named = docs.join(leaders, "doc_id", "left_semi").select(docs.columns)
-    kept = _first_by_text(named, "doc_id", docs.columns)
+    # Ids do not tell the group of rows without one, and of those whose id has several fingerprints.
+    ends = prints.groupBy("doc_id").agg(F.min("print").alias("low"), F.max("print").alias("high"))
+    several = stored(ends.filter("doc_id is not null and low <> high").select("doc_id"), "several")
     nameless = docs.filter("doc_id is null")
-    if not nameless.take(1):
-        return kept
+    shared = several.take(1)
+    if not shared and not nameless.take(1):
+        return _first_by_text(named, "doc_id", docs.columns)
+    odd = nameless
+    if shared:
+        odd = odd.unionByName(named.join(several, "doc_id", "left_semi").select(docs.columns))
+        named = named.join(several, "doc_id", "left_anti").select(docs.columns)
+    kept = _first_by_text(named, "doc_id", docs.columns)
     row, root = fresh(docs, "row"), fresh(docs, "root")
-    rows = nameless.select(F.struct(*docs.columns).alias("doc_id"), "text")
-    alone = by_print.filter("component_id is null").select("print", F.col("root").alias(root))
-    rooted = fingerprints(rows, words).withColumnRenamed("doc_id", row).join(alone, "print")
-    spread = rooted.select(root, f"{row}.*")
+    rows = odd.select(F.struct(*docs.columns).alias("doc_id"), "text")
+    roots = by_print.select("print", F.col("root").alias(root), "component_id")
+    rooted = fingerprints(rows, words).withColumnRenamed("doc_id", row).join(roots, "print")
+    first = rooted.filter(F.col(f"{row}.doc_id").eqNullSafe(F.col("component_id")))
+    spread = first.select(root, f"{row}.*")
     return kept.unionByName(_first_by_text(spread, root, docs.columns))
