@@ -1,0 +1,154 @@
+import gzip
+import hashlib
+import random
+
+import compare
+import llm_frames
+import pyarrow as pa
+import pytest
+
+from txnrisk.llm import queries, sql, warc
+
+LONG = "x" * 120
+SCHEMA = "page_id long, url string, html string, kind string, digest string, SHARD int"
+
+
+def pages(spark, rows, partitions=3):
+    full = [(i, u, h, "k", "d", 1) for i, u, h in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(partitions)
+
+
+def expected(rows):
+    """By plain loops: what each row has to become."""
+    groups = {}
+    for i, u, h in rows:
+        groups.setdefault((h or "").encode(), []).append((i, u))
+    out = []
+    for payload, members in groups.items():
+        ids = [i for i, _ in members if i is not None]
+        smallest = min(ids) if ids else None
+        stored = False
+        for i, _ in members:
+            response = len(payload) < 100 or (i == smallest and not stored)
+            stored |= response and i == smallest
+            kind = ("response", None) if response else ("revisit", smallest)
+            out.append((i, len(payload), hashlib.sha256(payload).hexdigest(), *kind))
+    return sorted(map(str, out))
+
+
+def random_rows(n, seed=5):
+    draw = random.Random(seed)
+    texts = [None, "", "short", "é" * 49, "é" * 50, "é" * 51, LONG, LONG + "\r\n\r\nWARC/1.1\r\n", "\x00" * 200]
+    rows = []
+    for k in range(n):
+        text = LONG if k % 3 == 0 else draw.choice(texts) if k % 3 == 1 else f"page {k} " * draw.randint(1, 60)
+        page = None if k % 41 == 0 else draw.randint(0, n)
+        url = draw.choice([None, f"http://h{k}.net/a b\r\nX: y", "plain"])
+        rows.append((page, url, text))
+    return rows + rows[:7]
+
+
+@pytest.mark.parametrize("shards", [1, 4])
+def test_records_against_loops(spark, shards):
+    rows = random_rows(400)
+    found = warc.digest(warc.round_trip(pages(spark, rows), shards))
+    assert found.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(str(tuple(r)) for r in found.collect()) == expected(rows)
+
+
+def archives(folder):
+    return {p.name: p.read_bytes() for p in sorted(folder.glob("*.warc.gz"))}
+
+
+def test_same_bytes_whatever_the_partitions(spark, tmp_path):
+    rows = random_rows(300)
+    for name, shuffled, partitions in (("a", rows, 1), ("b", rows[::-1], 7)):
+        warc.write(pages(spark, shuffled, partitions), str(tmp_path / name), shards=5, roll_bytes=2000)
+    first = archives(tmp_path / "a")
+    assert first == archives(tmp_path / "b")
+    assert len({n.split("-")[1] for n in first}) == 5 < len(first)
+    assert not (tmp_path / "a" / "_temporary").exists()
+
+
+def test_files_roll_by_their_compressed_size(spark, tmp_path):
+    warc.write(pages(spark, random_rows(300)), str(tmp_path / "w"), shards=2, roll_bytes=3000)
+    sizes = {}
+    for name, data in archives(tmp_path / "w").items():
+        sizes.setdefault(name.split("-")[1], []).append(len(data))
+    assert all(size >= 3000 for files in sizes.values() for size in files[:-1])
+    assert max(map(max, sizes.values())) < 4000
+
+
+def test_payloads_and_urls_come_back_in_order(spark, tmp_path):
+    rows = [(3, "http://a/ b", "<p>é\r\n\r\n</p>"), (1, None, ""), (2, "u", LONG), (9, "v", LONG)]
+    warc.write(pages(spark, rows), str(tmp_path / "w"), shards=1)
+    (name, data), = archives(tmp_path / "w").items()
+    text = gzip.decompress(data)
+    assert text.count(b"WARC-Type: warcinfo") == 1 and text.startswith(b"WARC/1.1\r\n")
+    ids = [line.split(b": ")[1] for line in text.split(b"\r\n") if line.startswith(b"X-Page-ID")]
+    assert ids == [b"1", b"2", b"3", b"9"]
+    found = {r.page_id: r for r in warc.read(spark, str(tmp_path / "w")).collect()}
+    assert found[3].payload.decode() == "<p>é\r\n\r\n</p>" and found[3].url == "http://a/%20b"
+    assert found[1].url is None and found[1].payload == b""
+    assert (found[9].payload, found[9].payload_bytes, found[9].refers_to) == (None, 120, 2)
+    # The revisit names the response's own record.
+    records = {f["X-Page-ID"]: f for f, _ in map(warc.parse, text_members(data)) if "X-Page-ID" in f}
+    assert records["9"]["WARC-Refers-To"] == records["2"]["WARC-Record-ID"]
+    assert len({f["WARC-Record-ID"] for f in records.values()}) == 4
+
+
+def text_members(data):
+    stream = pa.BufferReader(data)
+    return list(warc._members(stream, hashlib.sha256(), step=7))
+
+
+def test_changed_archives_are_found(spark, tmp_path):
+    warc.write(pages(spark, random_rows(50)), str(tmp_path / "w"), shards=1)
+    file = next((tmp_path / "w").glob("*.warc.gz"))
+    members = text_members(file.read_bytes())
+    file.write_bytes(b"".join(map(warc._member, members[:-1])))
+    with pytest.raises(Exception, match="not as its manifest says"):
+        warc.read(spark, str(tmp_path / "w")).collect()
+    changed = members[1].replace(b"text/html", b"text/htmx")
+    with pytest.raises(ValueError, match="wrong block digest"):
+        warc.parse(changed)
+
+
+def test_only_committed_files_count(spark, tmp_path, monkeypatch):
+    """A run that dies between writing and renaming leaves no manifest; the next one is whole."""
+    frame, path = pages(spark, random_rows(80)), tmp_path / "w"
+    commit = warc._commit
+    monkeypatch.setattr(warc, "_commit", lambda planned, path: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError, match="died"):
+        warc.write(frame, str(path), shards=3)
+    assert not archives(path) and not (path / "manifest").exists()
+    kept = []
+    monkeypatch.setattr(warc, "_commit", lambda planned, path: (kept.append(planned), commit(planned, path)))
+    warc.write(frame, str(path), shards=3)
+    assert warc.read(spark, str(path)).count() == 87
+    # Renaming what is renamed already changes nothing.
+    before = archives(path)
+    kept[0].sparkSession.conf.set("spark.sql.shuffle.partitions", "8")
+    (path / "manifest").rename(path / "manifest-first")
+    commit(kept[0], str(path))
+    assert archives(path) == before
+
+
+def test_a_group_of_copies_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES", warc.Limits(smallest_share=10, shares=20))
+    rows = [(i, f"u{i}", LONG) for i in range(300)] + [(i, "u", f"{LONG}{i}") for i in range(300, 400)]
+    found = warc.digest(warc.round_trip(pages(spark, rows), 4))
+    assert sorted(str(tuple(r)) for r in found.collect()) == expected(rows)
+
+
+def test_empty_table_and_text_ids(spark):
+    assert warc.round_trip(pages(spark, [(1, "u", "x")]).filter("false")).count() == 0
+    rows = [("b é", "u", LONG), ("a%", "u", LONG), ("", "u", LONG), ("ß", None, "s")]
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    found = {r.page_id: (r.record_type, r.refers_to) for r in warc.round_trip(frame, 3).collect()}
+    assert found == {"": ("response", None), "a%": ("revisit", ""), "b é": ("revisit", ""), "ß": ("response", None)}
+
+
+def test_query_against_sql(spark):
+    got = compare.spark_rows(queries.queries()["op12_warc"](spark, llm_frames.FOLDER))
+    assert got == compare.sql_rows(sql.oracle_sql()["op12_warc"], llm_frames.FOLDER)

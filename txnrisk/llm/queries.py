@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from collections.abc import Callable
 
@@ -16,6 +16,7 @@ from txnrisk.llm import (
     simhash,
     top_k,
     url_reputation,
+    warc,
 )
 from txnrisk.llm.tables import read
 
@@ -77,6 +78,10 @@ def chats(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digest(chat_format.formatted(turns.unionByName(control)))
 
 
+def archived(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.digest(warc.round_trip(read(spark, folder, "pages")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": secrets,
@@ -89,4 +94,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": languages,
         "op9_cross_polytope": near_vectors,
         "op10_chat": chats,
+        "op12_warc": archived,
     }

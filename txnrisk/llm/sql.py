@@ -108,10 +108,25 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """
 
 
+_ARCHIVED = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest FROM pages
+), grouped AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS smallest,
+        row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS place FROM payloads
+), typed AS (SELECT *, payload_bytes >= 100 AND place > 1 AS again FROM grouped)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN smallest END AS refers_to FROM typed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     long = "'co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br', 'co.nz', 'co.in'"
     return {
         "op4_top_k": _NEAREST,
         "op5_url_reputation": _URLS.replace("{weight}", _WEIGHT).replace("{long}", long),
         "op10_chat": _CHATS,
+        "op12_warc": _ARCHIVED,
     }
