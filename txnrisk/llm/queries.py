@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txnrisk.llm import (
     bit_packing,
     chat_format,
+    collocation,
     cross_polytope,
     language_id,
     length_packing,
@@ -82,6 +83,10 @@ def archived(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digest(warc.round_trip(read(spark, folder, "pages")))
 
 
+def collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocation.phrases(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": secrets,
@@ -95,4 +100,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_cross_polytope": near_vectors,
         "op10_chat": chats,
         "op12_warc": archived,
+        "op13_collocation": collocations,
     }

@@ -122,6 +122,49 @@ SELECT page_id, payload_bytes, payload_digest,
 """
 
 
+_COLLOCATIONS = r"""
+WITH folded AS (
+    SELECT coalesce(lang, 'und') AS lang, string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9), 'abcdefghijklmnopqrstuvwxyz '),
+        '[.,;:!?\x0A-\x0D]') AS pieces FROM documents
+), piece AS (SELECT lang, unnest(pieces) AS piece FROM folded),
+split AS (SELECT lang, list_filter(string_split(piece, ' '), lambda x: x <> '') AS w FROM piece),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+counts AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM places, (VALUES (1), (2), (3)) lengths(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 10
+), keyed AS MATERIALIZED (SELECT lang || chr(9) || phrase AS key, f FROM counts),
+longer AS (
+    SELECT key, max(a) AS a FROM (
+        SELECT lang || chr(9) || array_to_string(w[1:2], ' ') AS key, a FROM candidates WHERE k = 3
+        UNION ALL SELECT lang || chr(9) || array_to_string(w[2:3], ' '), a FROM candidates WHERE k = 3
+    ) GROUP BY key
+), cuts AS (
+    SELECT lang, phrase, a, 1 AS cut, lang || chr(9) || w[1] AS head,
+        lang || chr(9) || array_to_string(w[2:k], ' ') AS rest FROM candidates
+    UNION ALL SELECT lang, phrase, a, 2, lang || chr(9) || array_to_string(w[1:2], ' '), lang || chr(9) || w[3]
+    FROM candidates WHERE k = 3
+), headed AS MATERIALIZED (SELECT cuts.*, f AS l FROM cuts JOIN keyed ON key = head),
+scored AS (
+    SELECT lang, phrase, a, cut, l, f AS r,
+        ((1000000::HUGEINT * a * a) // (l::HUGEINT * f))::BIGINT AS score
+    FROM headed JOIN keyed ON key = rest
+), lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored
+), kept AS (
+    SELECT lowest.* FROM lowest LEFT JOIN longer ON key = lang || chr(9) || phrase
+    WHERE place = 1 AND coalesce(longer.a, 0) * 100 < 50 * lowest.a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON totals.lang = ranked.lang
+WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     long = "'co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br', 'co.nz', 'co.in'"
     return {
@@ -129,4 +172,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_reputation": _URLS.replace("{weight}", _WEIGHT).replace("{long}", long),
         "op10_chat": _CHATS,
         "op12_warc": _ARCHIVED,
+        "op13_collocation": _COLLOCATIONS,
     }
