@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import (
+    alignment,
     bit_packing,
     chat_format,
     collocation,
@@ -79,6 +80,10 @@ def chats(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digest(chat_format.formatted(turns.unionByName(control)))
 
 
+def aligned(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.scored(read(spark, folder, "documents"))
+
+
 def archived(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digest(warc.round_trip(read(spark, folder, "pages")))
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": languages,
         "op9_cross_polytope": near_vectors,
         "op10_chat": chats,
+        "op11_alignment": aligned,
         "op12_warc": archived,
         "op13_collocation": collocations,
     }
