@@ -117,12 +117,14 @@ def test_small_blocks_and_steps_change_nothing(spark, libraries, monkeypatch):
     whole = Counter()
     found = tool.align(texts)
     for text, pair, times in alignment.links(found, tool.b.n):
-        for t, p, n in zip(text.tolist(), pair.tolist(), times.tolist(), strict=True):
+        times = [1] * len(pair) if times is None else times.tolist()
+        for t, p, n in zip(text.tolist(), pair.tolist(), times, strict=True):
             whole[t, p] += n
     monkeypatch.setattr(alignment, "STEP_LINKS", 3)
     parts = Counter()
     for text, pair, times in alignment.links(found, tool.b.n):
-        for t, p, n in zip(text.tolist(), pair.tolist(), times.tolist(), strict=True):
+        times = [1] * len(pair) if times is None else times.tolist()
+        for t, p, n in zip(text.tolist(), pair.tolist(), times, strict=True):
             parts[t, p] += n
     assert whole == parts
     assert [w[4] for w in sorted(wanted)] == found.n_links.tolist()

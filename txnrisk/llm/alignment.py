@@ -44,10 +44,11 @@ from txnrisk.llm.tables import for_tasks, steps, stored, with_text
 
 BUCKETS = 64
 #: Links of a block before it is closed, and the most documents of one.
-BLOCK_LINKS = 8_000_000
+BLOCK_LINKS = 4_000_000
 BLOCK_DOCS = 1 << 16
-#: Links that are listed at once.
-STEP_LINKS = 1 << 22
+#: Text that is encoded, and links that are listed, at once.
+STEP_BYTES = 1 << 20
+STEP_LINKS = 1 << 20
 
 
 def default_paths() -> tuple[str, str]:
@@ -191,8 +192,11 @@ class Aligner:
         )
 
 
-def links(found: Aligned, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, pair, times): links in order of texts, about ``STEP_LINKS`` at a time; a * n_b + b is a pair."""
+def links(found: Aligned, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(text, pair, times): links in order of texts, about ``STEP_LINKS`` at a time; a * n_b + b is a pair.
+
+    Without ``times`` each is one link.
+    """
     a_done, b_done = np.cumsum(found.a_in_group), np.cumsum(found.b_in_group)
     a_start, b_start = a_done - found.a_in_group, b_done - found.b_in_group
     sizes = found.a_in_group * found.b_in_group
@@ -211,7 +215,7 @@ def links(found: Aligned, n_b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np
         a = np.repeat(found.a[a_start[first] : a_done[last - 1]].astype(np.int64), times)
         ends = np.cumsum(times)
         b = found.b[np.repeat(b_start[of] - ends + times, times) + np.arange(len(a))]
-        yield np.repeat(found.text_of_group[of], times), a * n_b + b, np.ones(len(a), dtype=np.int64)
+        yield np.repeat(found.text_of_group[of], times), a * n_b + b, None
         first = last
 
 
@@ -323,14 +327,18 @@ class Block:
     def __init__(self, number: int, n_b: int, buckets: int):
         self.number, self._n_b, self._buckets = number, n_b, buckets
         self.docs, self.size = 0, 0
-        self._keys, self._times, self._most = [], [], BLOCK_LINKS
+        # Single links, and links with their times.
+        self._single, self._counted, self._most = [], [], BLOCK_LINKS
         self._rows: list[tuple] = []
 
     def add(self, ids: pa.Array, found: Aligned) -> None:
         for text, pair, times in links(found, self._n_b):
             bucket = pair // self._n_b % self._buckets
-            self._keys.append((bucket << 48) | (pair << 16) | (text + self.docs))
-            self._times.append(times)
+            keys = (bucket << 48) | (pair << 16) | (text + self.docs)
+            if times is None:
+                self._single.append(keys)
+            else:
+                self._counted.append((keys, times))
             self.size += len(pair)
             if self.size > self._most:
                 self._merge()
@@ -339,9 +347,15 @@ class Block:
         self.docs += len(ids)
 
     def _merge(self) -> None:
-        if self._keys:
-            keys, times = _summed(np.concatenate(self._keys), np.concatenate(self._times))
-            self._keys, self._times, self.size = [keys], [times], len(keys)
+        """All links as distinct keys in order, with their times."""
+        if self._single:
+            keys, self._single = np.concatenate(self._single), []
+            keys.sort()
+            new = np.flatnonzero(np.diff(keys, prepend=-1))
+            self._counted.append((keys[new], np.diff(np.append(new, len(keys)))))
+        if len(self._counted) > 1:
+            self._counted = [_summed(*(np.concatenate(c) for c in zip(*self._counted, strict=True)))]
+        self.size = len(self._counted[0][0]) if self._counted else 0
 
     def batches(self, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         """A row of documents, then a row of containers for each bucket."""
@@ -355,7 +369,7 @@ class Block:
         self._merge()
         if not self.size:
             return
-        keys, times = self._keys[0], self._times[0]
+        keys, times = self._counted[0]
         starts = np.searchsorted(keys, np.arange(self._buckets + 1) << 48)
         for bucket, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
             if a < b:
@@ -399,7 +413,7 @@ def index(docs: DataFrame, paths: tuple[str, str] | None = None, buckets: int =
         from pyspark import TaskContext
 
         tool, number, block = aligner(paths), TaskContext.get().partitionId() << 32, None
-        for batch in steps(batches):
+        for batch in steps(batches, most=STEP_BYTES):
             kind = batch.column("doc_id").type
             if block and (block.size >= BLOCK_LINKS or block.docs + batch.num_rows > BLOCK_DOCS):
                 yield from block.batches(kind)

@@ -38,14 +38,16 @@ def with_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in slices whose texts come to ``STEP_BYTES`` or are a single row."""
+def steps(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = STEP_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices whose texts come to ``most`` bytes or are a single row."""
     for batch in batches:
         if not batch.num_rows:
             continue
         start = size = 0
         for i, n in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist()):
-            if size and size + n > STEP_BYTES:
+            if size and size + n > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += n
