@@ -11,6 +11,7 @@ from txnrisk.plans.catalog import Views
 from txnrisk.plans.workdir import new_folder
 from txnrisk.schemas import GOLD_COLUMNS, QUEUE_COLUMNS, typed_schema
 from txnrisk.sources.tables import Table
+from txnrisk.sources.versions import Versioned
 
 FOLDER = "/root/testdata/sf0.001"
 ACCEPTED = ("not_null_enriched_transactions_amount",)
@@ -261,15 +262,15 @@ def test_command_line(tmp_path):
     args = __main__.parser().parse_args(
         ["--root", "/r", "--logs", "a", "--logs", "b", "--layer", "gold=orc", "--layer", "raw=json:/x",
          "--layer", "queue=jdbc:", "--option", "queue.url=u=1", "--second-model", "/m", "--threshold", "0.7",
-         "--csv-null", "NA", "--score-first"]
+         "--csv-null", "NA", "--score-first", "--batch", "b1"]
     )
     layers, settings = __main__.layers_of(args), __main__.settings_of(args)
-    assert layers.gold == Table("/r/enriched_transactions", format="orc")
-    assert layers.raw == Table("/x", format="json")
+    assert layers.gold == Versioned("/r/enriched_transactions", format="orc")
+    assert layers.raw == Versioned("/x", format="json")
     assert layers.queue == Table(None, format="jdbc", options={"url": "u=1"})
     assert layers.second_model == "/m" and settings.logs == ("a", "b") and settings.payers is None
     assert settings.threshold == 0.7 and settings.csv_null_tokens == ("NA",)
-    assert settings.score_first_when_none_wait
+    assert settings.score_first_when_none_wait and settings.batch == "b1"
     with pytest.raises(SystemExit):
         __main__.layers_of(__main__.parser().parse_args(["--root", "/r", "--layer", "none=orc"]))
     with pytest.raises(SystemExit):

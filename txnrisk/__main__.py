@@ -5,7 +5,8 @@ from dataclasses import replace
 
 from txnrisk.functions import scoring
 from txnrisk.plans import session, stages
-from txnrisk.sources.tables import Table
+from txnrisk.sources.tables import FILE_FORMATS, Table
+from txnrisk.sources.versions import Versioned
 
 # Another name of the transform stage.
 ALIASES = {"dbt": "transform"}
@@ -44,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--accept", action="append", default=[], help="quality test that may fail")
     made.add_argument("--score-first", action="store_true", help="score gold if nothing waits")
     made.add_argument("--replace-queue", action="store_true")
+    made.add_argument("--batch", help="name of this run's alerts, appended once")
     return made
 
 
@@ -54,7 +56,9 @@ def layers_of(args: argparse.Namespace) -> stages.Layers:
         table = _layer(layers, name)
         kind, colon, path = text.partition(":")
         place = (path or None) if colon else table.path
-        layers = replace(layers, **{name: replace(table, format=kind, path=place)})
+        versions = place and kind in FILE_FORMATS
+        made = Versioned(place, format=kind) if versions else Table(place, format=kind)
+        layers = replace(layers, **{name: made})
     for name, value in args.option:
         layer, _, key = name.partition(".")
         table = _layer(layers, layer)
@@ -83,6 +87,7 @@ def settings_of(args: argparse.Namespace) -> stages.Settings:
         threshold=args.threshold,
         score_first_when_none_wait=args.score_first,
         replace_queue=args.replace_queue,
+        batch=args.batch,
     )
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
+from txnrisk.operators import sieve
 from txnrisk.schemas import QUEUE_COLUMNS
 
 
@@ -39,8 +40,15 @@ def one_per_id(alerts: DataFrame) -> DataFrame:
     return numbered.filter("row_num = 1").select(alerts.columns)
 
 
-def not_queued(new: DataFrame, queue: DataFrame) -> DataFrame:
-    """Alerts whose id is not in the queue yet, so that a repeated run adds nothing."""
-    return new.join(queue.select("transaction_id"), "transaction_id", "left_anti").select(
-        new.columns
-    )
+def not_queued(new: DataFrame, queue: DataFrame, words: int | None = None) -> DataFrame:
+    """Alerts whose id is not in the queue yet, so that a repeated run adds nothing.
+
+    With ``words``, the size of a Bloom filter of the new ids (``sieve.words_for``),
+    only the queue's rows that pass it are shuffled. Stored alerts are best then,
+    as they are read twice.
+    """
+    queued = queue.select("transaction_id")
+    if words:
+        made = sieve.sieve(new, "transaction_id", words)
+        queued = queued.filter(sieve.passes(F.col("transaction_id"), made, words))
+    return new.join(queued, "transaction_id", "left_anti").select(new.columns)

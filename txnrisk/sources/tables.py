@@ -1,11 +1,14 @@
 """Stored tables. The format is a parameter, so a connector works like Parquet."""
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from txnrisk.operators.queue import not_queued, one_per_id
+from txnrisk.operators.sieve import words_for
+from txnrisk.plans.workdir import new_folder
 from txnrisk.sources.files import path_exists
 
 # Formats whose folders a schema can be given for; the others know their columns.
@@ -51,6 +54,16 @@ class Table:
     def append(self, df: DataFrame) -> None:
         self.write(df, "append")
 
+    def append_checked(
+        self, make: Callable[[DataFrame | None], DataFrame], schema: StructType, batch: str | None = None
+    ) -> None:
+        """Append what ``make`` makes of the present rows, None where there is no table yet.
+
+        Nothing watches for other writers here, and batches are not remembered.
+        """
+        spark = SparkSession.active()
+        self.append(make(self.read(spark, schema) if self.exists(spark) else None))
+
 
 def in_few_files(df: DataFrame) -> DataFrame:
     """For a small result of many tasks: AQE merges it into files of a good size first."""
@@ -66,10 +79,21 @@ def materialize(df: DataFrame, name: str, table: Table | None = None) -> DataFra
     return df
 
 
-def append_new(alerts: DataFrame, queue: Table) -> None:
-    """Append the alerts that are not queued yet, one for each id."""
+def append_new(alerts: DataFrame, queue: Table, batch: str | None = None) -> None:
+    """Append the alerts that are not queued yet, one for each id.
+
+    The alerts are stored first: they are counted, sieved and joined, and what
+    made them runs once. A Bloom filter of their ids keeps most of the queue from
+    being shuffled. Where the queue has versions, a ``batch`` that is in it adds
+    nothing, and runs that append at the same time see each other's rows.
+    """
     spark = alerts.sparkSession
-    alerts = one_per_id(alerts)
-    if queue.exists(spark):
-        alerts = not_queued(alerts, queue.read(spark, alerts.schema))
-    queue.append(in_few_files(alerts))
+    staged = Table(new_folder(spark, "alerts"))
+    staged.replace(in_few_files(one_per_id(alerts)))
+    new = staged.read(spark, alerts.schema)
+    words = words_for(new.count())
+
+    def missing(queued: DataFrame | None) -> DataFrame:
+        return in_few_files(new if queued is None else not_queued(new, queued, words))
+
+    queue.append_checked(missing, new.schema, batch)
