@@ -15,7 +15,9 @@ LAZY = [
         "queue_append_repeats", "one_hot", "category_index", "score_checks", "queue_checks",
         "json_ingest", "json_line_states", "csv_payers", "csv_payees", "table_overwrite",
         "table_by_state", "queue_append_twice", "queue_replace", "stage_counts", "train_eval",
-        "score_unlabeled", "review_queue",
+        "score_unlabeled", "review_queue", "extra_fields", "inputs_missing", "table_versions",
+        "connector_round_trip", "queue_append_pruned", "forest_rescored", "forest_shape",
+        "enriched_without_payers",
     }
 ]
 

@@ -21,6 +21,8 @@ from txnrisk.operators import (
     confusion,
     curves,
     enrich,
+    extras,
+    forest,
     model,
     quality,
     queue,
@@ -39,8 +41,9 @@ from txnrisk.schemas import (
     QUEUE_COLUMNS,
     RAW_COLUMNS,
 )
-from txnrisk.sources import files, sample_views
+from txnrisk.sources import files, sample_views, segments
 from txnrisk.sources.tables import Table, append_new, materialize
+from txnrisk.sources.versions import Versioned
 
 # A fixed run time, so that results can be compared.
 QUARANTINED_AT = "TIMESTAMP_NTZ '2026-01-01 00:00:00'"
@@ -113,6 +116,34 @@ class Views:
         lines.write.text(path)
         return path
 
+    @cached_property
+    def wide_lines(self) -> str:
+        """The raw rows as JSON lines with further fields: nested, null, missing, of mixed types."""
+        mcc, device = F.col("merchant_mcc"), F.col("device_id")
+        further = F.concat_ws(
+            "",
+            F.when(mcc % 3 == 0, F.lit(',"channel":"web"')).when(mcc % 3 == 1, F.lit(',"channel":null')),
+            F.when(
+                mcc % 2 == 0,
+                F.concat(
+                    F.lit(',"geo":{"zone":'),
+                    (mcc % 7).cast("string"),
+                    F.lit(',"cell":{"id":"'),
+                    device,
+                    F.lit('"},"at":[1.50,true]}'),
+                ),
+            ),
+            F.when(mcc % 5 == 0, F.concat(F.lit(',"retries":'), (mcc % 4).cast("string"))).when(
+                mcc % 5 == 1, F.lit(',"retries":"n/a"')
+            ),
+        )
+        line = F.to_json(F.struct(*RAW_COLUMNS))
+        whole = F.concat(F.expr("substring(line, 1, length(line) - 1)"), "further", F.lit("}"))
+        path = new_folder(self.spark, "wide-lines")
+        lines = self.raw.select(line.alias("line"), further.alias("further"))
+        lines.select(whole.alias("value")).write.text(path)
+        return path
+
     @cached_property
     def settings(self) -> stages.Settings:
         """Input files of the stages, written once."""
@@ -406,6 +437,89 @@ def _queue_checks(v: Views) -> DataFrame:
     )
 
 
+def _extra_fields(v: Views) -> DataFrame:
+    """Which further fields the stored raw layer holds, of which types, and a digest of their values."""
+    layers = stages.Layers.under(new_folder(v.spark, "wide"))
+    stages.ingest(v.spark, layers, stages.Settings(v.wide_lines))
+    return extras.census(stages.read_further(v.spark, layers), files.EXTRA, "transaction_id")
+
+
+def _inputs_missing(v: Views) -> DataFrame:
+    """Rows of inputs that are there, missing or empty."""
+    empty, there = new_folder(v.spark, "empty"), v.settings
+    v.spark.createDataFrame([], "value string").write.text(empty)
+    frames = {
+        "empty_log": _stored(v, files.read_lines(v.spark, empty)),
+        "log": _stored(v, files.read_lines(v.spark, there.logs[1])),
+        "missing_payers": files.read_lookup(v.spark, f"{there.payers}-none", PAYER_COLUMNS),
+        "no_payers": files.read_lookup(v.spark, None, PAYER_COLUMNS),
+        "payees": files.read_lookup(v.spark, there.payees, PAYEE_COLUMNS),
+    }
+    counts = [
+        frame.agg(F.lit(name).alias("input"), F.count("*").alias("rows")) for name, frame in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _enriched_without_payers(v: Views) -> DataFrame:
+    missing = files.read_lookup(v.spark, f"{v.settings.payers}-none", PAYER_COLUMNS)
+    return enrich.enrich(v.silver, missing, v.payees, keys_from=v.raw)
+
+
+def _forest_table(v: Views) -> DataFrame:
+    return forest.nodes(v.spark, v.trained.model)
+
+
+def _forest_rescored(v: Views) -> DataFrame:
+    """Whether a walk of the stored nodes gives the model's own probability, for each unlabelled row."""
+    fitted = stages.load_or_train(v.spark, v.trained, v.settings)
+    scored = fitted.transform(stages.unlabeled_gold(v.spark, v.trained))
+    own = forest.probability(vector_to_array("features"), _forest_table(v))
+    same = F.abs(own - scoring.fraud_probability()) <= 1e-9
+    return scored.select("transaction_id", same.alias("same"))
+
+
+def _forest_shape(v: Views) -> DataFrame:
+    shape = forest.shape(_forest_table(v))
+    return shape.select(
+        F.col("tree").cast("bigint").alias("tree"),
+        "complete",
+        "rows_add_up",
+        (F.col("depth") <= model.DEPTH).alias("within_depth"),
+        (F.col("nodes") > 1).alias("splits"),
+    )
+
+
+def _table_versions(v: Views) -> DataFrame:
+    """The rows of each version of a table that is written, appended to, replaced and compacted."""
+    table, gold = Versioned(new_folder(v.spark, "versions")), _stored(v, v.gold)
+    table.replace(report.labeled(gold), "payment_method")
+    table.append(report.unlabeled(gold), "unlabeled")
+    table.append(report.unlabeled(gold), "unlabeled")
+    table.replace(table.read(v.spark, gold.schema).filter(F.col("payor_country") == "UNKNOWN"))
+    return table.history(v.spark, gold.schema).select("version", "transaction_id", "amount", "payment_method")
+
+
+def _append_pruned(v: Views) -> DataFrame:
+    """The queue after each of two appends; the second holds all alerts, a third repeats its batch."""
+    queued, alerts = Versioned(new_folder(v.spark, "queue")), _stored(v, v.alerts)
+    append_new(alerts.filter(F.col("payor_country") == "UNKNOWN"), queued, "first")
+    append_new(alerts, queued, "second")
+    append_new(alerts, queued, "second")
+    return queued.history(v.spark, alerts.schema).select("version", "transaction_id", "amount")
+
+
+def _connector_round_trip(v: Views) -> DataFrame:
+    """Gold through a connector without a path: written in two parts, read back."""
+    segments.register(v.spark)
+    table = Table(format=segments.FORMAT, options={"table": new_folder(v.spark, "segments")})
+    gold = _stored(v, v.gold)
+    table.replace(v.spark.range(3))
+    table.replace(report.labeled(gold))
+    table.append(report.unlabeled(gold))
+    return table.read(v.spark)
+
+
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Sources and sinks.
     "raw_scan": lambda v: v.raw,
@@ -425,6 +539,10 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
         _stored(v, clean.with_state(v.raw), clean.STATE)
     ).select(RAW_COLUMNS),
     "silver_view": lambda v: materialize(v.silver, "silver_view"),
+    "extra_fields": _extra_fields,
+    "inputs_missing": _inputs_missing,
+    "table_versions": _table_versions,
+    "connector_round_trip": _connector_round_trip,
     # Cleaning.
     "valid_id_rows": lambda v: clean.with_valid_id(v.raw),
     "ranked_rows": lambda v: clean.ranked(clean.with_valid_id(v.raw), keep=3),
@@ -440,6 +558,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "enriched_by_shuffle": lambda v: enrich.enrich(
         v.silver, v.payers, v.payees, Limits(broadcast_bytes=0, smallest_share=100), v.raw
     ),
+    "enriched_without_payers": _enriched_without_payers,
     # Quality tests.
     "dup_count": lambda v: quality.surplus_rows(v.raw, "transaction_id"),
     "null_id_count": lambda v: quality.null_rows(v.raw, "transaction_id"),
@@ -478,6 +597,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "queue_existing_columns": lambda v: queue.existing(v.silver, QUEUE_COLUMNS),
     "queue_append_twice": _append_twice,
     "queue_append_repeats": _append_repeats,
+    "queue_append_pruned": _append_pruned,
     "queue_replace": lambda v: _stored_twice(v, report.unlabeled(v.gold), v.alerts),
     "queue_filter": lambda v: report.filter_queue(v.alerts, COUNTRIES, MIN_AMOUNT),
     "queue_formatted": lambda v: report.formatted_queue(v.alerts),
@@ -511,6 +631,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "review_queue": _review_queue,
     "score_checks": _score_checks,
     "queue_checks": _queue_checks,
+    "forest_rescored": _forest_rescored,
+    "forest_shape": _forest_shape,
 }
 
 

@@ -277,6 +277,63 @@ ORACLE: dict[str, str] = {
         " SELECT transaction_id, true AS right FROM enriched_transactions WHERE is_fraud IS NULL"
     ),
     "queue_append_repeats": _all("review_queue"),
+    "queue_append_pruned": _over(
+        """
+        SELECT CAST(1 AS BIGINT) AS version, transaction_id, amount FROM review_queue
+        WHERE payor_country = 'UNKNOWN'
+        UNION ALL SELECT 2, transaction_id, amount FROM review_queue"""
+    ),
+    "table_versions": _over(
+        """
+        SELECT CAST(version AS BIGINT) AS version, transaction_id, amount, payment_method
+        FROM enriched_transactions, (VALUES (1), (2), (3)) AS v(version)
+        WHERE CASE version WHEN 1 THEN is_fraud IS NOT NULL WHEN 2 THEN true
+              ELSE payor_country = 'UNKNOWN' END"""
+    ),
+    "connector_round_trip": _all("enriched_transactions"),
+    "enriched_without_payers": _over(
+        """
+        SELECT * REPLACE (CAST(NULL AS VARCHAR) AS payor_name, 'UNKNOWN' AS payor_country,
+                          CAST(0 AS DOUBLE) AS payor_risk_score)
+        FROM enriched_transactions"""
+    ),
+    "inputs_missing": _over(
+        """
+        SELECT 'log' AS input, count(*) AS rows FROM raw_transactions
+        UNION ALL SELECT 'payees', count(*) FROM dim_payees
+        UNION ALL SELECT unnest(['empty_log', 'missing_payers', 'no_payers']), 0"""
+    ),
+    "extra_fields": _over(
+        """
+        , wide AS (
+          SELECT coalesce(transaction_id, '') AS id, merchant_mcc AS mcc,
+                 concat('{"id":"', device_id, '"}') AS cell
+          FROM raw_transactions
+        ),
+        fields AS (
+          SELECT id, 'channel' AS field, 'STRING' AS type, '"web"' AS value FROM wide WHERE mcc % 3 = 0
+          UNION ALL SELECT id, 'channel', 'VOID', 'null' FROM wide WHERE mcc % 3 = 1
+          UNION ALL SELECT id, 'geo', 'OBJECT',
+            concat('{"at":[1.5,true],"cell":', cell, ',"zone":', mcc % 7, '}') FROM wide WHERE mcc % 2 = 0
+          UNION ALL SELECT id, 'geo.at', 'ARRAY', '[1.5,true]' FROM wide WHERE mcc % 2 = 0
+          UNION ALL SELECT id, 'geo.cell', 'OBJECT', cell FROM wide WHERE mcc % 2 = 0
+          UNION ALL SELECT id, 'geo.cell.id', 'STRING', cell[7:-2] FROM wide WHERE mcc % 2 = 0
+          UNION ALL SELECT id, 'geo.zone', 'BIGINT', CAST(mcc % 7 AS VARCHAR) FROM wide WHERE mcc % 2 = 0
+          UNION ALL SELECT id, 'retries', 'BIGINT', CAST(mcc % 4 AS VARCHAR) FROM wide WHERE mcc % 5 = 0
+          UNION ALL SELECT id, 'retries', 'STRING', '"n/a"' FROM wide WHERE mcc % 5 = 1
+        )
+        SELECT field, type, count(*) AS rows,
+               CAST(sum(CAST(concat('0x', substr(md5(concat(id, '=', value)), 1, 8)) AS BIGINT)) AS BIGINT)
+                 AS digest
+        FROM fields GROUP BY field, type"""
+    ),
+    "forest_rescored": _over(
+        " SELECT transaction_id, true AS same FROM enriched_transactions WHERE is_fraud IS NULL"
+    ),
+    "forest_shape": """
+        SELECT CAST(tree AS BIGINT) AS tree, true AS complete, true AS rows_add_up, true AS within_depth,
+               true AS splits
+        FROM range(50) AS trees(tree)""",
     "raw_scan": _all("raw_transactions"),
     "dim_payers": _all("dim_payers"),
     "dim_payees": _all("dim_payees"),

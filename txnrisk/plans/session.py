@@ -1,5 +1,7 @@
 """A Spark session with the settings these jobs expect."""
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -29,3 +31,12 @@ def builder(
     if split_size:
         settings["spark.sql.files.maxPartitionBytes"] = split_size
     return SparkSession.builder.appName(app).config(map=settings)
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package; a cluster has it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

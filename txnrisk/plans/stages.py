@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnrisk.functions import scoring
 from txnrisk.operators import (
@@ -40,6 +41,7 @@ from txnrisk.schemas import (
 )
 from txnrisk.sources import files, models
 from txnrisk.sources.tables import Table, append_new, in_few_files, materialize
+from txnrisk.sources.versions import Versioned
 
 LABEL_STATE = "label_state"
 # Failures of these are only warned of: repeated lookup keys, odd labels, unreadable values.
@@ -78,7 +80,7 @@ class Layers:
 
     @classmethod
     def under(cls, root: str, **changes) -> Layers:
-        """All layers as Parquet folders below one root."""
+        """All layers as Parquet folders with versions, below one root."""
         names = {
             "raw": "raw_transactions",
             "dim_payers": "dim_payers",
@@ -92,7 +94,7 @@ class Layers:
             "roc_curve": "roc_curve",
             "class_report": "classification_report",
         }
-        tables = {field: Table(f"{root}/{name}") for field, name in names.items()}
+        tables = {field: Versioned(f"{root}/{name}") for field, name in names.items()}
         return cls(**{**tables, "model": f"{root}/models/fraud_model", **changes})
 
 
@@ -105,23 +107,40 @@ class Settings:
     payers: str | None = None
     payees: str | None = None
     csv_null_tokens: tuple[str, ...] = ()
+    # Names of the lines' further fields to keep; None finds them by a pass over the lines.
+    further_fields: tuple[str, ...] | None = None
     # Quality tests that may fail without stopping the run.
     accepted_failures: tuple[str, ...] = ()
     threshold: float = scoring.HIGH_RISK
     # Score the first rows of gold when no row is waiting for a label.
     score_first_when_none_wait: bool = False
     replace_queue: bool = False
+    # A name for this run's alerts: a queue that has them already takes none.
+    batch: str | None = None
     limits: Limits = LIMITS
 
 
+def _raw_schema(table: Table) -> T.StructType:
+    """The raw layer's columns. Further fields are a VARIANT in Parquet, else JSON text."""
+    kind = T.VariantType() if table.format == "parquet" else T.StringType()
+    return T.StructType([*RAW_SCHEMA, T.StructField(files.EXTRA, kind)])
+
+
 def read_raw(spark: SparkSession, layers: Layers) -> DataFrame:
     """The readable rows of the raw layer, as text, with their stored record state."""
-    return files.readable(layers.raw.read(spark, RAW_SCHEMA)).select(*RAW_COLUMNS, clean.STATE)
+    raw = layers.raw.read(spark, _raw_schema(layers.raw))
+    return files.readable(raw).select(*RAW_COLUMNS, clean.STATE)
+
+
+def read_further(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The raw rows that came with further fields: transaction_id and ``extra_fields``."""
+    raw = files.readable(layers.raw.read(spark, _raw_schema(layers.raw)))
+    return raw.select("transaction_id", files.EXTRA).filter(F.col(files.EXTRA).isNotNull())
 
 
 def read_corrupt(spark: SparkSession, layers: Layers) -> DataFrame:
     """The input lines that held no JSON object."""
-    return files.corrupt(layers.raw.read(spark, RAW_SCHEMA))
+    return files.corrupt(layers.raw.read(spark, _raw_schema(layers.raw)))
 
 
 def read_lookups(spark: SparkSession, layers: Layers) -> tuple[DataFrame, DataFrame]:
@@ -155,11 +174,17 @@ def unlabeled_gold(spark: SparkSession, layers: Layers) -> DataFrame:
 def ingest(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
     """Files to the raw layer and the two lookups; the ingestion summary as result.
 
-    The lines are read once: valid, quarantined and corrupt ones go to their
-    own directories of the raw table.
+    Valid, quarantined and corrupt lines go to their own directories of the raw
+    table in one pass. Another one before it finds the names of further fields,
+    unless the settings name them.
     """
     paths = (settings.logs,) if isinstance(settings.logs, str) else settings.logs
-    lines = files.read_lines(spark, files.first_existing(spark, *paths))
+    path = files.first_existing(spark, *paths)
+    named = settings.further_fields
+    further = files.further_fields(spark, path) if named is None else list(named)
+    lines = files.read_lines(spark, path, further)
+    if layers.raw.format != "parquet":
+        lines = lines.withColumn(files.EXTRA, F.to_json(files.EXTRA))
     layers.raw.replace(lines, partition_by=clean.STATE)
     for path, columns, target in (
         (settings.payers, PAYER_COLUMNS, layers.dim_payers),
@@ -240,7 +265,7 @@ def infer(spark: SparkSession, layers: Layers, settings: Settings) -> DataFrame:
     if settings.replace_queue:
         layers.queue.replace(in_few_files(alerts))
     else:
-        append_new(alerts, layers.queue)
+        append_new(alerts, layers.queue, settings.batch)
     return report.alert_sample(layers.queue.read(spark, typed_schema(QUEUE_COLUMNS)))
 
 
