@@ -1,0 +1,73 @@
+import math
+import random
+import statistics
+
+import pytest
+
+from txnrisk.operators import medians, model
+
+INF = math.inf
+
+
+def expected(values):
+    known = [v for v in values if v is not None and not math.isnan(v)]
+    return (len(known), statistics.median(known) if known else None)
+
+
+def found(spark, columns):
+    rows = list(zip(*columns.values(), strict=True))
+    schema = ", ".join(f"{name} double" for name in columns)
+    return medians.medians(spark.createDataFrame(rows, schema).repartition(3), list(columns))
+
+
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_medians_against_sorting(spark, monkeypatch, bins):
+    monkeypatch.setattr(medians, "BINS", bins)
+    draw = random.Random(bins)
+    n = 501
+    columns = {
+        "even": [draw.gauss(0, 1) for _ in range(n - 1)] + [None],
+        "odd": [draw.gauss(0, 1e-300) for _ in range(n)],
+        "crowded": [1.0 + draw.randrange(5) * 2**-52 for _ in range(n)],
+        # A third is one value, far values stretch the range.
+        "shared": [7.0 if i % 3 == 0 else draw.choice([-1e300, 1e300, 7.0000001, 6.9999]) for i in range(n)],
+        "whole": [float(draw.randrange(-50, 50)) for _ in range(n)],
+        "gaps": [None if i % 2 else math.nan if i % 3 == 0 else draw.random() for i in range(n)],
+        "none": [None] * n,
+        "one": [None] * (n - 1) + [3.5],
+        "tiny": [draw.choice([0.0, 5e-324, 1e-323, -5e-324]) for _ in range(n)],
+        "wide": [draw.choice([-1.7e308, 1.7e308, 0.0, -0.0, 5e-324]) for _ in range(n)],
+    }
+    got = found(spark, columns)
+    for name, values in columns.items():
+        assert got[name] == expected(values), name
+
+
+def test_infinite_values_are_the_ends(spark):
+    most = 1.7976931348623157e308
+    got = found(spark, {"high": [INF, INF, 1.0], "both": [-INF, 2.0, INF], "low": [-INF, -INF, None]})
+    assert got == {"high": (3, most), "both": (3, 2.0), "low": (2, -most)}
+
+
+def test_an_empty_table(spark):
+    assert medians.medians(spark.createDataFrame([], "a double, b long"), ["a", "b"]) == {"a": (0, None), "b": (0, None)}
+
+
+def test_the_model_fills_gaps_with_exact_medians(spark):
+    filler = model.gap_filler({"amount": 0.1 + 0.2, "merchant_mcc": 5411.0})
+    rows = spark.createDataFrame([(1.5, None), (None, 7), (math.nan, 8)], "amount double, merchant_mcc long")
+    got = [(r.amount_filled, r.merchant_mcc_filled) for r in filler.transform(rows).collect()]
+    assert got == [(1.5, 5411.0), (0.1 + 0.2, 7.0), (0.1 + 0.2, 8.0)]
+
+
+def test_a_fitted_model_has_them(spark):
+    from txnrisk.plans.catalog import Views
+    from txnrisk.operators import report
+
+    rows = report.labeled(Views(spark, "/root/testdata/sf0.001").gold).limit(200)
+    fitted = model.fit(rows)
+    statement = next(s for s in fitted.stages if hasattr(s, "getStatement")).getStatement()
+    known = model.feature_frame(rows).filter("amount IS NOT NULL")
+    for name in ("amount", "payor_risk_score"):
+        values = [r[0] for r in known.select(name).collect()]
+        assert repr(expected(values)[1]) in statement

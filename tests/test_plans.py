@@ -3,7 +3,9 @@
 import frames
 import pytest
 
+from txnrisk.operators import clean, enrich, queue, report
 from txnrisk.plans import catalog
+from txnrisk.sources.tables import Table
 
 FOLDER = "/root/testdata/sf0.001"
 # These build their frame by writing tables first.
@@ -17,7 +19,8 @@ LAZY = [
         "table_by_state", "queue_append_twice", "queue_replace", "stage_counts", "train_eval",
         "score_unlabeled", "review_queue", "extra_fields", "inputs_missing", "table_versions",
         "connector_round_trip", "queue_append_pruned", "forest_rescored", "forest_shape",
-        "enriched_without_payers",
+        "enriched_without_payers", "enriched_bucketed", "category_ranks", "category_codes",
+        "exact_medians", "stored_counts", "stage_plan",
     }
 ]
 
@@ -45,3 +48,45 @@ def test_silver_is_shuffled_once_and_its_partitioning_reused(spark):
     silver = catalog.Views(spark, FOLDER).silver
     counted = silver.groupBy("transaction_id").count()
     assert frames.plan_of(counted).count("Exchange hashpartitioning(transaction_id") == 1
+
+
+def test_a_table_in_buckets_needs_no_exchange(spark, tmp_path):
+    """Latest row of each id, lookups, and the anti join with a queue in as many buckets."""
+    v = catalog.Views(spark, FOLDER)
+
+    def bucketed(name, df):
+        made = Table(name=name, options={"path": str(tmp_path / name)}, bucket_by="transaction_id", buckets=4)
+        made.replace(df)
+        return made
+
+    raw = bucketed("plan_raw", v.raw)
+    queued = bucketed("plan_queue", v.alerts.limit(50))
+    silver = clean.latest(raw.read(spark))
+    assert "Exchange" not in frames.plan_of(silver)
+    gold = enrich.enrich(silver, v.payers, v.payees)
+    assert "hashpartitioning(transaction_id" not in frames.plan_of(gold)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = queue.not_queued(silver, queued.read(spark))
+        plan = frames.plan_of(new)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    queued.append(v.alerts.limit(60))
+    assert queued.read(spark).count() == 110
+    with pytest.raises(ValueError, match="buckets need"):
+        Table("p", bucket_by="x", buckets=3)
+
+
+def test_stored_counts_read_no_rows(spark):
+    plan = frames.plan_of(catalog.queries()["stored_counts"](spark, FOLDER))
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 3
+    # The session's own settings stay as they were.
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_stored_counts_by_directory(spark):
+    v = catalog.views(spark.sparkContext.applicationId, spark, FOLDER)
+    found = report.stored_counts(spark, {"gold": v.layers.gold.folders(spark)}, by="label_state")
+    assert {r.label_state: r.n for r in found.collect()} == {"labeled": 3022, "unlabeled": 1564}
+    assert "PushedAggregation: [COUNT(*)]" in frames.plan_of(found)

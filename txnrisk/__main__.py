@@ -4,7 +4,7 @@ import argparse
 from dataclasses import replace
 
 from txnrisk.functions import scoring
-from txnrisk.plans import session, stages
+from txnrisk.plans import runs, session, stages
 from txnrisk.sources.tables import FILE_FORMATS, Table
 from txnrisk.sources.versions import Versioned
 
@@ -45,6 +45,9 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--accept", action="append", default=[], help="quality test that may fail")
     made.add_argument("--score-first", action="store_true", help="score gold if nothing waits")
     made.add_argument("--replace-queue", action="store_true")
+    made.add_argument(
+        "--resume", action="store_true", help="run only stages whose inputs or results have changed"
+    )
     made.add_argument("--batch", help="name of this run's alerts, appended once")
     return made
 
@@ -96,8 +99,13 @@ def main(argv: list[str] | None = None) -> None:
     layers, settings = layers_of(args), settings_of(args)
     spark = session.builder().getOrCreate()
     stage = ALIASES.get(args.stage, args.stage)
-    names = stages.STAGES if stage == "all" else (stage,)
-    results = stages.run(spark, layers, settings, names)
+    if args.resume:
+        log = Versioned(f"{args.root}/runs")
+        runs.plan_frame(spark, runs.plan(spark, layers, settings, log)).show(truncate=False)
+        results = runs.run_stale(spark, layers, settings, log, None if stage == "all" else stage)
+    else:
+        names = stages.STAGES if stage == "all" else (stage,)
+        results = stages.run(spark, layers, settings, names)
     for name, result in results.items():
         print(f"== {name}")
         result.show(truncate=False)

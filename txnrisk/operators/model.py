@@ -5,6 +5,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
+    SQLTransformer,
     StandardScaler,
     StringIndexer,
     VectorAssembler,
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions import scoring
-from txnrisk.operators import curves
+from txnrisk.operators import curves, medians
 from txnrisk.schemas import CATEGORICAL_FEATURES, CLASSES, LABEL, NUMERIC_FEATURES
 
 # The forest's settings.
@@ -37,17 +38,29 @@ def category_indexer() -> StringIndexer:
     )
 
 
-def feature_stages() -> list:
+def gap_filler(values: dict[str, float]) -> SQLTransformer:
+    """Numeric inputs with given values in place of null and NaN."""
+    parts = [
+        f"coalesce(nanvl(CAST({name} AS DOUBLE), NULL), CAST('{value!r}' AS DOUBLE)) AS {name}_filled"
+        for name, value in values.items()
+    ]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+
+
+def feature_stages(middle: dict[str, float] | None = None) -> list:
     """Index and one-hot encode categories, fill numeric gaps, assemble, scale by deviation.
 
     A category not seen in training becomes all zeros, a missing number the
-    training median.
+    training median: one of ``middle`` or, without these, an approximate one.
     """
+    imputer = Imputer(
+        strategy="median", inputCols=NUMERIC_FEATURES, outputCols=_suffixed(NUMERIC_FEATURES, "filled")
+    )
     hot, filled = _suffixed(CATEGORICAL_FEATURES, "hot"), _suffixed(NUMERIC_FEATURES, "filled")
     return [
         category_indexer(),
         OneHotEncoder(inputCols=_suffixed(CATEGORICAL_FEATURES, "index"), outputCols=hot),
-        Imputer(strategy="median", inputCols=NUMERIC_FEATURES, outputCols=filled),
+        gap_filler(middle) if middle else imputer,
         VectorAssembler(
             inputCols=hot + filled, outputCol="unscaled_features", handleInvalid="keep"
         ),
@@ -112,16 +125,20 @@ def fit(train: DataFrame, cache: bool = True) -> PipelineModel:
     """
     inputs = feature_frame(train).filter(F.col("amount").isNotNull())
     if not cache:
-        check_inputs(inputs)
-        return Pipeline(stages=[*feature_stages(), forest()]).fit(inputs)
+        return _fitted(inputs)
     inputs = inputs.persist()
     try:
-        check_inputs(inputs)
-        return Pipeline(stages=[*feature_stages(), forest()]).fit(inputs)
+        return _fitted(inputs)
     finally:
         inputs.unpersist()
 
 
+def _fitted(inputs: DataFrame) -> PipelineModel:
+    check_inputs(inputs)
+    middle = {name: median for name, (_, median) in medians.medians(inputs, NUMERIC_FEATURES).items()}
+    return Pipeline(stages=[*feature_stages(middle), forest()]).fit(inputs)
+
+
 def score(model: PipelineModel, df: DataFrame, threshold: float = scoring.HIGH_RISK) -> DataFrame:
     """Add fraud_probability and prediction; the model's own columns are dropped.
 

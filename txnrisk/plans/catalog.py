@@ -6,6 +6,7 @@ that need scores without a model use a stand-in: amount / 100000.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cache, cached_property, reduce
@@ -20,9 +21,11 @@ from txnrisk.operators import (
     clean,
     confusion,
     curves,
+    dictionary,
     enrich,
     extras,
     forest,
+    medians,
     model,
     quality,
     queue,
@@ -30,7 +33,7 @@ from txnrisk.operators import (
     split,
 )
 from txnrisk.operators.joins import Limits
-from txnrisk.plans import stages
+from txnrisk.plans import runs, stages
 from txnrisk.plans.workdir import new_folder
 from txnrisk.schemas import (
     CATEGORICAL_FEATURES,
@@ -520,6 +523,62 @@ def _connector_round_trip(v: Views) -> DataFrame:
     return table.read(v.spark)
 
 
+def _exact_medians(v: Views) -> DataFrame:
+    """Medians of the model's numeric inputs over all labelled rows and over all but one, odd and even."""
+    rows = _stored(v, report.labeled(v.gold).select("transaction_id", *NUMERIC_FEATURES))
+    first = rows.agg(F.min("transaction_id").alias("id")).scalar()
+    parts = {"all": rows, "all_but_one": rows.filter(F.col("transaction_id") != first)}
+    found = [
+        medians.table(frame, NUMERIC_FEATURES).withColumn("part", F.lit(name)) for name, frame in parts.items()
+    ]
+    return _rounded(reduce(DataFrame.unionByName, found), "median")
+
+
+def _category_ranks(v: Views) -> DataFrame:
+    """Devices by frequency, from a dictionary that stays distributed."""
+    return dictionary.ranks(v.gold, "device_id")
+
+
+def _category_codes(v: Views) -> DataFrame:
+    """Rows of each code that the dictionary of labelled devices gives all rows; none for the others."""
+    gold = _stored(v, v.gold.select("transaction_id", "payor_id", LABEL))
+    known = dictionary.ranks(report.labeled(gold), "payor_id")
+    coded = dictionary.encoded(gold, "payor_id", known, "transaction_id", Limits(0, 50, 100))
+    return coded.groupBy("payor_id_position").agg(F.count("*").alias("n"))
+
+
+def _enriched_bucketed(v: Views) -> DataFrame:
+    """Gold from a raw table that is stored by the hash of its ids."""
+    name = f"raw_{uuid.uuid4().hex}"
+    raw = Table(name=name, options={"path": new_folder(v.spark, name)}, bucket_by="transaction_id", buckets=8)
+    raw.replace(v.raw)
+    rows = raw.read(v.spark)
+    return enrich.enrich(clean.latest(rows), v.payers, v.payees, keys_from=rows)
+
+
+def _stored_counts(v: Views) -> DataFrame:
+    """Rows of the stored layers, from the files' footers."""
+    layers = v.layers
+    named = {"staging": layers.silver, "quarantine": layers.invalid, "gold": layers.gold}
+    folders = {name: table.folders(v.spark) for name, table in named.items()}
+    return report.stored_counts(v.spark, folders)
+
+
+def _stage_plan(v: Views) -> DataFrame:
+    """Which stages are left after a run of two, and after one of the layers has been replaced."""
+    layers = stages.Layers.under(new_folder(v.spark, "planned"))
+    log = Versioned(new_folder(v.spark, "runs"))
+    runs.run_stale(v.spark, layers, v.settings, log, until="transform")
+    two = runs.plan_frame(v.spark, runs.plan(v.spark, layers, v.settings, log))
+    again = runs.run_stale(v.spark, layers, v.settings, log, until="transform")
+    layers.dim_payers.replace(layers.dim_payers.read(v.spark).filter("payor_country IS NOT NULL"))
+    changed = runs.plan_frame(v.spark, runs.plan(v.spark, layers, v.settings, log))
+    both = two.withColumn("after", F.lit("two stages")).unionByName(
+        changed.withColumn("after", F.lit("a change"))
+    )
+    return both.withColumn("ran_again", F.lit(len(again)).cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Sources and sinks.
     "raw_scan": lambda v: v.raw,
@@ -559,6 +618,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
         v.silver, v.payers, v.payees, Limits(broadcast_bytes=0, smallest_share=100), v.raw
     ),
     "enriched_without_payers": _enriched_without_payers,
+    "enriched_bucketed": _enriched_bucketed,
     # Quality tests.
     "dup_count": lambda v: quality.surplus_rows(v.raw, "transaction_id"),
     "null_id_count": lambda v: quality.null_rows(v.raw, "transaction_id"),
@@ -608,6 +668,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Model inputs and metrics.
     "feature_frame": lambda v: model.feature_frame(v.gold),
     "category_index": _category_index,
+    "category_ranks": _category_ranks,
+    "category_codes": _category_codes,
+    "exact_medians": _exact_medians,
     "stratified_split": lambda v: split.stratified_split(
         _stored(v, report.labeled(v.gold).select("transaction_id", LABEL))
     ),
@@ -626,6 +689,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "roc_curve": lambda v: _rounded(curves.roc_curve(v.totals()), "fpr", "tpr", "threshold"),
     # The stages over stored layers.
     "stage_counts": _stage_counts,
+    "stored_counts": _stored_counts,
+    "stage_plan": _stage_plan,
     "train_eval": _train_eval,
     "score_unlabeled": _score_unlabeled,
     "review_queue": _review_queue,

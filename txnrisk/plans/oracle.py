@@ -327,6 +327,46 @@ ORACLE: dict[str, str] = {
                  AS digest
         FROM fields GROUP BY field, type"""
     ),
+    "enriched_bucketed": _all("enriched_transactions"),
+    "category_ranks": _over(
+        """
+        SELECT device_id AS value, count(*) AS n,
+               row_number() OVER (ORDER BY count(*) DESC, device_id) - 1 AS position
+        FROM enriched_transactions WHERE device_id IS NOT NULL GROUP BY device_id"""
+    ),
+    "category_codes": _over(
+        """
+        , known AS (
+          SELECT payor_id, row_number() OVER (ORDER BY count(*) DESC, payor_id) - 1 AS position
+          FROM enriched_transactions WHERE is_fraud IS NOT NULL GROUP BY payor_id
+        )
+        SELECT position AS payor_id_position, count(*) AS n
+        FROM enriched_transactions t LEFT JOIN known k ON t.payor_id = k.payor_id GROUP BY position"""
+    ),
+    "exact_medians": _over(
+        ", labelled AS (SELECT *, transaction_id = min(transaction_id) OVER () AS is_first"
+        " FROM enriched_transactions WHERE is_fraud IS NOT NULL)"
+        + " UNION ALL ".join(
+            f" SELECT '{c}' AS \"column\", count({c}) AS n, round(CAST(median({c}) AS DOUBLE), 9) AS median,"
+            f" '{part}' AS part FROM labelled WHERE {rows}"
+            for c in NUMERIC_FEATURES
+            for part, rows in (("all", "true"), ("all_but_one", "NOT is_first"))
+        )
+    ),
+    "stored_counts": _over(
+        """
+        SELECT 'staging' AS layer, count(*) AS n FROM stg_transactions
+        UNION ALL SELECT 'quarantine', count(*) FROM invalid_transactions
+        UNION ALL SELECT 'gold', count(*) FROM enriched_transactions"""
+    ),
+    "stage_plan": """
+        SELECT stage, stale, reason, after, CAST(0 AS BIGINT) AS ran_again FROM (VALUES
+          ('ingestion', false, '', 'two stages'), ('transform', false, '', 'two stages'),
+          ('training', true, 'never done', 'two stages'), ('inference', true, 'never done', 'two stages'),
+          ('ingestion', true, 'not as left: dim_payers', 'a change'),
+          ('transform', true, 'made anew: raw, dim_payers, dim_payees', 'a change'),
+          ('training', true, 'never done', 'a change'), ('inference', true, 'never done', 'a change')
+        ) AS planned(stage, stale, reason, after)""",
     "forest_rescored": _over(
         " SELECT transaction_id, true AS same FROM enriched_transactions WHERE is_fraud IS NULL"
     ),

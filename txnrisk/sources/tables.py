@@ -17,12 +17,19 @@ FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
 @dataclass(frozen=True)
 class Table:
-    """A table at a path, in the catalog (``name``) or behind a connector (``options``)."""
+    """A table at a path, in the catalog (``name``) or behind a connector (``options``).
+
+    A catalog table can be stored in ``buckets`` by the hash of a column and
+    sorted by it there. Joins, windows and groups by that column, and joins of
+    two tables with as many buckets, then shuffle and sort nothing.
+    """
 
     path: str | None = None
     name: str | None = None
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
+    bucket_by: str | None = None
+    buckets: int = 0
 
     def exists(self, spark: SparkSession) -> bool:
         """Connectors without path or name count as existing."""
@@ -39,14 +46,22 @@ class Table:
             reader = reader.schema(schema)
         return reader.load(self.path)
 
+    def __post_init__(self):
+        if self.bucket_by and not (self.name and self.buckets > 0):
+            raise ValueError("buckets need a catalog table and their number")
+
     def write(self, df: DataFrame, mode: str, partition_by: str | None = None) -> None:
+        if self.bucket_by:
+            # One file a bucket instead of one for each task and bucket.
+            df = df.repartition(self.buckets, self.bucket_by)
         writer = df.write.format(self.format).options(**self.options).mode(mode)
         if partition_by and (self.path or self.name):
             writer = writer.partitionBy(partition_by)
-        if self.name:
-            writer.saveAsTable(self.name)
-        else:
-            writer.save(self.path)
+        if not self.name:
+            return writer.save(self.path)
+        if self.bucket_by:
+            writer = writer.bucketBy(self.buckets, self.bucket_by).sortBy(self.bucket_by)
+        writer.saveAsTable(self.name)
 
     def replace(self, df: DataFrame, partition_by: str | None = None) -> None:
         self.write(df, "overwrite", partition_by)

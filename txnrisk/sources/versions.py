@@ -106,9 +106,14 @@ class Versioned(Table):
     """A table of files at ``path`` with versions. Same use as ``Table``."""
 
     def __post_init__(self):
-        if not self.path or self.name or self.format not in FILE_FORMATS:
+        if not self.path or self.name or self.bucket_by or self.format not in FILE_FORMATS:
             raise ValueError("versions need a path and a file format")
 
+    def folders(self, spark: SparkSession) -> list[str]:
+        """The folders that hold the latest version's rows."""
+        found = self.commit(spark)
+        return [posixpath.join(self.path, f) for f in found.folders] if found else []
+
     def _file(self, number: int) -> str:
         return posixpath.join(self.path, COMMITS, f"{number:020}.json")
 
