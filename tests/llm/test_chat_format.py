@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import llm_frames
 from hypothesis import HealthCheck, given, settings
@@ -75,6 +76,20 @@ def test_a_long_conversation(spark):
     check(spark, [(1, i, "user" if i % 3 else "assistant", f"### {i} é" * 5) for i in range(3000)])
 
 
+def test_time_grows_with_the_turns(spark):
+    """50,000 turns of one conversation, in runs of one role of every length."""
+    rows = spark.range(50_000).selectExpr(
+        "1 AS conv_id", "id AS turn", "if(sqrt(id) % 2 < 1, 'user', 'assistant') AS role",
+        "concat('turn ### ', id) AS text",
+    )
+    began = time.time()
+    row = chat_format.digest(chat_format.formatted(rows)).first()
+    assert time.time() - began < 60
+    texts = [f"turn ### {i}" for i in range(50_000) if not (i**0.5) % 2 < 1]
+    assert row.n_turns == 50_000 and row.loss_chars == sum(map(len, texts))
+    assert row.loss_sha256 == hashlib.sha256("".join(texts).encode()).hexdigest()
+
+
 def test_empty_and_no_python(spark):
     assert chat_format.formatted(frame(spark, [(1, 1, "a", "b")]).filter("false")).count() == 0
     plan = queries.chats(spark, llm_frames.FOLDER)._jdf.queryExecution().toString()
