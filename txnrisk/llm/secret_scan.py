@@ -322,14 +322,15 @@ def joined(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts by kind and the spans as text, of the rows of ``scan``."""
+    """Counts by kind and the spans as text, of the rows of ``scan``; what the models added comes last."""
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
 
     base = F.filter("spans", lambda s: s.kind != "markov")
     return found.select(
         "doc_id",
-        *[count(kind) for kind in KINDS],
+        *[count(kind) for kind in KINDS if kind != "markov"],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        count("markov"),
     )
