@@ -14,9 +14,8 @@ from txnrisk.llm import bit_packing, bytes_bpe, length_packing, queries
 
 @pytest.fixture(scope="module")
 def library():
-    tool = Tokenizer.from_file(bytes_bpe.default_path())
-    tool.encode_special_tokens = True
-    return tool
+    """Untouched: strings of added tokens get these tokens' ids."""
+    return Tokenizer.from_file(bytes_bpe.default_path())
 
 
 def whole(library, text):
@@ -52,6 +51,30 @@ def test_ids_are_the_librarys(texts):
         assert flat[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+END = "<|endoftext|>"
+
+
+def test_added_tokens_get_their_ids(library):
+    texts = [
+        END, f"{END} a", f"a {END}", f"a{END}b", f"{END}{END}", f" {END}  {END} ", f"x\n{END}\ny", "<|endoftext", "|>",
+        f"two words {END} and a comma, {END}.", "plain text", "", f"é{END}é", "< |endoftext|>",
+    ]
+    flat, borders = bytes_bpe.encoder(bytes_bpe.default_path()).encode(pa.array(texts))
+    got = [flat[a:b].tolist() for a, b in zip(borders, borders[1:], strict=False)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [50256] and got[4] == [50256, 50256]
+    assert bytes_bpe.encoder(bytes_bpe.default_path()).encode(pa.array(texts[:1]))[0].tolist() == [50256]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([END, "a", " ", "  ", "b.", "\n", "é", "<|"]), max_size=8).map("".join), min_size=1, max_size=5))
+def test_added_tokens_anywhere(texts):
+    whole = Tokenizer.from_file(bytes_bpe.default_path())
+    flat, borders = bytes_bpe.encoder(bytes_bpe.default_path()).encode(pa.array(texts))
+    for text, a, b in zip(texts, borders, borders[1:], strict=False):
+        assert flat[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_round_trip(spark, library, tmp_path):
     texts = llm_frames.ODD_TEXTS + [None] + list(llm_frames.texts().values())[:60]
     ids = random.Random(3).sample(range(1000), len(texts))

@@ -5,7 +5,9 @@ characters. So a text is cut at such spaces, the distinct chunks of a batch are
 encoded once, and a text's ids are put together from its chunks' by numpy. The
 library splits each new chunk and merges each new piece; both are remembered.
 Texts in which a space lies next to white space or control characters are split
-by the library whole. The ids are those that the library gives for whole texts.
+by the library whole, and texts that hold an added token, such as
+``<|endoftext|>``, are encoded by it whole. The ids are those that the library
+gives for whole texts, the added tokens' own ids included.
 """
 
 import re
@@ -89,6 +91,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self._library = Tokenizer.from_file(path)
+        self._added = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._split = self._tokenizer.pre_tokenizer.pre_tokenize_str
@@ -128,6 +132,21 @@ class Encoder:
         """The ids of one text, split by the library whole."""
         return np.frombuffer(self._ids_of_chunk(text), dtype="<u4") if text else _NONE
 
+    def _ids_by_library(self, text: str) -> bytes:
+        return array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _with_added(self, texts: pa.Array, words: pa.DictionaryArray, first: np.ndarray) -> np.ndarray:
+        """Which texts hold an added token; one without a space is looked for in the distinct chunks."""
+        found = np.zeros(len(texts), dtype=bool)
+        for token in self._added:
+            if " " in token:
+                found |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+                continue
+            held = pc.match_substring(words.dictionary, token).to_numpy(zero_copy_only=False)
+            if held.any():
+                found |= np.logical_or.reduceat(held[words.indices.to_numpy()], first)
+        return found
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in a row, and where each text begins, with the end of the last."""
         lists = pc.split_pattern(texts, " ")
@@ -142,6 +161,8 @@ class Encoder:
         first, chunks = ends[:-1], np.diff(ends)
         # A text of one chunk is encoded as it is, whatever its ends.
         odd_text = np.logical_or.reduceat(np.array(odd)[at], first) & (chunks > 1)
+        added = self._with_added(texts, words, first)
+        odd_text |= added
         inner = np.repeat(~odd_text, chunks)
         inner[first] = False
         parts = [
@@ -151,6 +172,8 @@ class Encoder:
         place[first] = np.arange(len(parts), len(parts) + len(first))
         for i, (word, whole) in enumerate(zip(at[first].tolist(), odd_text.tolist(), strict=True)):
             parts.append(self._ids_of_chunk(texts[i].as_py() if whole else distinct[word]))
+        for i in np.flatnonzero(added).tolist():
+            parts[len(distinct) + i] = self._ids_by_library(texts[i].as_py())
         return _gathered(parts, place[place >= 0], np.where(odd_text, 1, chunks))
 
 
