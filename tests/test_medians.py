@@ -71,3 +71,25 @@ def test_a_fitted_model_has_them(spark):
     for name in ("amount", "payor_risk_score"):
         values = [r[0] for r in known.select(name).collect()]
         assert repr(expected(values)[1]) in statement
+
+
+def test_a_category_with_many_values_is_coded_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    from txnrisk.operators import report
+    from txnrisk.plans.catalog import Views
+
+    rows = report.labeled(Views(spark, "/root/testdata/sf0.001").gold)
+    many = F.when(F.xxhash64("transaction_id") % 9 != 0, F.concat(F.lit("city "), F.xxhash64("transaction_id") % 300))
+    rows = rows.withColumn("payee_category", many).limit(800)
+    with pytest.raises(ValueError, match="payee_category has about"):
+        model.fit(rows, most_values=100)
+    fitted = model.fit(rows, hash_width=16, most_values=100)
+    coded = fitted.stages[0].transform(rows)
+    codes = {r[0] for r in coded.select("payee_category_code").distinct().collect()}
+    assert codes == {None, *(f"h{i}" for i in range(16))}
+    assert coded.filter("(payee_category IS NULL) <> (payee_category_code IS NULL)").isEmpty()
+    labels = fitted.stages[1].labelsArray[4]
+    assert sorted(labels) == sorted(f"h{i}" for i in range(16))
+    scored = model.score(fitted, rows.withColumn("payee_category", F.lit("never seen")))
+    assert scored.filter("fraud_probability BETWEEN 0 AND 1").count() == 800

@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument(
         "--resume", action="store_true", help="run only stages whose inputs or results have changed"
     )
+    made.add_argument("--hash-width", type=int, help="codes of a category with too many values to list")
     made.add_argument("--batch", help="name of this run's alerts, appended once")
     return made
 
@@ -91,6 +92,7 @@ def settings_of(args: argparse.Namespace) -> stages.Settings:
         score_first_when_none_wait=args.score_first,
         replace_queue=args.replace_queue,
         batch=args.batch,
+        hash_width=args.hash_width,
     )
 
 

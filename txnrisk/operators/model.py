@@ -29,10 +29,19 @@ def _suffixed(names: list[str], suffix: str) -> list[str]:
     return [f"{name}_{suffix}" for name in names]
 
 
-def category_indexer() -> StringIndexer:
+def category_coder(hashed: dict[str, int]) -> SQLTransformer:
+    """Categories with too many values for a dictionary as one of so many codes, by hash; null stays null."""
+    parts = [
+        f"if({name} IS NULL, NULL, concat('h', pmod(xxhash64({name}), {width}L))) AS {name}_code"
+        for name, width in hashed.items()
+    ]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+
+
+def category_indexer(hashed: dict[str, int] | None = None) -> StringIndexer:
     """Number the values of each category by frequency, ties by name; null and new ones last."""
     return StringIndexer(
-        inputCols=CATEGORICAL_FEATURES,
+        inputCols=[f"{name}_code" if name in (hashed or {}) else name for name in CATEGORICAL_FEATURES],
         outputCols=_suffixed(CATEGORICAL_FEATURES, "index"),
         handleInvalid="keep",
     )
@@ -47,9 +56,11 @@ def gap_filler(values: dict[str, float]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def feature_stages(middle: dict[str, float] | None = None) -> list:
+def feature_stages(middle: dict[str, float] | None = None, hashed: dict[str, int] | None = None) -> list:
     """Index and one-hot encode categories, fill numeric gaps, assemble, scale by deviation.
 
+    Categories in ``hashed`` have codes by hash, so many as it says, in place of values.
+
     A category not seen in training becomes all zeros, a missing number the
     training median: one of ``middle`` or, without these, an approximate one.
     """
@@ -58,7 +69,8 @@ def feature_stages(middle: dict[str, float] | None = None) -> list:
     )
     hot, filled = _suffixed(CATEGORICAL_FEATURES, "hot"), _suffixed(NUMERIC_FEATURES, "filled")
     return [
-        category_indexer(),
+        *([category_coder(hashed)] if hashed else []),
+        category_indexer(hashed),
         OneHotEncoder(inputCols=_suffixed(CATEGORICAL_FEATURES, "index"), outputCols=hot),
         gap_filler(middle) if middle else imputer,
         VectorAssembler(
@@ -88,12 +100,15 @@ def feature_frame(df: DataFrame) -> DataFrame:
     return known.select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES, F.col(LABEL).cast("int"))
 
 
-def check_inputs(inputs: DataFrame, most_values: int = MOST_VALUES) -> None:
+def check_inputs(
+    inputs: DataFrame, most_values: int = MOST_VALUES, hash_width: int | None = None
+) -> list[str]:
     """Raise an error that names what a forest cannot be fitted on.
 
     Labels have to be the two classes, and both have to occur. Every value of a
     category becomes an input and is kept on the driver, so a category with more
-    than ``most_values`` values, by an estimate, is refused and never cut.
+    than ``most_values`` values, by an estimate, is refused and never cut; with a
+    ``hash_width`` the result names it, to be coded by hash.
     """
     estimates = [F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]
     label = F.col(LABEL)
@@ -111,32 +126,40 @@ def check_inputs(inputs: DataFrame, most_values: int = MOST_VALUES) -> None:
     for name in [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]:
         if not counted[name]:
             raise ValueError(f"{name} is null in every row to train on")
-    for name in CATEGORICAL_FEATURES:
-        if counted[name] > most_values:
+    wide = [name for name in CATEGORICAL_FEATURES if counted[name] > most_values]
+    for name in wide:
+        if not hash_width:
             raise ValueError(f"{name} has about {counted[name]} values; {most_values} are allowed")
+    return wide
 
 
-def fit(train: DataFrame, cache: bool = True) -> PipelineModel:
+def fit(
+    train: DataFrame, cache: bool = True, hash_width: int | None = None, most_values: int = MOST_VALUES
+) -> PipelineModel:
     """Fit features and forest on the labelled rows that have an amount.
 
+    With ``hash_width``, a category of more than ``most_values`` values gets that
+    many codes by hash; without, it is an error.
+
     The inputs are read several times, so they are kept on the executors
     (memory, then disk) for the time of the fit. A lost executor's part is
     computed again from the table.
     """
     inputs = feature_frame(train).filter(F.col("amount").isNotNull())
     if not cache:
-        return _fitted(inputs)
+        return _fitted(inputs, hash_width, most_values)
     inputs = inputs.persist()
     try:
-        return _fitted(inputs)
+        return _fitted(inputs, hash_width, most_values)
     finally:
         inputs.unpersist()
 
 
-def _fitted(inputs: DataFrame) -> PipelineModel:
-    check_inputs(inputs)
+def _fitted(inputs: DataFrame, hash_width: int | None, most_values: int) -> PipelineModel:
+    wide = check_inputs(inputs, most_values, hash_width)
+    hashed = {name: hash_width for name in wide}
     middle = {name: median for name, (_, median) in medians.medians(inputs, NUMERIC_FEATURES).items()}
-    return Pipeline(stages=[*feature_stages(middle), forest()]).fit(inputs)
+    return Pipeline(stages=[*feature_stages(middle, hashed), forest()]).fit(inputs)
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float = scoring.HIGH_RISK) -> DataFrame:

@@ -70,7 +70,7 @@ STEPS = {
         ("accepted_failures",),
     ),
     "training": Step(
-        stages.train, ("gold",), ("model", "metrics", "roc_curve", "class_report"), ("threshold",)
+        stages.train, ("gold",), ("model", "metrics", "roc_curve", "class_report"), ("threshold", "hash_width")
     ),
     "inference": Step(
         stages.infer,

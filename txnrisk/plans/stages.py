@@ -115,6 +115,8 @@ class Settings:
     # Score the first rows of gold when no row is waiting for a label.
     score_first_when_none_wait: bool = False
     replace_queue: bool = False
+    # Codes by hash for a category with too many values to list; without it training refuses such data.
+    hash_width: int | None = None
     # A name for this run's alerts: a queue that has them already takes none.
     batch: str | None = None
     limits: Limits = LIMITS
@@ -223,7 +225,7 @@ def transform(spark: SparkSession, layers: Layers, settings: Settings) -> DataFr
 
 def _train(spark: SparkSession, layers: Layers, settings: Settings) -> PipelineModel:
     fit_rows, test_rows = split.split_frames(labeled_gold(spark, layers))
-    fitted = model.fit(fit_rows)
+    fitted = model.fit(fit_rows, hash_width=settings.hash_width)
     models.save_model(fitted, layers.model, layers.second_model)
     counts = curves.score_counts(model.score(fitted, test_rows), "fraud_probability").persist()
     try:
