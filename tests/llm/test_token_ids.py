@@ -152,13 +152,28 @@ def test_packing_query(spark, library):
 
 def test_packing_odd_texts_and_buckets(spark, library, tmp_path):
     texts = [*llm_frames.ODD_TEXTS, None, "word " * 20_000]
-    packed = length_packing.sequences(llm_frames.documents(spark, texts))
-    check_pieces(length_packing.digest(packed).collect(), {i: whole(library, t or "") for i, t in enumerate(texts)})
-    length_packing.write(packed, str(tmp_path / "buckets"))
-    stored = spark.read.parquet(str(tmp_path / "buckets")).selectExpr("octet_length(ids) = 4 * length as ok")
-    assert {r.ok for r in stored.collect()} == {True}
-    assert length_packing.sequences(llm_frames.empty_documents(spark)).count() == 0
-    nulls = length_packing.sequences(llm_frames.documents(spark, ["a", "a"], [None, None])).collect()
+    docs = llm_frames.documents(spark, texts).repartition(6)
+    expected = {i: whole(library, t or "") for i, t in enumerate(texts)}
+    check_pieces(length_packing.digest(length_packing.bucketed(docs)).collect(), expected)
+    path = tmp_path / "buckets"
+    length_packing.write(length_packing.sequences(docs), str(path))
+    lengths = {f"length={n}" for ids in expected.values() for n in length_packing.cut(len(ids), 1024)}
+    assert {p.name for p in path.glob("length=*")} == lengths
+    # Every file has one length; small lengths of many tasks lie in few files.
+    rows = length_packing.read(spark, str(path)).selectExpr(
+        "length", "input_file_name() AS file", "octet_length(ids) = 4 * length AS whole", "sequence_id"
+    ).collect()
+    assert all(r.whole and f"length={r.length}/" in r.file for r in rows)
+    assert len({r.file for r in rows}) < 2 * len(lengths)
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.file, []).append(r.sequence_id)
+    assert all(max(ids) - min(ids) == len(ids) - 1 for ids in by_file.values())
+
+
+def test_packing_nulls_repeats_and_nothing(spark):
+    assert length_packing.bucketed(llm_frames.empty_documents(spark)).count() == 0
+    nulls = length_packing.bucketed(llm_frames.documents(spark, ["a", "a"], [None, None])).collect()
     assert len(nulls) == 2 and len({r.sequence_id for r in nulls}) == 2
     with pytest.raises(ValueError):
         length_packing.sequences(llm_frames.documents(spark, ["a"]), longest=1000)

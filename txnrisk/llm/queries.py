@@ -52,7 +52,7 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, folder: str) -> DataFrame:
-    return length_packing.digest(length_packing.sequences(read(spark, folder, "documents")))
+    return length_packing.digest(length_packing.bucketed(read(spark, folder, "documents")))
 
 
 def languages(spark: SparkSession, folder: str) -> DataFrame:
