@@ -29,8 +29,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of power-of-two lengths, with their ids."""
-    return length_packing.sequences(docs)
+    """Sequences of power-of-two lengths, with their ids, from buckets of equal length."""
+    return length_packing.bucketed(docs)
 
 
 STAGES = [
