@@ -3,6 +3,7 @@ import zlib
 import corpus_pipeline
 import llm_frames
 import numpy as np
+from tokenizers import Tokenizer
 from test_simhash import brute_groups, brute_print
 
 import __spark_entry__ as driver
@@ -12,7 +13,7 @@ from txnrisk.llm import bytes_bpe
 def test_registered():
     names = set(driver.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages_against_brute_force(spark):
@@ -34,7 +35,7 @@ def test_stages_against_brute_force(spark):
     for i, row in cleaned.items():
         assert row.n_chars == len(row.text)
         assert row.text == texts[i] or "[SECRET]" in row.text
-    tool = bytes_bpe.encoder(bytes_bpe.default_path())._tokenizer
+    tool = Tokenizer.from_file(bytes_bpe.default_path())
     pieces = {}
     for r in corpus_pipeline.packing(spark, clean, llm_frames.FOLDER).collect():
         pieces.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist()))
