@@ -69,12 +69,21 @@ def test_frequencies_are_relative_to_the_language(spark):
     rows = [(1, t, lang) for lang, t in texts.items()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert not docs.select(language_id.held_out()).first()[0]
-    found = language_id.fit(docs)
+    found = language_id.fit(docs, least=1)
     assert found.languages == ("x", "y")
     assert found.score("aa").tolist() == pytest.approx([math.log10(2 / 3), math.log10(1 / 4)])
     # " cc " as trigrams: " cc" and "cc ", three each of six.
     assert found.table[found.rows[3][" cc"], 1] == pytest.approx(math.log10(3 / 8))
-    assert language_id.fit(docs, words=1).rows[0].keys() == {"aa", "cc"}
+    # What occurs once in a language is not learned there, whatever the number of terms.
+    often = language_id.fit(docs)
+    assert often.rows[0].keys() == {"aa", "cc"}
+    assert often.score("aa").tolist() == pytest.approx([math.log10(2 / 3), -7.0])
+
+
+def test_no_term_is_cut(spark):
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(30_000)]
+    docs = spark.createDataFrame([(1, " ".join(words * 2), "x")], "doc_id long, text string, lang string")
+    assert len(language_id.fit(docs).rows[0]) == 30_000
 
 
 def test_held_out_documents_teach_nothing(spark):

@@ -7,6 +7,10 @@ shorter order while none is known. What a language lacks costs ``missing``.
 A text's score for a language is the sum over its words; the probability of
 the best language under these scores is reported.
 
+Every word and n-gram that occurs at least twice in a language's sample is
+learned. What occurs once there is no evidence of a frequency, and unseen words
+of that kind are what the fallback is for.
+
 Defined results: a null text or one without a letter is ``und`` with score 0,
 and so is every text when nothing could be learned; ties go to the language
 first in code point order; a null id is held out; repeated rows repeat their
@@ -22,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm.tables import for_tasks, steps, stored, with_text
@@ -31,11 +35,11 @@ UNKNOWN = "und"
 FOLDS = 5
 #: Expected number of documents that each language learns from.
 SAMPLE = 4000
-#: Most frequent words, and n-grams of each order, that a language keeps.
-WORDS, GRAMS = 20_000, 10_000
+#: How often a word or n-gram has to occur in a language's sample.
+LEAST = 2
 ORDERS = (5, 4, 3, 2, 1)
 #: Distinct words whose scores a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -90,7 +94,7 @@ def model_of(counts: pa.Table, missing: float = -7.0) -> Model:
     for i, (order, term) in enumerate(keys):
         at[i] = rows[order].setdefault(term, n_rows)
         n_rows += at[i] == n_rows
-    table = np.full((int(n_rows), len(languages)), missing)
+    table = np.full((int(n_rows), len(languages)), missing, dtype=np.float32)
     table[at, place] = values
     return Model(languages, rows, table)
 
@@ -148,23 +152,17 @@ def _terms(words: DataFrame) -> DataFrame:
     return exact.groupBy("lang", "order", "term").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> Model:
     """Learn from a bounded sample of the labelled documents that are not held out.
 
-    What reaches the driver is at most ``words`` + 5 * ``grams`` rows for each language.
+    What reaches the driver is the sample's terms with ``least`` occurrences.
     """
     for_tasks(docs.sparkSession)
     counted = _sampled(docs, sample).mapInArrow(_count, "lang string, word string, n long")
     per_word = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     terms = stored(_terms(per_word), "terms")
     totals = terms.groupBy("lang", "order").agg(F.sum("n").alias("total"))
-    by_count = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "term")
-    ranked = terms.withColumn("rank", F.row_number().over(by_count))
-    # The first condition bounds the rank before the shuffle as well.
-    top = ranked.filter(F.col("rank") <= max(words, grams)).filter(
-        F.col("rank") <= F.when(F.col("order") == 0, words).otherwise(grams)
-    )
-    return model_of(top.join(totals, ["lang", "order"]).drop("rank").toArrow())
+    return model_of(terms.filter(F.col("n") >= least).join(totals, ["lang", "order"]).toArrow())
 
 
 class Scorer:
