@@ -45,7 +45,7 @@ def test_forest_settings(fitted):
     assert [type(s).__name__ for s in fitted.stages] == [
         "StringIndexerModel",
         "OneHotEncoderModel",
-        "ImputerModel",
+        "SQLTransformer",
         "VectorAssembler",
         "StandardScalerModel",
         "RandomForestClassificationModel",
