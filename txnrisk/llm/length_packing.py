@@ -77,9 +77,11 @@ def write(packed: DataFrame, path: str) -> None:
     """One folder for each length.
 
     The sequences are shuffled by length; Spark cuts the large lengths, so that
-    none is one task's, and a task has few lengths and writes few files.
+    none is one task's, and a task has few lengths and writes few files. Ids leave
+    half of their bytes zero, which zstd packs best.
     """
-    packed.hint("rebalance", "length").write.partitionBy("length").parquet(path)
+    dealt = packed.hint("rebalance", "length")
+    dealt.write.partitionBy("length").option("compression", "zstd").parquet(path)
 
 
 def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
