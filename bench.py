@@ -23,18 +23,23 @@ HEADLINES = [
     "quarantine",
     "enriched",
     "enriched_by_shuffle",
+    "enriched_bucketed",
     "dq_report",
     "layer_counts",
     "ingestion_summary",
     "class_distribution",
     "proxy_alerts",
     "queue_append_twice",
+    "queue_append_pruned",
     "alerts_by_country",
     "alerts_by_method",
     "queue_filter",
     "stage_counts",
+    "stored_counts",
     "layer_sample_gold",
     "category_index",
+    "category_ranks",
+    "exact_medians",
     "stratified_split",
     "roc_auc",
     "roc_curve",

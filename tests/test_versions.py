@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import frames
 import pytest
@@ -83,7 +84,7 @@ def test_a_taken_version_is_a_conflict(spark, table):
     table.replace(raw(spark, "A"))
     with pytest.raises(Conflict):
         table._switch(spark, table.commit(spark))
-    names = [p.name for p in __import__("pathlib").Path(table.path, COMMITS).iterdir()]
+    names = [p.name for p in Path(table.path, COMMITS).iterdir()]
     assert [n for n in names if not n.startswith(".")] == ["00000000000000000001.json"]
 
 
