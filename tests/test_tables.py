@@ -1,9 +1,12 @@
 import frames
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from txnrisk.operators import queue
 from txnrisk.schemas import QUEUE_COLUMNS
-from txnrisk.sources.tables import Table, append_new, materialize
+from txnrisk.sources.tables import WRITERS, Table, append_new, buckets_for, materialize
+from txnrisk.sources.versions import Versioned
 
 
 def ids(df):
@@ -80,3 +83,26 @@ def test_appended_alerts_come_in_few_files(spark, tmp_path):
     rows = frames.raw(spark, *[{"transaction_id": f"T{i}"} for i in range(200)]).repartition(40)
     append_new(rows, Table(str(tmp_path / "q")))
     assert len(list((tmp_path / "q").glob("*.parquet"))) == 1
+
+
+def test_rows_are_not_sorted_by_directory(spark, tmp_path, monkeypatch):
+    """Not in a table, not in one with versions; the session's setting stays as it was."""
+    name, seen, save = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.save
+
+    def watched(writer, *args, **options):
+        seen.append(spark.conf.get(name))
+        return save(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "save", watched)
+    before = spark.conf.get(name)
+    # More directories than writers: no row is lost.
+    rows = spark.range(100).selectExpr("id", "id % 12 AS part")
+    for table in (Table(str(tmp_path / "plain")), Versioned(str(tmp_path / "versioned"))):
+        table.replace(rows, "part")
+        found = table.read(spark).select("id", F.col("part").cast("long"))
+        assert sorted(found.collect()) == sorted(rows.collect())
+    assert seen == [str(WRITERS)] * 2 and spark.conf.get(name) == before
+
+
+def test_buckets_grow_with_the_rows():
+    assert [buckets_for(n) for n in (0, 600_000, 8_000_001, 36_000_000)] == [8, 8, 9, 36]
