@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from txnrisk.functions import scoring
 from txnrisk.operators import confusion, curves, model, queue, report, split
 from txnrisk.plans.catalog import Views
+from txnrisk.schemas import LABEL
 from txnrisk.sources import models
 
 FOLDER = "/root/testdata/sf0.001"
@@ -142,3 +143,23 @@ def test_the_forest_runs_once_per_row(fitted, gold):
     assert "Filter" in above and "UDF" not in above
     # Votes, normalized votes and probabilities, nested in one place.
     assert below.count("AS probability") == 1
+
+
+def test_training_rows_lie_in_partitions_of_bounded_size(spark):
+    """A crowded partition is dealt out evenly, equal rows too; small ones stay as they are."""
+    rows = spark.range(0, 1000, 1, 1).select((F.col("id") % 2).alias("amount"), F.lit(1).alias(LABEL))
+    dealt = model.in_parts(rows, most_rows=150)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 7 and max(sizes) <= 150
+    assert sorted(dealt.collect()) == sorted(rows.collect())
+    assert dealt.collect() == model.in_parts(rows, most_rows=150).collect()
+    assert model.in_parts(rows, most_rows=1000) is rows
+    assert model.in_parts(rows.limit(0)).count() == 0
+
+
+def test_the_forest_is_fitted_on_bounded_partitions(spark, gold, monkeypatch):
+    monkeypatch.setattr(model, "PART_ROWS", 500)
+    taken = []
+    monkeypatch.setattr(model, "_fitted", lambda inputs, *_: taken.append(inputs.rdd.glom().map(len).collect()))
+    model.fit(report.labeled(gold).coalesce(1))
+    assert sum(taken[0]) > 2000 and max(taken[0]) <= 600
