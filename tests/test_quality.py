@@ -94,3 +94,14 @@ def test_every_label_is_counted_and_odd_ones_fail_their_test(spark):
     assert {tuple(r) for r in report.class_distribution(df).collect()} == {(0, 0), (1, 2), (7, 1)}
     assert tuple(quality.label_test(df, "t").first()) == ("accepted_values_t_is_fraud", 1, False)
     assert quality.label_test(df.filter("is_fraud = 1"), "t").first().passed
+
+
+def test_first_rows_are_reached_by_id_alone(spark):
+    """Only rows up to the last id that is needed are compared whole, with ties and null ids."""
+    rows = [("C", 1), ("A", 2), ("A", 1), (None, 3), ("B", 5), ("B", 4)]
+    df = spark.createDataFrame(rows, "transaction_id string, is_fraud long")
+    for n in (1, 3, 4, 6, 9):
+        got = [tuple(r) for r in report.unlabeled_or_first(df, n).collect()]
+        assert got == sorted(rows, key=lambda r: (r[0] is None, r))[:n]
+    plan = report.unlabeled_or_first(df, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "<= B" in plan
