@@ -90,3 +90,13 @@ def test_stored_counts_by_directory(spark):
     found = report.stored_counts(spark, {"gold": v.layers.gold.folders(spark)}, by="label_state")
     assert {r.label_state: r.n for r in found.collect()} == {"labeled": 3022, "unlabeled": 1564}
     assert "PushedAggregation: [COUNT(*)]" in frames.plan_of(found)
+
+
+def test_frequent_keys_are_counted_on_the_rows_of_the_join(spark):
+    """Silver's shuffle serves the counts of both keys and the joins: line items are read once."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = frames.plan_of(catalog.queries()["enriched_by_shuffle"](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("struct<l_orderkey") == 1
