@@ -102,3 +102,17 @@ def test_nothing_learned_no_letters_and_empty(spark, model):
     assert [r.text for r in kept] == ["the und"] and language_id.accepted(docs, model).schema == docs.schema
     assert language_id.predict(llm_frames.empty_documents(spark), model).count() == 0
     assert language_id.fit(llm_frames.empty_documents(spark)).languages == ()
+
+
+def test_a_learned_model_is_no_heap_of_objects(model):
+    """What a worker loads holds few Python objects, however many terms there are."""
+    import pickle
+    import tracemalloc
+
+    raw = pickle.dumps(model, 5)
+    tracemalloc.start()
+    loaded = pickle.loads(raw)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert loaded.score("the").tolist() == model.score("the").tolist()
+    assert sum(map(len, model.rows.values())) > 20_000 and held < 2 * len(raw)

@@ -20,7 +20,7 @@ for learning, ``lang`` are looked at.
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,6 +40,8 @@ LEAST = 2
 ORDERS = (5, 4, 3, 2, 1)
 #: Distinct words whose scores a worker remembers.
 REMEMBERED = 200_000
+#: Text whose new words are looked up at once.
+LOOKUP_BYTES = 1 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -61,25 +63,65 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(remainder == 0, F.lit(True))
 
 
+class Terms(Mapping):
+    """Terms of one order and their rows, which follow each other from ``first`` on.
+
+    Arrow holds them: a worker needs a few bytes for each, and no objects.
+    """
+
+    def __init__(self, terms: pa.StringArray, first: int):
+        self._terms, self._first = terms, first
+
+    def rows(self, wanted: list[str]) -> np.ndarray:
+        """The row of each wanted term, -1 for what is not there. Many at once: each call hashes all terms."""
+        found = pc.index_in(pa.array(wanted, pa.string()), value_set=self._terms)
+        rows = found.fill_null(-1).to_numpy().astype(np.int64)
+        return np.where(rows < 0, -1, rows + self._first)
+
+    def __getitem__(self, term: str) -> int:
+        row = int(self.rows([term])[0])
+        if row < 0:
+            raise KeyError(term)
+        return row
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._terms.to_pylist())
+
+    def __len__(self) -> int:
+        return len(self._terms)
+
+
 @dataclass(frozen=True)
 class Model:
     """Log10 relative frequencies: the rows of terms by order, 0 for words, and a column a language."""
 
     languages: tuple[str, ...]
-    rows: dict[int, dict[str, int]]
+    rows: dict[int, Terms]
     table: np.ndarray
 
-    def score(self, word: str) -> np.ndarray:
-        """One word's score for each language; zeros if nothing of it is known."""
-        known = self.rows[0].get(word)
-        if known is not None:
-            return self.table[known]
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Each word's score for each language; zeros if nothing of it is known."""
+        at = self.rows[0].rows(words)
+        scores = np.zeros((len(words), len(self.languages)), dtype=np.float32)
+        scores[at >= 0] = self.table[at[at >= 0]]
+        left = np.flatnonzero(at < 0)
         for order in ORDERS:
-            rows = self.rows[order]
-            found = [rows[g] for g in grams_of(word, order) if g in rows]
-            if found:
-                return self.table[found].mean(axis=0)
-        return np.zeros(len(self.languages))
+            if not len(left):
+                break
+            grams = [grams_of(words[i], order) for i in left.tolist()]
+            owner = np.repeat(np.arange(len(left)), [len(g) for g in grams])
+            at = self.rows[order].rows([g for found in grams for g in found])
+            owner, at = owner[at >= 0], at[at >= 0]
+            some, first, n = np.unique(owner, return_index=True, return_counts=True)
+            if len(some):
+                means = np.add.reduceat(self.table[at], first) / n[:, None].astype(np.float32)
+                scores[left[some]] = means
+                left = np.delete(left, some)
+        return scores
+
+    def score(self, word: str) -> np.ndarray:
+        """One word's score for each language."""
+        return self.scores([word])[0]
 
 
 def model_of(counts: pa.Table, missing: float = -7.0) -> Model:
@@ -87,14 +129,17 @@ def model_of(counts: pa.Table, missing: float = -7.0) -> Model:
     languages = tuple(sorted(pc.unique(counts["lang"]).to_pylist()))
     place = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy()
     values = np.log10(counts["n"].to_numpy() / counts["total"].to_numpy())
-    rows: dict[int, dict[str, int]] = {order: {} for order in (0, *ORDERS)}
+    orders = counts["order"].to_numpy()
+    rows: dict[int, Terms] = {}
     n_rows = 0
     at = np.zeros(len(values), dtype=np.int64)
-    keys = zip(counts["order"].to_pylist(), counts["term"].to_pylist(), strict=True)
-    for i, (order, term) in enumerate(keys):
-        at[i] = rows[order].setdefault(term, n_rows)
-        n_rows += at[i] == n_rows
-    table = np.full((int(n_rows), len(languages)), missing, dtype=np.float32)
+    for order in (0, *ORDERS):
+        chosen = np.flatnonzero(orders == order)
+        terms = counts["term"].take(pa.array(chosen)).cast(pa.string())
+        rows[order] = Terms(pc.unique(terms), n_rows)
+        at[chosen] = rows[order].rows(terms.to_pylist())
+        n_rows += len(rows[order])
+    table = np.full((n_rows, len(languages)), missing, dtype=np.float32)
     table[at, place] = values
     return Model(languages, rows, table)
 
@@ -184,19 +229,24 @@ class Scorer:
             letters = np.zeros(room, dtype=bool)
             table[:at], letters[:at] = self._table[:at], self._letters[:at]
             self._table, self._letters = table, letters
-        for i, word in enumerate(words):
-            self._letters[at + i] = any(map(str.isalpha, word))
-            if self._letters[at + i]:
-                self._table[at + i] = self._model.score(word)
+        self._letters[at:need] = [any(map(str.isalpha, word)) for word in words]
+        self._table[at:need] = self._model.scores(words) * self._letters[at:need, None]
 
     def predict(self, text: str) -> tuple[str, float]:
-        counted = Counter(words_of(text))
-        new = [word for word in counted if word not in self._place]
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str]) -> list[tuple[str, float]]:
+        """The language of each text. What is new in all of them is looked up at once."""
+        counted = [Counter(words_of(text)) for text in texts]
+        new = {word: None for words in counted for word in words if word not in self._place}
         if new and len(self._place) + len(new) > REMEMBERED:
             self._place, self._table, self._letters = {}, self._table[:0], self._letters[:0]
-            new = list(counted)
+            new = dict.fromkeys(word for words in counted for word in words)
         if new:
-            self._learn(new)
+            self._learn(list(new))
+        return [self._best(words) for words in counted]
+
+    def _best(self, counted: Counter) -> tuple[str, float]:
         at = np.fromiter(map(self._place.__getitem__, counted), np.int64, len(counted))
         if not self._model.languages or not self._letters[at].any():
             return UNKNOWN, 0.0
@@ -213,8 +263,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in steps(batches):
-            pairs = [scorer.predict(t) for t in batch.column("text").to_pylist()]
+        for batch in steps(batches, most=LOOKUP_BYTES):
+            pairs = scorer.predict_all(batch.column("text").to_pylist())
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -235,8 +285,8 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in steps(batches):
-            pairs = [scorer.predict(t or "") for t in batch.column("text").to_pylist()]
+        for batch in steps(batches, most=LOOKUP_BYTES):
+            pairs = scorer.predict_all([t or "" for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array([p[0] != UNKNOWN and p[1] >= least for p in pairs]))
 
     return docs.mapInArrow(kept, docs.schema)
