@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from txnrisk.llm import bit_packing, bytes_bpe, length_packing, queries
+from txnrisk.llm.tables import steps
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +52,33 @@ def test_ids_are_the_librarys(texts):
         assert flat[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_ascii_pieces_are_looked_up_as_they_stand(monkeypatch):
+    """ASCII pieces are looked up as they stand, and lines of them are put together from these."""
+    tool = bytes_bpe.Encoder(bytes_bpe.default_path())
+    expected = tool._tokenizer.encode("one two.\nThree (four), five", add_special_tokens=False).ids
+    monkeypatch.setattr(bytes_bpe, "_marked", None)
+    flat, _ = tool.encode(pa.array(["one two.\nThree (four), five"]))
+    assert flat.tolist() == expected
+
+
+def test_an_encoder_loads_one_tokenizer_and_forgets_rare_pieces(monkeypatch):
+    loaded = []
+    real = Tokenizer.from_file
+    fake = type("Fake", (), {"from_file": staticmethod(lambda path: loaded.append(path) or real(path))})
+    monkeypatch.setattr("tokenizers.Tokenizer", fake)
+    tool = bytes_bpe.Encoder(bytes_bpe.default_path())
+    assert len(loaded) == 1 and tool._piece._entries < tool._word._entries
+
+
+def test_steps_give_unused_memory_back(monkeypatch):
+    released = []
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})
+    monkeypatch.setattr(pa, "default_memory_pool", pool)
+    batch = pa.record_batch({"text": pa.array(["a", "b", "c"])})
+    assert [b.num_rows for b in steps(iter([batch, batch]), most=1)] == [1, 1, 1] * 2
+    assert len(released) == 2
+
+
 END = "<|endoftext|>"
 
 

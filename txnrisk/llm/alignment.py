@@ -64,8 +64,8 @@ class SpacedEncoder(bytes_bpe.Encoder):
         words = lists.flatten().dictionary_encode()
         if not len(words):
             return np.zeros(0, dtype="<u4"), np.zeros(len(texts) + 1, dtype=np.int64)
-        at, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
-        odd = [not w.isalpha() and (not w or bytes_bpe._odd(w[0]) or bytes_bpe._odd(w[-1])) for w in distinct]
+        at, distinct = words.indices.to_numpy(), bytes_bpe._strings(words.dictionary)
+        odd = [not w.isalpha() and bytes_bpe._odd_ends(w) for w in distinct]
         whole = np.logical_or.reduceat(np.array(odd)[at], ends[:-1])
         counts = np.diff(ends)
         parts = [b"" if o else self._ids_after_space(w) for w, o in zip(distinct, odd, strict=True)]

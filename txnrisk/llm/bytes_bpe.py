@@ -19,8 +19,8 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Entries of a memory's younger half.
-REMEMBERED = 250_000
+#: Words and other pieces that the younger half of a memory holds. A worker keeps these from task to task.
+REMEMBERED, REMEMBERED_PIECES = 200_000, 40_000
 #: Fixed value: the id that ends a document.
 END_ID = 0
 
@@ -36,6 +36,7 @@ def _byte_marks() -> dict[int, str]:
 
 
 _MARKS = _byte_marks()
+_SPACE_MARK, _LINE_MARK = _MARKS[0x20], _MARKS[0x0A]
 
 
 def _plain(text: str) -> bool:
@@ -49,7 +50,11 @@ def _marked(piece: str) -> str:
 
 #: ASCII letters, symbols but the apostrophe, and line feeds.
 _SIMPLE = re.compile(r"[!-&(-/:-~\n]+")
-_PARTS = re.compile(r"[A-Za-z]+|\n|[!-&(-/:-@\[-`{-~]+")
+_PARTS = re.compile(rf"[A-Za-z]+|{_LINE_MARK}|[!-&(-/:-@\[-`{{-~]+")
+
+
+#: Visible ASCII characters, as most chunks begin and end.
+_VISIBLE = frozenset(map(chr, range(0x21, 0x7F)))
 
 
 def _odd(char: str) -> bool:
@@ -57,6 +62,22 @@ def _odd(char: str) -> bool:
     return char <= " " or "\x7f" <= char <= "\xa0" or char.isspace()
 
 
+def _odd_ends(chunk: str) -> bool:
+    """Whether a chunk is empty or begins or ends with an odd character."""
+    if not chunk:
+        return True
+    first, last = chunk[0], chunk[-1]
+    return not (first in _VISIBLE and last in _VISIBLE) and (_odd(first) or _odd(last))
+
+
+def _strings(chunks: pa.StringArray) -> list[str]:
+    """Strings without a space as Python's: one long string cut again is quicker than one object at a time."""
+    if not len(chunks):
+        return []
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(chunks)], pa.int64()), chunks)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
 def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -91,14 +112,13 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self._library = Tokenizer.from_file(path)
-        self._added = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        # These two know no added tokens.
         self._split = self._tokenizer.pre_tokenizer.pre_tokenize_str
         self._model = self._tokenizer.model
         self.n_ids = self._tokenizer.get_vocab_size()
-        self._piece = Memory(self._ids_of_piece)
+        self._piece = Memory(self._ids_of_piece, REMEMBERED_PIECES)
         self._word = Memory(self._ids_of_word)
         self._tails = {mark: self._ids_of_chunk(mark) for mark in ".,"}
 
@@ -110,6 +130,8 @@ class Encoder:
 
     def _ids_of_word(self, word: str) -> bytes:
         """A space and letters: one piece, if they are letters in every version of Unicode."""
+        if word.isascii():
+            return self._ids_of_piece(_SPACE_MARK + word)
         if not _plain(word):
             return self._ids_of_chunk(f" {word}")
         return self._ids_of_piece(_marked(f" {word}"))
@@ -123,9 +145,11 @@ class Encoder:
             return self._word(chunk[:-1]) + tail
         if _SIMPLE.fullmatch(chunk) and "\n\n" not in chunk:
             # Words, single line feeds and symbols, each a piece; symbols after the space take it along.
-            first, *others = _PARTS.findall(chunk)
-            start = self._word(first) if first.isalpha() else self._piece(_marked(f" {first}"))
-            return start + b"".join([self._piece(_marked(p)) for p in others])
+            # Letters and symbols stand for themselves.
+            first, *others = _PARTS.findall(chunk.replace("\n", _LINE_MARK))
+            start = self._word(first) if first.isalpha() else self._piece(_SPACE_MARK + first)
+            known, other = self._piece.recent(), self._piece
+            return start + b"".join([known(p) or other(p) for p in others])
         return self._ids_of_chunk(f" {chunk}")
 
     def ids(self, text: str) -> np.ndarray:
@@ -133,7 +157,7 @@ class Encoder:
         return np.frombuffer(self._ids_of_chunk(text), dtype="<u4") if text else _NONE
 
     def _ids_by_library(self, text: str) -> bytes:
-        return array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _with_added(self, texts: pa.Array, words: pa.DictionaryArray, first: np.ndarray) -> np.ndarray:
         """Which texts hold an added token; one without a space is looked for in the distinct chunks."""
@@ -154,10 +178,8 @@ class Encoder:
         words = lists.flatten().dictionary_encode()
         if not len(words):
             return _NONE, np.zeros(len(texts) + 1, dtype=np.int64)
-        at, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
-        odd = [
-            not w.isalpha() and (not w or _odd(w[0]) or _odd(w[-1])) for w in distinct
-        ]
+        at, distinct = words.indices.to_numpy(), _strings(words.dictionary)
+        odd = [not w.isalpha() and _odd_ends(w) for w in distinct]
         first, chunks = ends[:-1], np.diff(ends)
         # A text of one chunk is encoded as it is, whatever its ends.
         odd_text = np.logical_or.reduceat(np.array(odd)[at], first) & (chunks > 1)
@@ -165,9 +187,8 @@ class Encoder:
         odd_text |= added
         inner = np.repeat(~odd_text, chunks)
         inner[first] = False
-        parts = [
-            b"" if o else self._ids_after_space(w) for w, o in zip(distinct, odd, strict=True)
-        ]
+        known, other = self._word.recent(), self._ids_after_space
+        parts = [b"" if o else known(w) or other(w) for w, o in zip(distinct, odd, strict=True)]
         place = np.where(inner, at, -1)
         place[first] = np.arange(len(parts), len(parts) + len(first))
         for i, (word, whole) in enumerate(zip(at[first].tolist(), odd_text.tolist(), strict=True)):
@@ -189,7 +210,11 @@ def _gathered(
     starts = np.cumsum(sizes) - sizes
     lengths = sizes[place]
     ends = np.cumsum(lengths)
-    ids = table[np.repeat(starts[place] - ends + lengths, lengths) + np.arange(ends[-1])]
+    # One number for each id: half the width where it suffices.
+    width = np.int32 if max(len(table), ends[-1]) < 1 << 31 else np.int64
+    at = np.repeat((starts[place] - ends + lengths).astype(width), lengths)
+    at += np.arange(ends[-1], dtype=width)
+    ids = table[at]
     borders = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
     return ids, borders
 

@@ -52,6 +52,8 @@ def steps(
                 start, size = i, 0
             size += n
         yield batch.slice(start)
+        # Arrow keeps what is free; a worker that waits for its next task need not hold it.
+        pa.default_memory_pool().release_unused()
 
 
 def fresh(df: DataFrame, name: str) -> str:
