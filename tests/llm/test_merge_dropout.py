@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from txnrisk.llm import merge_dropout, queries
+from txnrisk.llm import merge_batches, merge_dropout, queries
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +140,55 @@ def whole(pieces, chunk, rate, key):
     return [i for p, k in zip(parts, keys, strict=True) for i in pieces.encode(p, rate, k)]
 
 
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.6, 1.0])
+def test_occurrences_cut_at_once_are_cut_as_one_by_one(rate):
+    texts = [*llm_frames.ODD_TEXTS, "日本語" * 100 + "x, y! " * 50 + "a" * 70 + "、。" * 80]
+    texts += list(llm_frames.texts().values())[:40]
+    encoder = merge_dropout.Encoder(merge_dropout.default_path(), rate, 5)
+    ids, ends = encoder.encode_all(texts, list(range(len(texts))))
+    for doc_id, (text, found) in enumerate(zip(texts, np.split(ids, ends[:-1]), strict=True)):
+        chunks = merge_dropout._CHUNK.findall(f" {text}") if text else []
+        keys = encoder._keys(np.array([len(chunks)]), [doc_id]).tolist()
+        one_by_one = [i for c, k in zip(chunks, keys, strict=True) for i in whole(encoder.pieces, c, rate, k)]
+        assert found.tolist() == one_by_one, text[:50]
+
+
+def test_short_chunks_are_merged_at_once(monkeypatch):
+    """No occurrence of an ordinary word is merged by itself."""
+    encoder = merge_dropout.Encoder(merge_dropout.default_path(), 0.3, 5)
+    monkeypatch.setattr(encoder.pieces, "encode", None)
+    for doc_id, text in llm_frames.texts().items():
+        words = " ".join(w for w in text.split() if len(w) < merge_batches.SHORT)
+        assert bool(words) == bool(len(encoder.encode(words, doc_id)))
+
+
+def test_labels_are_hashed_as_the_library_hashes_them():
+    import xxhash
+
+    names = [bytes(range(1, n + 1)) for n in range(50)]
+    rows, seeds = np.arange(50).repeat(3), np.array([0, 7, 2**64 - 1] * 50, dtype=np.uint64)
+    found = merge_batches.Labels(names).hashes(rows, seeds)
+    pairs = zip(rows.tolist(), seeds.tolist(), strict=True)
+    assert found.tolist() == [xxhash.xxh64_intdigest(names[r], s) for r, s in pairs]
+
+
+def test_characters_that_are_no_pieces_and_equal_scores():
+    """A vocabulary whose pieces hold characters that are none, and scores of which many are equal."""
+    pieces = merge_dropout.Pieces(merge_dropout.default_path())
+    pieces.ids = {n: i for n, i in pieces.ids.items() if n not in "aet"}
+    pieces.scores = {n: round(s / 4000) for n, s in pieces.scores.items() if n in pieces.ids}
+    merger = merge_batches.Merger(
+        pieces.ids, pieces.scores, len(pieces.bytes), pieces.byte_ids, "▁", merge_dropout._STAND_IN
+    )
+    chunks = [" international", " considerable", " aaaaaa", " straße", "  xx", " 日本", "▁a▁", " tea"] * 20
+    sizes = np.array([len(c) for c in chunks])
+    keys, symbols = np.arange(len(chunks), dtype=np.uint64), merger.symbols("".join(chunks))
+    for rate in (0.1, 0.5):
+        ids, counts, _ = merger.merged(symbols, np.cumsum(sizes) - sizes, sizes, keys, int(rate * 2**64))
+        for key, (chunk, found) in enumerate(zip(chunks, np.split(ids, np.cumsum(counts)[:-1]), strict=True)):
+            assert found.tolist() == pieces.encode(chunk, rate, key), (chunk, rate)
+
+
 def test_null_and_empty(spark):
     docs = llm_frames.documents(spark, [None, "", "a b"], [None, 1, None])
     rows = merge_dropout.digest(merge_dropout.decode(merge_dropout.encode(docs))).collect()

@@ -4,10 +4,10 @@ Encoding keeps an agenda of candidate merges, the best score first, then the
 leftmost. With dropout, a candidate taken from the agenda is skipped when a
 keyed hash of (seed, document, position of the chunk, place, piece) falls below
 the rate. The same seed gives the same ids on every machine; every occurrence of
-a chunk is cut anew. What a worker remembers of the chunks met last are the
-candidates that the agenda brings up after each series of skips and merges, as
-a tree: an occurrence hashes them one by one, and only what it finds no branch
-for is merged again.
+a chunk is cut anew. A worker remembers of each chunk the cut without dropout and
+the candidates that lead to it. An occurrence none of whose hashes falls below the
+rate has that cut; the others, about a third, are merged from the start. Hashes and
+merges are worked out for many occurrences at once (``merge_batches``).
 
 No piece of the vocabulary goes on after a space begins, so a text is cut into
 chunks before the spaces, and these where two characters follow each other in no
@@ -24,6 +24,8 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,17 +34,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnrisk.llm.merge_batches import SHORT, Labels, Merger, slices
 from txnrisk.llm.tables import for_tasks, steps, with_text
 
 RATE, SEED = 0.1, 2
-#: Chunks and candidates together that the younger half of a worker's memory holds.
+#: Chunks that a worker remembers at most, but for those of the texts at hand.
 REMEMBERED = 500_000
+#: Text that a worker encodes at once, and occurrences that it hashes at once.
+TEXT_BYTES, HASHED_AT_ONCE = 1 << 20, 1 << 16
 #: The mark that stands for a space in pieces.
 SPACE = "▁"
 #: Stands for a space mark that is part of a text; a private character in no piece.
 _STAND_IN = "\U0010fffe"
-#: Symbols up to which a plain list serves as the agenda.
-SHORT = 64
 _NEVER = float("-inf")
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
@@ -186,6 +189,11 @@ class Pieces:
         return joined.decode("utf-8", "replace")[1:]
 
 
+@lru_cache(maxsize=1)
+def _vocabulary(path: str) -> Pieces:
+    return Pieces(path)
+
+
 def _mixed(keys: np.ndarray) -> np.ndarray:
     """The finalizer of splitmix64: each bit of a key moves each bit of the result."""
     keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -193,94 +201,165 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(31))
 
 
-def _size(node) -> int:
-    """Nodes of a tree."""
-    return 1 + (_size(node[1]) + _size(node[2]) if type(node) is list else 0)
+class _Store:
+    """Slices of one array, which are added in batches."""
 
+    def __init__(self):
+        self.flat, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        starts = len(self.flat) + np.cumsum(counts) - counts
+        self.starts = np.concatenate([self.starts, starts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.flat = np.concatenate([self.flat, flat], dtype=np.int32)
 
-class Encoder:
-    """Encodes texts with one seed and rate, remembering chunks.
 
-    Of a chunk is remembered: that it was met once (an empty tuple), its parts if it has
-    several (a tuple), its ids (bytes), or the tree of its candidates. A tree's node is a
-    list of what is hashed of the candidate, the node after merging it and the node after
-    skipping it, None where no occurrence has been yet.
+class _Chunks(dict):
+    """Numbers of chunks: of a whole one from 0 up, of one that has several parts from -1 down.
+
+    Parts longer than ``SHORT`` have numbers from ``LONG`` up, in ``long``, and are not remembered.
     """
 
+    LONG = 1 << 40
+
+    def __init__(self, pieces: Pieces):
+        self._pieces = pieces
+        self._whole = 0
+        #: Parts of longer chunks, which are not met again by their numbers.
+        self.spare = 0
+        self.new: list[str] = []
+        self.long: list[str] = []
+        self.parts: list[list[int]] = []
+        #: Of the whole chunks: symbols, ids without dropout, and its merges: piece times ``SHORT`` plus place.
+        self.symbols, self.ids, self.merges = _Store(), _Store(), _Store()
+
+    def __missing__(self, chunk: str) -> int:
+        parts = self._pieces.parts(chunk)
+        if len(parts) == 1:
+            return self._numbered(chunk)
+        self.parts.append([self[part] if part in self else self._numbered(part) for part in parts])
+        number = -len(self.parts)
+        if len(chunk) <= SHORT:
+            self[chunk] = number
+        else:
+            self.spare += len(parts)
+        return number
+
+    def _numbered(self, chunk: str) -> int:
+        if len(chunk) > SHORT:
+            self.long.append(chunk)
+            return self.LONG + len(self.long) - 1
+        self.new.append(chunk)
+        self[chunk] = number = self._whole
+        self._whole += 1
+        return number
+
+    def learn(self, merger: Merger) -> None:
+        """Merge the chunks met since without dropout."""
+        if not self.new:
+            return
+        symbols = merger.symbols("".join(self.new))
+        sizes = np.fromiter(map(len, self.new), dtype=np.int64, count=len(self.new))
+        ids, counts, trace = merger.merged(symbols, np.cumsum(sizes) - sizes, sizes, None, 0)
+        self.symbols.add(symbols, sizes)
+        self.ids.add(ids, counts)
+        rows, places, merges = (
+            map(np.concatenate, zip(*trace, strict=True)) if trace else [np.zeros(0, np.int32)] * 3
+        )
+        order = np.argsort(rows, kind="stable")
+        self.merges.add((merges * SHORT + places)[order], np.bincount(rows, minlength=len(self.new)))
+        self.new = []
+
+
+class Encoder:
+    """Encodes texts with one seed and rate, remembering chunks."""
+
     def __init__(self, path: str, rate: float, seed: int):
-        self.pieces = Pieces(path)
+        self.pieces = _vocabulary(path)
         self._rate, self._seed, self._limit = rate, seed, int(rate * 2**64)
-        self._young: dict = {}
-        self._old: dict = {}
-        self._held = 0
-
-    def _put(self, chunk: str, node, size: int):
-        if self._held + size > REMEMBERED:
-            self._old, self._young, self._held = self._young, {}, 0
-        self._young[chunk] = node
-        self._held += size
-        return node
+        p = self.pieces
+        self._merger = Merger(p.ids, p.scores, len(p.bytes), p.byte_ids, SPACE, _STAND_IN)
+        self._numerals = Labels(str(i).encode() for i in range(SHORT))
+        self._known = _Chunks(self.pieces)
 
     def _cut(self, chunk: str, key: int) -> bytes:
-        """The ids of an occurrence that the younger half may lack."""
-        node = self._young.get(chunk)
-        if node is None:
-            node = self._old.get(chunk)
-            if node is not None:
-                self._put(chunk, node, 1 + _size(node))
-            else:
-                parts = self.pieces.parts(chunk)
-                node = tuple(parts) if len(parts) > 1 else None
-                if len(chunk) <= SHORT:
-                    self._put(chunk, node or (), 1)
-        if type(node) is tuple and node:
-            keys = [xxhash.xxh64_intdigest(str(i), key) for i in range(len(node))]
-            return b"".join(map(self._cut, node, keys))
-        tree = node
-        while type(node) is list:
-            node = node[2 if xxhash.xxh64_intdigest(node[0], key) < self._limit else 1]
-        if type(node) is bytes:
-            return node
-        # Most chunks occur once: a tree grows from the second time on.
-        path: list[tuple[str, bool]] | None = None if tree is None else []
-        ids = array("H", self.pieces.encode(chunk, self._rate, key, path)).tobytes()
-        if path is not None:
-            self._grow(chunk, tree, path, ids)
-        return ids
-
-    def _grow(self, chunk: str, tree, path: list[tuple[str, bool]], ids: bytes) -> None:
-        """Add what one occurrence went through to its chunk's tree."""
-        if not path:
-            self._put(chunk, ids, 1)
-            return
-        if type(tree) is not list:
-            tree = self._put(chunk, [path[0][0].encode(), None, None], 1)
-        node = tree
-        for (_, skipped), (label, _) in zip(path, path[1:], strict=False):
-            side = 2 if skipped else 1
-            if node[side] is None:
-                node[side] = [label.encode(), None, None]
-                self._held += 1
-            node = node[side]
-        node[2 if path[-1][1] else 1] = ids
-        self._held += 1
+        """The ids of an occurrence of a chunk of any length in one part."""
+        return array("i", self.pieces.encode(chunk, self._rate, key)).tobytes()
+
+    def _keys(self, counts: np.ndarray, doc_ids: list) -> np.ndarray:
+        """The key of each occurrence, by seed, document and position."""
+        streams = [xxhash.xxh64_intdigest(str(i or 0), self._seed) for i in doc_ids]
+        positions = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        places = positions.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return _mixed(places + np.repeat(np.array(streams, dtype=np.uint64), counts))
+
+    def _in_parts(self, numbers: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers and keys of all occurrences' parts, and how many each occurrence has."""
+        counts = np.ones(len(numbers), dtype=np.int64)
+        divided = np.flatnonzero(numbers < 0)
+        if not divided.size:
+            return numbers, keys, counts
+        parts = self._known.parts
+        lists = [parts[-1 - i] for i in numbers[divided].tolist()]
+        counts[divided] = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        ends = np.cumsum(counts)
+        spread = np.repeat(np.arange(len(numbers)), counts)
+        numbers, keys, of_divided = numbers[spread], keys[spread], (numbers < 0)[spread]
+        numbers[of_divided] = np.fromiter(chain.from_iterable(lists), dtype=np.int64)
+        index = (np.arange(len(spread)) - np.repeat(ends - counts, counts))[of_divided]
+        while len(self._numerals.names) <= index.max():
+            self._numerals = Labels(str(i).encode() for i in range(2 * len(self._numerals.names)))
+        keys[of_divided] = self._numerals.hashes(index, keys[of_divided])
+        return numbers, keys, counts
+
+    def _with_skips(self, numbers: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which occurrences of whole chunks skip a merge of the cut without dropout."""
+        known, found = self._known, np.zeros(len(numbers), dtype=bool)
+        for start in range(0, len(numbers) if self._limit else 0, HASHED_AT_ONCE):
+            some = numbers[start : start + HASHED_AT_ONCE]
+            starts, counts = known.merges.starts[some], known.merges.counts[some]
+            owner = np.repeat(np.arange(start, start + len(some)), counts)
+            merges = slices(known.merges.flat, starts, counts)
+            skipped = self._merger.skipped(merges % SHORT, merges // SHORT, keys[owner], self._limit)
+            found[owner[skipped]] = True
+        return found
+
+    def encode_all(self, texts: list[str], doc_ids: list) -> tuple[np.ndarray, np.ndarray]:
+        """Little-endian ids of all texts, each with a space before it, and where each text's ids end."""
+        if len(self._known) + self._known.spare > REMEMBERED:
+            self._known = _Chunks(self.pieces)
+        known = self._known
+        known.long = []
+        cut = [_CHUNK.findall(f" {text}") if text else [] for text in texts]
+        per_text = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=per_text.sum())
+        known.learn(self._merger)
+        numbers, keys, per_chunk = self._in_parts(numbers, self._keys(per_text, doc_ids))
+
+        starts, counts = np.empty_like(numbers), np.empty_like(numbers)
+        short = np.flatnonzero(numbers < known.LONG)
+        starts[short], counts[short] = known.ids.starts[numbers[short]], known.ids.counts[numbers[short]]
+        again = short[self._with_skips(numbers[short], keys[short])]
+        of = known.symbols
+        merged, counts[again], _ = self._merger.merged(
+            of.flat, of.starts[numbers[again]], of.counts[numbers[again]], keys[again], self._limit
+        )
+        starts[again] = len(known.ids.flat) + np.cumsum(counts[again]) - counts[again]
+        long = np.flatnonzero(numbers >= known.LONG)
+        cuts = [
+            np.frombuffer(self._cut(known.long[number - known.LONG], key), dtype=np.int32)
+            for number, key in zip(numbers[long].tolist(), keys[long].tolist(), strict=True)
+        ]
+        counts[long] = [len(c) for c in cuts]
+        starts[long] = len(known.ids.flat) + len(merged) + np.cumsum(counts[long]) - counts[long]
+
+        ids = slices(np.concatenate([known.ids.flat, merged, *cuts]), starts, counts).astype("<u4")
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(per_chunk)] if len(per_chunk) else per_chunk
+        return ids, np.concatenate([[0], ends])[np.cumsum(per_text)]
 
     def encode(self, text: str, doc_id: int | None) -> np.ndarray:
         """Little-endian ids of a text, which gets a space before it."""
-        if not text:
-            return np.zeros(0, dtype="<u4")
-        chunks = _CHUNK.findall(f" {text}")
-        stream = xxhash.xxh64_intdigest(str(doc_id or 0), self._seed)
-        places = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        keys = _mixed(places + np.uint64(stream)).tolist()
-        digest, limit, known, cut = xxhash.xxh64_intdigest, self._limit, self._young.get, self._cut
-        found = []
-        for chunk, key in zip(chunks, keys, strict=True):
-            node = known(chunk)
-            while type(node) is list:
-                node = node[2 if digest(node[0], key) < limit else 1]
-            found.append(node if type(node) is bytes else cut(chunk, key))
-        return np.frombuffer(b"".join(found), dtype="<u2").astype("<u4")
+        return self.encode_all([text], [doc_id])[0]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -305,12 +384,11 @@ def encode(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _encoder(*settings)
-        for batch in steps(batches):
+        for batch in steps(batches, most=TEXT_BYTES):
             names, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            ids = [
-                tool.encode(t, i).tobytes() for t, i in zip(texts, names.to_pylist(), strict=True)
-            ]
-            yield pa.record_batch({"doc_id": names, "ids": pa.array(ids, pa.binary())})
+            ids, ends = tool.encode_all(texts, names.to_pylist())
+            cut = [ids[a:b].tobytes() for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+            yield pa.record_batch({"doc_id": names, "ids": pa.array(cut, pa.binary())})
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return with_text(docs).mapInArrow(encoded, f"doc_id {id_type}, ids binary")
@@ -322,7 +400,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     path = model or default_path()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _encoder(path, RATE, SEED).pieces
+        pieces = _vocabulary(path)
         for batch in steps(batches, "ids"):
             texts = [
                 pieces.decode(np.frombuffer(ids, dtype="<u4")) if ids else ""
