@@ -162,6 +162,17 @@ def test_short_chunks_are_merged_at_once(monkeypatch):
         assert bool(words) == bool(len(encoder.encode(words, doc_id)))
 
 
+def test_however_many_are_merged_at_once(monkeypatch):
+    texts = list(llm_frames.texts().values())[:20]
+    found = []
+    for at_once in (merge_batches.AT_ONCE, 7):
+        monkeypatch.setattr(merge_batches, "AT_ONCE", at_once)
+        monkeypatch.setattr(merge_dropout, "HASHED_AT_ONCE", at_once)
+        encoder = merge_dropout.Encoder(merge_dropout.default_path(), 0.3, 5)
+        found.append(encoder.encode_all(texts, list(range(len(texts))))[0].tolist())
+    assert found[0] == found[1]
+
+
 def test_labels_are_hashed_as_the_library_hashes_them():
     import xxhash
 

@@ -14,6 +14,8 @@ import xxhash
 
 #: Symbols up to which a chunk is merged here; also the place numbers in a candidate.
 SHORT = 64
+#: Chunks merged at once, so that a text of any length needs memory for so many.
+AT_ONCE = 1 << 16
 # Chunks are merged with those of like length, in columns of these lengths.
 _WIDTHS = [0, 4, 6, 8, 10, 13, 18, 32, SHORT]
 _P1, _P2, _P3, _P4, _P5 = map(
@@ -204,16 +206,15 @@ class Merger:
         trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         found, counts, begins, before = [], np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), 0
         for low, width in zip(_WIDTHS, _WIDTHS[1:], strict=False):
-            rows = np.flatnonzero((sizes > low) & (sizes <= width))
-            if not rows.size:
-                continue
-            columns = self._columns(flat, starts[rows], sizes[rows], width)
-            left = self._group(columns, None if keys is None else keys[rows], limit, rows, trace).T
-            kept = left >= 0
-            found.append(left[kept])
-            counts[rows] = kept.sum(axis=1)
-            begins[rows] = before + np.cumsum(counts[rows]) - counts[rows]
-            before += len(found[-1])
+            alike = np.flatnonzero((sizes > low) & (sizes <= width))
+            for rows in (alike[i : i + AT_ONCE] for i in range(0, len(alike), AT_ONCE)):
+                columns = self._columns(flat, starts[rows], sizes[rows], width)
+                left = self._group(columns, None if keys is None else keys[rows], limit, rows, trace).T
+                kept = left >= 0
+                found.append(left[kept])
+                counts[rows] = kept.sum(axis=1)
+                begins[rows] = before + np.cumsum(counts[rows]) - counts[rows]
+                before += len(found[-1])
         if not found:
             return np.zeros(0, np.int32), counts, trace
         return *self._written(slices(np.concatenate(found), begins, counts), counts), trace

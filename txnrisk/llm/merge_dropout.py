@@ -7,8 +7,7 @@ the rate. The same seed gives the same ids on every machine; every occurrence of
 a chunk is cut anew. A worker remembers of each chunk the cut without dropout and
 the candidates that lead to it. An occurrence none of whose hashes falls below the
 rate has that cut; the others, about a quarter at a rate of 0.1, are merged from the
-start. Hashes and
-merges are worked out for many occurrences at once (``merge_batches``).
+start. Hashes and merges are worked out for many occurrences at once (``merge_batches``).
 
 No piece of the vocabulary goes on after a space begins, so a text is cut into
 chunks before the spaces, and these where two characters follow each other in no
