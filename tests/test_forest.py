@@ -66,3 +66,40 @@ def test_shares_of_the_inputs(spark, fitted):
     assert set(found) == {0, 1} and sum(r.share for r in found.values()) == pytest.approx(1.0)
     theirs = model.stages[-1].featureImportances
     assert (found[0].share > found[1].share) == (theirs[0] > theirs[1])
+
+
+def test_a_walk_of_missing_and_odd_values(spark):
+    """Nulls, NaN, short and null vectors go right, in lists of categories too; many rows make many batches."""
+    schema = (
+        "tree int, node int, left int, right int, feature int, threshold double, left_values array<double>,"
+        " gain double, rows bigint, probability double"
+    )
+    table = spark.createDataFrame(
+        [
+            (0, 0, 1, 2, 0, 1.5, None, 0.1, 9, 0.5),
+            (0, 1, -1, -1, None, None, None, None, 4, 0.0),
+            (0, 2, -1, -1, None, None, None, None, 5, 0.25),
+            (1, 0, 1, 2, 2, None, [0.0, 2.0], 0.1, 9, 0.5),
+            (1, 1, -1, -1, None, None, None, None, 4, 0.0),
+            (1, 2, 3, 4, 0, 5.0, None, 0.1, 5, 0.5),
+            (1, 3, -1, -1, None, None, None, None, 4, 0.5),
+            (1, 4, -1, -1, None, None, None, None, 4, 1.0),
+        ],
+        schema,
+    )
+    nan = float("nan")
+    cases = [
+        ([1.5, 0.0, 2.0], 0.0), ([2.0, 0.0, 0.0], 0.125), ([2.0, 0.0, 1.0], 0.375), ([6.0, 0.0, 7.0], 0.625),
+        ([1.0, 0.0, None], 0.25), ([nan, 0.0, nan], 0.625), ([1.0], 0.25), ([], 0.625), (None, 0.625),
+        ([1.0, 0.0, 0.5], 0.25), ([1.0, 0.0, -1.0], 0.25),
+    ]
+    rows = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "i int, v array<double>")
+    many = rows.crossJoin(spark.range(2000).select("id"))
+    found = many.select("i", forest.probability(F.col("v"), table, 2).alias("p")).distinct().collect()
+    assert sorted((r.i, r.p) for r in found) == [(i, p) for i, (_, p) in enumerate(cases)]
+    assert rows.filter("i < 0").select(forest.probability(F.col("v"), table, 2)).collect() == []
+    # One step alone ends at a node inside.
+    one = rows.filter("i = 3").select(forest.probability(F.col("v"), table, 1).alias("p")).first()
+    assert one.p == (0.25 + 0.5) / 2
+    plan = rows.select(forest.probability(F.col("v"), table, 2).alias("p"))._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan

@@ -1,16 +1,20 @@
 """The fitted forest as a table of nodes, and probabilities by walking that table.
 
 The table has at most trees * (2 ** (depth + 1) - 1) rows, whatever the forest
-was fitted on: 25,550 here. So the walk takes it whole into its expression.
+was fitted on: 25,550 here. So each task of the walk holds it whole.
 """
 
-import json
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnrisk.operators.model import DEPTH
+from txnrisk.plans.session import share_code
 
 
 def nodes(spark: SparkSession, path: str) -> DataFrame:
@@ -79,53 +83,94 @@ def shape(table: DataFrame, most: int = DEPTH) -> DataFrame:
     )
 
 
-_WALKED = (
-    "array<struct<left: int, right: int, feature: int, threshold: double, left_values: array<double>,"
-    " probability: double>>"
-)
-
+@dataclass
+class _Walk:
+    """The nodes as arrays, for a walk of many rows at once: a leaf's children are itself."""
+
+    left: np.ndarray
+    right: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    probability: np.ndarray
+    roots: list[int]
+    # Nodes that ask for categories: their line in ``members``, which has a place for each category; else -1.
+    line: np.ndarray
+    members: np.ndarray
+
+    @classmethod
+    def of(cls, table: DataFrame) -> "_Walk":
+        rows = sorted(table.collect(), key=lambda row: (row.tree, row.node))
+        place = {(row.tree, row.node): i for i, row in enumerate(rows)}
+        inner = [row.left >= 0 for row in rows]
+        listed = [row.left_values if go and row.left_values is not None else None for go, row in zip(inner, rows)]
+        by_list = [i for i, values in enumerate(listed) if values is not None]
+        members = np.zeros((len(by_list), 1 + max([int(v) for i in by_list for v in listed[i]], default=0)), dtype=bool)
+        line = np.full(len(rows), -1)
+        for n, i in enumerate(by_list):
+            line[i] = n
+            members[n, [int(v) for v in listed[i]]] = True
+        return cls(
+            np.array([place[r.tree, r.left] if go else i for i, (go, r) in enumerate(zip(inner, rows))], dtype=np.int64),
+            np.array([place[r.tree, r.right] if go else i for i, (go, r) in enumerate(zip(inner, rows))], dtype=np.int64),
+            np.array([r.feature if go else 0 for go, r in zip(inner, rows)], dtype=np.int64),
+            np.array([r.threshold if go and r.threshold is not None else np.nan for go, r in zip(inner, rows)]),
+            np.array([r.probability for r in rows], dtype=float),
+            [i for i, row in enumerate(rows) if row.node == 0],
+            line,
+            members,
+        )
 
-def _literal(table: DataFrame) -> tuple[Column, list[int]]:
-    """All nodes as one constant array, children by their places in it, and the places of the roots."""
-    rows = sorted(table.collect(), key=lambda row: (row.tree, row.node))
-    place = {(row.tree, row.node): i for i, row in enumerate(rows)}
-    walked = [
-        {
-            "left": place[row.tree, row.left] if row.left >= 0 else -1,
-            "right": place[row.tree, row.right] if row.left >= 0 else -1,
-            "feature": row.feature,
-            "threshold": row.threshold,
-            "left_values": row.left_values,
-            "probability": row.probability,
-        }
-        for row in rows
-    ]
-    roots = [i for i, row in enumerate(rows) if row.node == 0]
-    return F.from_json(F.lit(json.dumps(walked)), _WALKED), roots
+    def _goes_left(self, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+        left = value <= self.threshold.take(at)
+        if len(self.members):
+            asks = np.flatnonzero(self.line.take(at) >= 0)
+            known = value[asks]
+            whole = (known >= 0) & (known < self.members.shape[1]) & (known == np.floor(known))
+            found = self.members[self.line.take(at[asks]), np.where(whole, known, 0).astype(np.int64)]
+            left[asks] = whole & found
+        return left
+
+    def probabilities(self, vectors: pa.Array, most: int) -> np.ndarray:
+        """For each vector the mean over the trees. A missing value goes right."""
+        values = _matrix(vectors, int(self.feature.max(initial=0)) + 1)
+        flat, start = values.ravel(), np.arange(len(values)) * values.shape[1]
+        total = np.zeros(len(values))
+        for root in self.roots:
+            at = np.full(len(values), root)
+            for _ in range(most):
+                value = flat.take(start + self.feature.take(at))
+                at = np.where(self._goes_left(at, value), self.left.take(at), self.right.take(at))
+            total += self.probability.take(at)
+        return total / len(self.roots)
+
+
+def _matrix(vectors: pa.Array, least: int) -> np.ndarray:
+    """The vectors as lines of at least so many values; what is missing is NaN."""
+    lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    width = max(least, int(lengths.max(initial=0)))
+    if (lengths == width).all():
+        return flat.reshape(len(lengths), width)
+    lines = np.full((len(lengths), width), np.nan)
+    lines[np.arange(width) < lengths[:, None]] = flat
+    return lines
 
 
 def probability(features: Column, table: DataFrame, most: int = DEPTH) -> Column:
     """The mean over all trees of class 1's share in the leaf that a row reaches.
 
     ``features`` is an array of doubles. The nodes are collected, as a model is,
-    and become one constant that is parsed once. No row is copied for a tree and
-    nothing is joined: each tree is walked by at most ``most`` steps of an aggregate.
+    and go to the tasks with the function. No row is copied for a tree and nothing
+    is joined: a batch of rows walks each tree by at most ``most`` steps in numpy.
     """
-    forest, roots = _literal(table)
-
-    def step(at: Column, _: Column) -> Column:
-        node = F.get(forest, at)
-        value = F.get(features, node["feature"])
-        left = F.when(node["left_values"].isNull(), value <= node["threshold"]).otherwise(
-            F.array_contains(node["left_values"], value)
-        )
-        return F.when(node["left"] < 0, at).when(left, node["left"]).otherwise(node["right"])
+    share_code(table.sparkSession)
+    walk = _Walk.of(table)
 
-    def leaf(root: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), F.lit(most)), root, step)
+    @F.arrow_udf("double")
+    def walked(vectors: pa.Array) -> pa.Array:
+        return pa.array(walk.probabilities(vectors, most))
 
-    shares = F.transform(F.array(*map(F.lit, roots)), lambda root: F.get(forest, leaf(root))["probability"])
-    return F.aggregate(shares, F.lit(0.0), lambda a, x: a + x) / len(roots)
+    return walked(features)
 
 
 def splits_by_feature(table: DataFrame) -> DataFrame:
