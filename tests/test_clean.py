@@ -176,3 +176,17 @@ def test_random_rows_match_a_plain_sort(spark):
     assert len(silver) == len(expected)
     bad = [r for r in rows if not (r["transaction_id"] or "").strip(" ") or (r["amount"] or 0) <= 0]
     assert clean.quarantine(frames.raw(spark, *rows)).count() == len(bad)
+
+
+def test_the_amount_is_read_once_for_all_rules(spark):
+    """The pattern that a number has to fit is asked once a row, whatever the rules ask of the amount."""
+    lines = spark.createDataFrame(
+        [("a", "1.5"), ("b", "12d"), ("c", "-3"), (None, "2"), ("e", "1e999"), ("f", None), ("g", " 7 ")],
+        "transaction_id string, amount string",
+    )
+    states = clean.with_state(lines)
+    bad, good = "INVALID_AMOUNT", "VALID"
+    assert [r[clean.STATE] for r in states.collect()] == [good, bad, bad, "MISSING_TRANSACTION_ID", bad, bad, good]
+    assert states.columns == ["transaction_id", "amount", clean.STATE]
+    plan = states.selectExpr(clean.STATE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
